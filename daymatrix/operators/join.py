@@ -13,6 +13,7 @@ from daymatrix.model import DAY, FEATURE, DailyMatrix, broadcast_days
 from daymatrix.operators.dedup import keep_last
 from daymatrix.operators.fill import apply_weights, fill_weights
 from daymatrix.operators.prepare import drop_future_rows
+from daymatrix.session import materialize
 
 
 def join_matrices(
@@ -30,6 +31,7 @@ def join_matrices(
     ``ffill`` and ``bfill``; a line cannot be drawn through them.
     """
     prefixes = prefixes or domains
+    left, right = (DailyMatrix(m.values, materialize(m.days, "days")) for m in (left, right))
     if left.days.isEmpty() or right.days.isEmpty():
         raise ValueError("both matrices need at least one day")
     all_days = left.days.select(DAY).union(right.days.select(DAY)).distinct()

@@ -87,12 +87,13 @@ def from_wide(wide: DataFrame, domain: str, day: str = DAY) -> DailyMatrix:
     control columns kept when present.  A day with a real row loses its
     estimated rows."""
 
+    # one row per column of the frame
     columns = wide.sparkSession.createDataFrame(
         list(canonical_columns(wide, domain).items()), f"{FEATURE} string, canonical string"
     )
 
     def values_of(rows):
-        named = to_long(rows, day).join(columns, FEATURE)
+        named = to_long(rows, day).join(F.broadcast(columns), FEATURE)
         return sum_features(named.select(DAY, F.col("canonical").alias(FEATURE), VALUE))
 
     when = day_of(wide, day).alias(DAY)
