@@ -2,12 +2,13 @@
 
 Both facts follow one plan with two shuffles:
 
-1. count rows per (day, facility, categories) - the only pass over raw rows,
-   combined in the map tasks, so neither a busy day nor a busy facility is ever
-   collected whole;
+1. the only pass over raw rows turns each row into its feature names (total and
+   categories) and counts per (day, facility, name).  The map tasks combine, and
+   a facility has few names a day, so what is shuffled is a small fraction of
+   the rows and neither a busy day nor a busy facility is ever collected whole;
 2. on that small result: attach the region and the selected aliases, fan out to
-   the levels that get a column (total and categories x global, region,
-   facility) and sum per (day, feature), again combined in the map tasks.
+   the global, region and facility levels and sum per (day, feature), again
+   combined in the map tasks.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from daymatrix.functions.naming import (
     token,
 )
 from daymatrix.operators.prepare import with_region
+from daymatrix.session import is_small
 
 GLOBAL = "GLOBAL"
 ALL_LEVELS = (GLOBAL, RS, UP)
@@ -47,31 +49,39 @@ def _with_place(df: DataFrame, level: str, selection: DataFrame | None) -> DataF
     return df.withColumn("_key", key).join(pairs, "_key", "left").drop("_key")
 
 
-def _place_suffixes(levels) -> Column:
-    """Name endings of the levels a row counts for; unselected places drop out."""
-    endings = [F.lit("")] if GLOBAL in levels else []
-    for level in (RS, UP):
-        if level in levels:
-            place = F.col(f"_{level}")
-            ending = F.concat(F.lit(SEPARATOR + level + SEPARATOR), token(place))
-            endings.append(F.when(place.isNotNull(), ending))
-    return F.array_compact(F.array(*endings))
-
-
-def _sum_features(
-    counted: DataFrame, prefixes: Column, regions, facilities, levels
+def _level_features(
+    counted: DataFrame, name: Column, lookup, regions, facilities, levels, default_region: str
 ) -> DataFrame:
-    """Fan counted rows ``(day, ..., _n)`` out to name beginnings x endings."""
+    """Fan counts ``(day, up, ..., n)`` out to the levels and sum per feature.
+
+    Each level is a column with the end its feature names have, null where the
+    place is not selected; unpivoting turns them into rows inside generated code.
+    """
+    ends = {}
+    if GLOBAL in levels:
+        ends[GLOBAL] = F.lit("")
     if RS in levels:
-        counted = _with_place(counted, RS, regions)
+        if lookup is None:
+            raise ValueError("the region level needs a facility lookup")
+        counted = _with_place(with_region(counted, lookup, default_region), RS, regions)
     if UP in levels:
         counted = _with_place(counted, UP, facilities)
-    by_variable = counted.select(
-        "day", "_n", _place_suffixes(levels).alias("_ends"), F.explode(prefixes).alias("_name")
+    for level in (RS, UP):
+        if level in levels:
+            place = F.col(f"_{level}")
+            end = F.concat(F.lit(SEPARATOR + level + SEPARATOR), token(place))
+            ends[level] = F.when(place.isNotNull(), end)
+    columns = [e.alias(level) for level, e in ends.items()]
+    placed = counted.select("day", "n", name.alias("_name"), *columns)
+    by_level = placed.unpivot(["day", "n", "_name"], list(ends), "_level", "_end")
+    named = by_level.where("_end IS NOT NULL").select(
+        "day", F.concat("_name", "_end").alias("feature"), "n"
     )
-    by_place = by_variable.select("day", "_n", "_name", F.explode("_ends").alias("_end"))
-    named = by_place.select("day", F.concat("_name", "_end").alias("feature"), "_n")
-    return named.groupBy("day", "feature").agg(F.sum("_n").alias("value"))
+    return named.groupBy("day", "feature").agg(F.sum("n").alias("value"))
+
+
+def _place_keys(levels) -> list[str]:
+    return ["up"] if RS in levels or UP in levels else []
 
 
 def daily_total(df: DataFrame, domain: str = DEMAND, value: str | None = "counts") -> DataFrame:
@@ -97,18 +107,20 @@ def visit_features(
 
     A selection restricts its own level only; the global level counts all rows.
     """
-    categories = [c for c in VISIT_CATEGORIES if c in visits.columns]
-    amount = F.sum(value) if value in visits.columns else F.count("*")
-    counted = visits.groupBy("day", "up", *categories).agg(amount.alias("_n"))
-    if RS in levels:
-        if lookup is None:
-            raise ValueError("the region level needs a facility lookup")
-        counted = with_region(counted, lookup, default_region)
-
-    names = [feature_name(domain, c, F.col(c)) for c in categories]
+    variables = [c for c in VISIT_CATEGORIES if c in visits.columns]
+    amount = F.col(value) if value in visits.columns else F.lit(1).cast("bigint")
+    keys = ["day", *_place_keys(levels)]
+    rows = visits.select(*keys, *variables, amount.alias("n"))
     if with_total:
-        names.append(feature_name(domain, TOTAL))
-    return _sum_features(counted, F.array(*names), regions, facilities, levels)
+        # the total is a variable without a category
+        rows = rows.withColumn(TOTAL, F.lit(None).cast("string"))
+        variables = [*variables, TOTAL]
+    by_variable = rows.unpivot([*keys, "n"], variables, "variable", "category")
+    counted = by_variable.groupBy(*keys, "variable", "category").agg(F.sum("n").alias("n"))
+    name = feature_name(F.lit(domain), F.col("variable"), F.col("category"))
+    return _level_features(
+        counted, name, lookup, regions, facilities, levels, default_region
+    )
 
 
 def coded_features(
@@ -121,29 +133,38 @@ def coded_features(
     domain: str = DIAGNOSIS,
     with_total: bool = True,
 ) -> DataFrame:
-    """Long daily counts of ``(day, up, code, n)`` rows.
+    """Long daily counts of ``(day, up, code, n)`` rows, raw or already counted.
 
     Totals count every code; the code selection limits the code features only.
     Without a selection there are totals and no code features.
     """
-    counted = counts.withColumnRenamed("n", "_n")
-    if RS in levels:
-        if lookup is None:
-            raise ValueError("the region level needs a facility lookup")
-        counted = with_region(counted, lookup, C.UNKNOWN)
-
-    names = [feature_name(domain, TOTAL)] if with_total else []
+    keys = ["day", *_place_keys(levels)]
+    names = {}
+    if with_total:
+        names["total"] = F.lit(TOTAL)
     if codes is not None:
         # A code in several groups yields several joined rows; the total must
         # count its rows once, so it rides on the first group only.
         first = codes.groupBy("code").agg(F.min("alias").alias("_first"))
-        counted = counted.join(codes.join(first, "code"), "code", "left")
-        alias = F.col("alias")
-        once = alias.isNull() | (alias == F.col("_first"))
-        names = [F.when(once, name) for name in names]
-        names.append(F.when(alias.isNotNull(), feature_name(domain, CODE_VARIABLE, alias)))
-    prefixes = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
-    return _sum_features(counted, prefixes, regions, facilities, levels)
+        known = codes.join(first, "code").select(
+            "code",
+            F.concat(F.lit(CODE_VARIABLE + SEPARATOR), token("alias")).alias("_group"),
+            (F.col("alias") != F.col("_first")).alias("_repeated"),
+        )
+        counts = counts.join(F.broadcast(known) if is_small(codes) else known, "code", "left")
+        repeated = F.coalesce("_repeated", F.lit(False))
+        names = {k: F.when(~repeated, name) for k, name in names.items()}
+        names["group"] = F.col("_group")
+    if not names:
+        names["none"] = F.lit(None).cast("string")
+    columns = [name.alias(k) for k, name in names.items()]
+    named = counts.select(*keys, "n", *columns).unpivot(
+        [*keys, "n"], list(names), "_kind", "name"
+    )
+    named = named.where("name IS NOT NULL")
+    counted = named.groupBy(*keys, "name").agg(F.sum("n").alias("n"))
+    name = F.concat(F.lit(domain + SEPARATOR), "name")
+    return _level_features(counted, name, lookup, regions, facilities, levels, C.UNKNOWN)
 
 
 def code_counts(counts: DataFrame, places: tuple[str, ...] = ()) -> DataFrame:

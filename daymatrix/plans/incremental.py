@@ -9,17 +9,27 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymatrix.model import DAY, FEATURE, IS_IMPUTED, VALUE, DailyMatrix, broadcast_days
+from daymatrix.model import (
+    DAY,
+    FEATURE,
+    IS_IMPUTED,
+    VALUE,
+    DailyMatrix,
+    broadcast_days,
+    observed_days,
+)
 from daymatrix.operators.calendar import last_contiguous_day
 from daymatrix.operators.features import coded_features, visit_features
 from daymatrix.operators.impute import drop_imputed, impute
 from daymatrix.operators.prepare import (
+    clean_coded_rows,
     clean_visits,
     date_range,
     day_code_counts,
     require_columns,
 )
 from daymatrix.operators.selection import non_empty
+from daymatrix.session import is_small, materialize
 from daymatrix.plans.windows import Window, latest, processing_window, resume_day
 from daymatrix.sources.readers import date_bounds, scan_range
 from daymatrix.sources.store import MatrixStore, StagingArea, cursor_of
@@ -55,8 +65,9 @@ def staged_matrix(
     if len(runs) > 1:
         last_run = rows.groupBy(DAY).agg(F.max("run").alias("run"))
         rows = rows.join(broadcast_days(last_run), [DAY, "run"], "left_semi")
-    summed = rows.groupBy(DAY, FEATURE).agg(F.sum(VALUE).alias(VALUE))
-    return DailyMatrix.observed(summed)
+    summed = rows.groupBy(DAY, FEATURE).agg(F.sum(VALUE).cast("double").alias(VALUE))
+    days = materialize(rows.select(DAY).distinct(), "days")
+    return DailyMatrix(summed.select(DAY, FEATURE, VALUE), observed_days(days))
 
 
 def publish(
@@ -216,8 +227,14 @@ def visits_to_features(
 def coded_to_features(
     coded: DataFrame, lookup: DataFrame, selections: Selections
 ) -> DataFrame:
+    # A small code map joins the raw rows in the map tasks, which then combine per
+    # code group; beyond that the rows are counted per code before they are joined.
+    if selections.codes is None or is_small(selections.codes):
+        rows = clean_coded_rows(coded).withColumn("n", F.lit(1).cast("bigint"))
+    else:
+        rows = day_code_counts(coded)
     return coded_features(
-        day_code_counts(coded),
+        rows,
         lookup,
         selections.codes,
         selections.regions,

@@ -28,6 +28,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/daymatrix/{name}-{uuid.uuid4().hex}"
 
 
+# Rows of a selection or lookup that may be sent to every executor.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether a frame has at most ``max_rows`` rows; counts no further."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 

@@ -96,7 +96,7 @@ class _Versions:
 
 
 class MatrixStore:
-    """Versions of one matrix: long values by month, and the day table."""
+    """Versions of one matrix: long values by year, and the day table."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -111,7 +111,7 @@ class MatrixStore:
         if version is None:
             return DailyMatrix.empty(self.spark)
         path = self.versions.path(version)
-        values = self.spark.read.schema(f"{VALUES_SCHEMA}, month date").parquet(f"{path}/values")
+        values = self.spark.read.schema(f"{VALUES_SCHEMA}, year int").parquet(f"{path}/values")
         return DailyMatrix(
             values.select(DAY, FEATURE, VALUE), self.spark.read.parquet(f"{path}/days")
         )
@@ -131,9 +131,9 @@ class MatrixStore:
             return None
         version = self.versions.next()
         path = self.versions.path(version)
-        # a rebalance lets the engine split or merge months to even file sizes
-        monthly = kept.values.withColumn("month", F.trunc(DAY, "month")).hint("rebalance", "month")
-        monthly.write.option("compression", codec).partitionBy("month").parquet(f"{path}/values")
+        # a rebalance lets the engine split or merge years to even file sizes
+        yearly = kept.values.withColumn("year", F.year(DAY)).hint("rebalance", "year")
+        yearly.write.option("compression", codec).partitionBy("year").parquet(f"{path}/values")
         kept.days.coalesce(1).write.option("compression", codec).parquet(f"{path}/days")
         written = self.spark.read.parquet(f"{path}/days")
         write_imputation_metadata(written, path, f"{path}/values", generated_at)
