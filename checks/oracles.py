@@ -449,8 +449,8 @@ WHERE d > (SELECT last FROM contig) AND d <= DATE '2001-07-01' GROUP BY d""",
     + """SELECT CAST(d AS VARCHAR) AS timestamp, up AS UP, code AS DIAG_CODE, n,
   CAST(d AS VARCHAR) || '_' || code || '_' || up AS data_id FROM counted""",
     "files_past_retention": _with(VISITS)
-    + """SELECT CAST(max(d) AS VARCHAR) AS last_day FROM visits GROUP BY year(d)
-HAVING max(d) < DATE '2002-01-01' - 1000""",
+    + """SELECT CAST(year(d) AS INTEGER) AS year, CAST(max(d) AS VARCHAR) AS last_day FROM visits
+WHERE d < DATE '1999-01-01' GROUP BY year(d)""",
     "matrix_as_csv": _with(VISITS)
     + "SELECT CAST(d AS VARCHAR) AS Timestamp"
     + "".join(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymatrix.functions.cleaning import UNKNOWN, _col, geo_label, text
+from daymatrix.functions.cleaning import UNKNOWN, blank_to_null, geo_label
 from daymatrix.model import CONTROL_COLUMNS, DAY, FEATURE, VALUE
 
 # Parts of the naming grammar.
@@ -27,8 +27,8 @@ VISIT_CATEGORIES = [
 
 def token(c: Column | str) -> Column:
     """One part of a name: blank becomes ``UNKNOWN``, no inner separator."""
-    cleaned = F.replace(text(c), F.lit(SEPARATOR), F.lit("_"))
-    return F.coalesce(F.nullif(cleaned, F.lit("")), F.lit(UNKNOWN))
+    cleaned = F.replace(blank_to_null(c), F.lit(SEPARATOR), F.lit("_"))
+    return F.coalesce(cleaned, F.lit(UNKNOWN))
 
 
 def feature_name(

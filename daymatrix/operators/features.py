@@ -13,7 +13,7 @@ Both facts follow one plan with two shuffles:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymatrix.functions import cleaning as C
@@ -145,11 +145,11 @@ def coded_features(
     if codes is not None:
         # A code in several groups yields several joined rows; the total must
         # count its rows once, so it rides on the first group only.
-        first = codes.groupBy("code").agg(F.min("alias").alias("_first"))
-        known = codes.join(first, "code").select(
+        first = F.min("alias").over(Window.partitionBy("code"))
+        known = codes.select(
             "code",
             F.concat(F.lit(CODE_VARIABLE + SEPARATOR), token("alias")).alias("_group"),
-            (F.col("alias") != F.col("_first")).alias("_repeated"),
+            (F.col("alias") != first).alias("_repeated"),
         )
         counts = counts.join(F.broadcast(known) if is_small(codes) else known, "code", "left")
         repeated = F.coalesce("_repeated", F.lit(False))

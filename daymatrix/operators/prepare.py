@@ -6,10 +6,12 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymatrix.functions import cleaning as C
 from daymatrix.functions.naming import VISIT_CATEGORIES
 from daymatrix.operators.dedup import keep_last
+from daymatrix.session import materialize
 
 
 def require_columns(df: DataFrame, required: list[str], table: str = "input") -> None:
@@ -27,6 +29,14 @@ def day_of(df: DataFrame, column: str) -> Column:
     return C.to_day(F.col(column), df.schema[column].dataType)
 
 
+def with_day(df: DataFrame, column: str) -> DataFrame:
+    """Rows with a readable date.  On a date or timestamp column the condition
+    reaches the scan."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return df.where(day_of(df, column).isNotNull())
+    return df.where(F.col(column).isNotNull())
+
+
 def date_range(day: Column, start: date | None, end: date | None) -> Column:
     """Inclusive range.  A null day fails as soon as one bound is given."""
     condition = F.lit(True)
@@ -87,7 +97,7 @@ def clean_visits(
     label = C.visit_class(class_column) if has_class else F.lit(C.NOT_AVAILABLE)
     raw = [c for c in VISIT_CATEGORIES if c in visits.columns and c != class_column]
     counts = C.number(value_column) if value_column else F.lit(1).cast("bigint")
-    cleaned = visits.select(
+    return with_day(visits, date_column).select(
         day_of(visits, date_column).alias("day"),
         F.coalesce(C.facility(facility_column), F.lit(C.UNKNOWN)).alias("up"),
         *[C.category(c).alias(c) for c in raw],
@@ -95,7 +105,6 @@ def clean_visits(
         C.visit_class_group(label).alias("TIPUS_VISITA_AGRUPAT"),
         counts.alias("counts"),
     )
-    return cleaned.where("day IS NOT NULL")
 
 
 def prepare_visits(visits: DataFrame, lookup: DataFrame, **columns) -> DataFrame:
@@ -110,12 +119,15 @@ def clean_coded_rows(
     code_column: str = "problema_salut_c",
 ) -> DataFrame:
     """Cleaned coded rows ``(day, up, code)``; undated and uncoded rows are dropped."""
-    cleaned = coded.select(
+    # one cheap test per row: the code holds something besides white space
+    coded = with_day(coded, date_column).where(
+        F.col(code_column).cast("string").rlike(r"\S")
+    )
+    return coded.select(
         day_of(coded, date_column).alias("day"),
         F.coalesce(C.facility(facility_column), F.lit(C.UNKNOWN)).alias("up"),
         C.code3(code_column).alias("code"),
     )
-    return cleaned.where("day IS NOT NULL AND code IS NOT NULL")
 
 
 def day_code_counts(coded: DataFrame, **columns) -> DataFrame:
@@ -135,7 +147,7 @@ def unknown_facility_report(df: DataFrame, lookup: DataFrame, first: int = 10) -
 
     One row: ``total_rows, unknown_rows, unknown_facilities, examples``.
     """
-    counts = df.groupBy("up").agg(F.count("*").alias("n"))
+    counts = materialize(df.groupBy("up").agg(F.count("*").alias("n")), "facilities")
     known = lookup.select("up", F.lit(True).alias("known"))
     marked = counts.join(known, "up", "left").withColumn("unknown", F.col("known").isNull())
     totals = marked.agg(
@@ -144,7 +156,7 @@ def unknown_facility_report(df: DataFrame, lookup: DataFrame, first: int = 10) -
         F.count_if("unknown").alias("unknown_facilities"),
     )
     examples = (
-        unknown_facilities(df, lookup)
+        marked.where("unknown")
         .orderBy("up")
         .limit(first)
         .agg(F.array_join(F.sort_array(F.collect_list("up")), ",").alias("examples"))

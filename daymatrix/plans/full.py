@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from daymatrix.functions.naming import DEMAND
 from daymatrix.model import DAY, DailyMatrix
 from daymatrix.operators.join import join_matrices
-from daymatrix.operators.prepare import date_range
-from daymatrix.plans.incremental import Selections, coded_to_features, visits_to_features
-from daymatrix.session import materialize
-from daymatrix.sources.store import MatrixStore
+from daymatrix.operators.matrix import from_wide, matrix_to_wide
+from daymatrix.plans.incremental import (
+    CODED_COLUMNS,
+    CODED_DATE,
+    VISIT_COLUMNS,
+    VISIT_DATE,
+    Selections,
+    coded_to_features,
+    visits_to_features,
+)
+from daymatrix.session import materialize, scratch
+from daymatrix.sources.readers import read_parquet, scan_range
+from daymatrix.sources.store import CODEC, MatrixStore
 
-
-def _matrix(features: DataFrame, as_of: date, start: date | None, end: date | None):
-    kept = features.where(date_range(F.col(DAY), start, end) & (F.col(DAY) <= F.lit(as_of)))
-    return DailyMatrix.observed(materialize(kept, "features"))
+def _scan(source, date_column, columns, as_of, start, end) -> DataFrame:
+    """Needed columns and days only; the day condition reaches the scan."""
+    last = min(end or as_of, as_of)
+    present = [c for c in columns if c in source.columns]
+    return scan_range(
+        source, date_column, start, last + timedelta(days=1), [date_column, *present]
+    )
 
 
 def full_visits(
@@ -29,7 +41,9 @@ def full_visits(
     end: date | None = None,
 ) -> DailyMatrix:
     """Matrix of all visits up to ``as_of``, optionally of an inclusive range."""
-    return _matrix(visits_to_features(visits, lookup, selections), as_of, start, end)
+    rows = _scan(visits, VISIT_DATE, VISIT_COLUMNS, as_of, start, end)
+    features = visits_to_features(rows, lookup, selections)
+    return DailyMatrix.observed(materialize(features, "visits"))
 
 
 def full_coded(
@@ -41,7 +55,9 @@ def full_coded(
     end: date | None = None,
 ) -> DailyMatrix:
     """Matrix of all coded rows up to ``as_of``, optionally of an inclusive range."""
-    return _matrix(coded_to_features(coded, lookup, selections), as_of, start, end)
+    rows = _scan(coded, CODED_DATE, CODED_COLUMNS, as_of, start, end)
+    features = coded_to_features(rows, lookup, selections)
+    return DailyMatrix.observed(materialize(features, "coded"))
 
 
 def join_stores(
@@ -53,5 +69,21 @@ def join_stores(
     fill: str | None = "ffill",
 ) -> int | None:
     """Join two stored matrices by day and store the result."""
-    matrix = join_matrices(visits.load(), coded.load(), as_of, fill)
-    return joined.publish(matrix, as_of, generated_at)
+    with scratch(joined.spark):
+        matrix = join_matrices(visits.load(), coded.load(), as_of, fill)
+        return joined.publish(matrix, as_of, generated_at)
+
+
+def export_wide(matrix: DailyMatrix, path: str, codec: str = CODEC) -> None:
+    """Write the wide form, one row per day in day order, as a Parquet folder."""
+    matrix_to_wide(matrix).orderBy(DAY).write.option("compression", codec).parquet(path)
+
+
+def import_wide(
+    spark: SparkSession, path: str, domain: str = DEMAND, day: str = "timestamp"
+) -> DailyMatrix:
+    """Matrix of wide Parquet files, also with names of older schemes."""
+    wide = read_parquet(spark, path)
+    if wide is None:
+        raise FileNotFoundError(f"Parquet path not found: {path}")
+    return from_wide(wide, domain, day)

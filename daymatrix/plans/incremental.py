@@ -29,8 +29,8 @@ from daymatrix.operators.prepare import (
     require_columns,
 )
 from daymatrix.operators.selection import non_empty
-from daymatrix.session import is_small, materialize
 from daymatrix.plans.windows import Window, latest, processing_window, resume_day
+from daymatrix.session import is_small, materialize, scratch
 from daymatrix.sources.readers import date_bounds, scan_range
 from daymatrix.sources.store import MatrixStore, StagingArea, cursor_of
 
@@ -246,17 +246,27 @@ def run_visits(
     visits: DataFrame, lookup: DataFrame, run: Run, selections: Selections = Selections()
 ) -> Outcome:
     """Incremental run of the visit fact.  ``lookup`` is a clean (up, rs) table."""
-    chosen = selections.usable()
-    return run_increment(
-        visits, VISIT_DATE, VISIT_COLUMNS, lambda rows: visits_to_features(rows, lookup, chosen), run
-    )
+    with scratch(visits.sparkSession):
+        chosen = selections.usable()
+        return run_increment(
+            visits,
+            VISIT_DATE,
+            VISIT_COLUMNS,
+            lambda rows: visits_to_features(rows, lookup, chosen),
+            run,
+        )
 
 
 def run_coded(
     coded: DataFrame, lookup: DataFrame, run: Run, selections: Selections = Selections()
 ) -> Outcome:
     """Incremental run of the coded fact.  ``lookup`` is a clean (up, rs) table."""
-    chosen = selections.usable()
-    return run_increment(
-        coded, CODED_DATE, CODED_COLUMNS, lambda rows: coded_to_features(rows, lookup, chosen), run
-    )
+    with scratch(coded.sparkSession):
+        chosen = selections.usable()
+        return run_increment(
+            coded,
+            CODED_DATE,
+            CODED_COLUMNS,
+            lambda rows: coded_to_features(rows, lookup, chosen),
+            run,
+        )

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from daymatrix.model import DAY
 from daymatrix.operators.prepare import date_range, day_of
+from daymatrix.session import Folder
 from daymatrix.sources.readers import read_parquet, rows_between
-from daymatrix.sources.store import Folder, MatrixStore, StagingArea, cursor_of
+from daymatrix.sources.store import MatrixStore, StagingArea, cursor_of
 
 
 class Shown(NamedTuple):

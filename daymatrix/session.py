@@ -4,10 +4,49 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+class Folder:
+    """A folder on whatever file system its path names."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = path.rstrip("/")
+        self._jvm = spark._jvm
+        self._conf = spark._jsc.hadoopConfiguration()
+
+    def _at(self, name: str = ""):
+        path = self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+        return path.getFileSystem(self._conf), path
+
+    def exists(self, name: str = "") -> bool:
+        fs, path = self._at(name)
+        return fs.exists(path)
+
+    def names(self) -> list[str]:
+        fs, path = self._at()
+        if not fs.exists(path):
+            return []
+        return sorted(status.getPath().getName() for status in fs.listStatus(path))
+
+    def delete(self, name: str = "") -> None:
+        fs, path = self._at(name)
+        fs.delete(path, True)
+
+    def touch(self, name: str) -> None:
+        fs, path = self._at(name)
+        fs.create(path, True).close()
+
+    def rename(self, target: str) -> None:
+        fs, path = self._at()
+        if not fs.rename(path, self._jvm.org.apache.hadoop.fs.Path(target)):
+            raise OSError(f"could not rename {self.path} to {target}")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
@@ -23,9 +62,26 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
 
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh, not yet existing path below the shared folder."""
-    return f"{shared_folder(spark)}/daymatrix/{name}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing path below the shared or the scratch folder."""
+    parent = _scratch.get() or f"{shared_folder(spark)}/daymatrix"
+    return f"{parent}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Keep what is materialised inside the block in one folder, removed at its
+    end.  Results must be stored by then."""
+    path = new_folder(spark, "run")
+    token = _scratch.set(path)
+    try:
+        yield path
+    finally:
+        _scratch.reset(token)
+        Folder(spark, path).delete()
 
 
 # Rows of a selection or lookup that may be sent to every executor.

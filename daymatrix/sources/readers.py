@@ -81,12 +81,12 @@ def read_jdbc(
 def scan_range(
     df: DataFrame,
     date_column: str,
-    start: date,
+    start: date | None,
     end_exclusive: date,
     columns: list[str] | None = None,
     after: date | None = None,
 ) -> DataFrame:
-    """Rows of ``[start, end)``, optionally later than ``after``, and only the
+    """Rows of ``[start, end)`` or all before ``end``, optionally later than ``after``, and only the
     wanted columns.
 
     On date and timestamp columns the condition is on the stored column itself,
@@ -95,9 +95,9 @@ def scan_range(
     kind = df.schema[date_column].dataType
     column = day_of(df, date_column) if isinstance(kind, T.StringType) else F.col(date_column)
     target = T.DateType() if isinstance(kind, T.StringType) else kind
-    condition = (column >= F.lit(start).cast(target)) & (
-        column < F.lit(end_exclusive).cast(target)
-    )
+    condition = column < F.lit(end_exclusive).cast(target)
+    if start is not None:
+        condition = condition & (column >= F.lit(start).cast(target))
     if after is not None:
         condition = condition & (column > F.lit(after).cast(target))
     rows = df.where(condition)

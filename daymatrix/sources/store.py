@@ -17,50 +17,16 @@ from daymatrix.model import DAY, FEATURE, IS_IMPUTED, VALUE, VALUES_SCHEMA, Dail
 from daymatrix.operators.dedup import keep_last
 from daymatrix.operators.prepare import day_of, drop_future_rows
 from daymatrix.operators.quality import write_imputation_metadata
+from daymatrix.session import Folder
 from daymatrix.sources.readers import FILE_ORDER, read_parquet, with_file_order
 
-# Codec of stored files and rows per staged file.
+# Fixed value: codec of stored files.
 CODEC = "snappy"
-CHUNK_ROWS = 50_000
+# Most long rows in one staged file.
+CHUNK_ROWS = 5_000_000
 CURSOR_SCHEMA = "last_update timestamp, min_timestamp date, max_timestamp date, num_rows bigint"
 
 
-class Folder:
-    """A folder on whatever file system its path names."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.path = path.rstrip("/")
-        self._jvm = spark._jvm
-        self._conf = spark._jsc.hadoopConfiguration()
-
-    def _at(self, name: str = ""):
-        path = self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-        return path.getFileSystem(self._conf), path
-
-    def exists(self, name: str = "") -> bool:
-        fs, path = self._at(name)
-        return fs.exists(path)
-
-    def names(self) -> list[str]:
-        fs, path = self._at()
-        if not fs.exists(path):
-            return []
-        return sorted(status.getPath().getName() for status in fs.listStatus(path))
-
-    def delete(self, name: str = "") -> None:
-        fs, path = self._at(name)
-        fs.delete(path, True)
-
-    def touch(self, name: str) -> None:
-        fs, path = self._at(name)
-        fs.create(path, True).close()
-
-    def rename(self, target: str) -> None:
-        fs, path = self._at()
-        if not fs.rename(path, self._jvm.org.apache.hadoop.fs.Path(target)):
-            raise OSError(f"could not rename {self.path} to {target}")
-
-
 class _Versions:
     """Numbered folders ``v=0001`` below a path, valid once marked complete."""
 

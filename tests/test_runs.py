@@ -320,3 +320,43 @@ def test_csv_matrix(spark, tmp_path, series):
     assert readers.read_csv(spark, f"{tmp_path}/c").columns == ["day", "x"]
     with pytest.raises(FileNotFoundError):
         readers.convert_to_csv(spark, f"{tmp_path}/none", f"{tmp_path}/c2")
+
+
+def test_wide_files(spark, tmp_path, series, as_of, now):
+    from daymatrix.operators.impute import impute
+    from daymatrix.plans.full import export_wide, import_wide
+
+    real = series({"2024-01-01": 10, "2024-01-03": 20}, "DEMAND__TOTAL")
+    m = impute(DailyMatrix.observed(real), as_of, now, target_until=date(2024, 1, 3))
+    export_wide(m, f"{tmp_path}/wide")
+    back = import_wide(spark, f"{tmp_path}/wide", day="day")
+    assert values(back) == values(m)
+    assert {tuple(r) for r in back.days.collect()} == {tuple(r) for r in m.days.collect()}
+    with pytest.raises(FileNotFoundError):
+        import_wide(spark, f"{tmp_path}/none")
+
+
+def test_scratch_tables_are_removed(spark, series):
+    from daymatrix.session import Folder, materialize, scratch
+
+    with scratch(spark) as path:
+        assert materialize(series({"2024-01-01": 1})).count() == 1
+        assert Folder(spark, path).exists()
+    assert not Folder(spark, path).exists()
+
+
+def test_one_facility_may_own_most_rows(spark, as_of):
+    from daymatrix.operators.features import visit_features
+    from daymatrix.operators.prepare import clean_visits
+
+    rows = spark.range(30_000).selectExpr(
+        "date_add(DATE'2024-01-01', cast(id % 3 AS int)) AS DATA_VISITA",
+        "CASE WHEN id % 3 < 2 THEN '1' ELSE cast(id % 50 AS string) END AS UP",
+        "'S' AS SERVEI_CODI",
+    )
+    out = visit_features(clean_visits(rows), levels=("GLOBAL", "UP"))
+    totals = out.where("feature LIKE 'DEMAND!_!_TOTAL!_!_UP%' ESCAPE '!'")
+    assert totals.agg(F.sum("value")).first()[0] == 30_000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    first_exchange = plan.split("Exchange hashpartitioning")[2]
+    assert "partial_sum" in first_exchange  # combined before the first shuffle
