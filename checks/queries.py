@@ -318,7 +318,7 @@ def assemble_pieces(spark, sf):
 @query
 def mixed_to_final(spark, sf):
     """Wide totals, code rows and place rows in one frame."""
-    counts = with_region(coded(spark, sf), lookup(spark, sf), C.UNKNOWN)
+    counts = materialize(with_region(coded(spark, sf), lookup(spark, sf), C.UNKNOWN))
     code, when = F.col("code").alias("DIAG_DIAG_CODE"), F.col("day").alias("timestamp")
     totals = counts.groupBy(when).agg(F.sum("n").alias("DIAG_TOTAL"))
     by_code = counts.groupBy(when, code).agg(F.sum("n").alias("DIAG_COUNT"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from daymatrix.functions import cleaning as C
 from daymatrix.model import DAY, IS_IMPUTED, broadcast_days
 from daymatrix.operators.prepare import day_of
+from daymatrix.session import materialize
 
 
 def calendar(bounds: DataFrame, start: Column, end: Column) -> DataFrame:
@@ -60,7 +61,7 @@ def last_contiguous_day(df: DataFrame, day: str = DAY) -> DataFrame:
     A day starts a gap when the next calendar day is unknown; the earliest such
     day is the answer, and without a gap it is the last day itself.
     """
-    known = real_days(df, day)
+    known = materialize(real_days(df, day), "days")
     next_known = known.select(F.date_sub(DAY, 1).alias(DAY))
     gap_starts = known.join(broadcast_days(next_known), DAY, "left_anti")
     return gap_starts.agg(F.min(DAY).alias("last_contiguous_day"))

@@ -95,11 +95,12 @@ def code_selection(selection: DataFrame) -> DataFrame:
         expand_code_spec(spec).alias("codes"),
         (F.col(f"`{group}`") if group else F.lit(None).cast("string")).alias("group"),
     ).where("size(codes) > 0")
-    codes = rows.select(
-        F.explode("codes").alias("code"), F.col("codes")[0].alias("first"), "group"
-    )
-    alias = C.alias("group", "first") if group else F.col("code")
-    return codes.select("code", alias.alias("alias")).distinct()
+    if not group:
+        codes = rows.select(F.explode("codes").alias("code")).distinct()
+        return codes.withColumn("alias", F.col("code"))
+    # one alias per specification, before it becomes many rows
+    named = rows.withColumn("alias", C.alias("group", F.col("codes")[0]))
+    return named.select(F.explode("codes").alias("code"), "alias").distinct()
 
 
 def expand_code_aliases(

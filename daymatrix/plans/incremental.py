@@ -62,12 +62,15 @@ def staged_matrix(
         return None
     if with_range:
         rows = rows.where(date_range(F.col(DAY), *with_range))
-    if len(runs) > 1:
-        last_run = rows.groupBy(DAY).agg(F.max("run").alias("run"))
-        rows = rows.join(broadcast_days(last_run), [DAY, "run"], "left_semi")
+    return latest_run_per_day(rows)
+
+
+def latest_run_per_day(rows: DataFrame) -> DailyMatrix:
+    """Matrix of staged rows with their ``run``: of every day the latest run."""
+    last_run = materialize(rows.groupBy(DAY).agg(F.max("run").alias("run")), "days")
+    rows = rows.join(broadcast_days(last_run), [DAY, "run"], "left_semi")
     summed = rows.groupBy(DAY, FEATURE).agg(F.sum(VALUE).cast("double").alias(VALUE))
-    days = materialize(rows.select(DAY).distinct(), "days")
-    return DailyMatrix(summed.select(DAY, FEATURE, VALUE), observed_days(days))
+    return DailyMatrix(summed.select(DAY, FEATURE, VALUE), observed_days(last_run))
 
 
 def publish(
@@ -190,7 +193,8 @@ def run_increment(
     rows = scan_range(
         source, date_column, window.start, window.end_exclusive, [date_column, *columns]
     )
-    run.staging.append(features(rows), run.run_name, run.as_of)
+    counts = features(rows).withColumn(VALUE, F.col(VALUE).cast("double"))
+    run.staging.append(counts, run.run_name, run.as_of)
     version = publish(
         run.store,
         run.staging,

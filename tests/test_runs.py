@@ -360,3 +360,19 @@ def test_one_facility_may_own_most_rows(spark, as_of):
     plan = out._jdf.queryExecution().executedPlan().toString()
     first_exchange = plan.split("Exchange hashpartitioning")[2]
     assert "partial_sum" in first_exchange  # combined before the first shuffle
+
+
+def test_staged_files_are_published_once_by_the_stream(spark, tmp_path, series, as_of, now, places):
+    from daymatrix.streaming.publish import publish_available
+
+    store, staging = places
+    checkpoint = f"{tmp_path}/checkpoint"
+    staging.append(series({"2024-01-01": 1, "2024-01-02": 2}), "1", as_of)
+    publish_available(spark, staging, store, checkpoint, as_of, now)
+    staging.append(series({"2024-01-02": 5, "2024-01-04": 6}), "2", as_of)
+    publish_available(spark, staging, store, checkpoint, as_of, now, impute_until=date(2024, 1, 4))
+    publish_available(spark, staging, store, checkpoint, as_of, now)
+    assert store.versions.all() == [1, 2]  # the third time there was nothing new
+    out = values(store.load())
+    assert (out["2024-01-01", "x"], out["2024-01-02", "x"], out["2024-01-03", "x"]) == (1, 5, 4)
+    assert staging.cursor.last_day() == date(2024, 1, 4)
