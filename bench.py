@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the threads.  Every query runs
-once to warm up and then three times; its median counts.
+once to warm up and then ``BENCH_RUNS`` times (2); the median counts.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")

@@ -29,10 +29,16 @@ def _col(c: Column | str) -> Column:
 
 
 def text(c: Column | str) -> Column:
-    """Text without surrounding white space.
+    """Text without surrounding white space."""
+    return F.btrim(_col(c).cast("string"), F.lit(WHITESPACE))
+
+
+def stored_text(c: Column | str) -> Column:
+    """The same as ``text`` for stored columns of raw facts.
 
     Trimming a set of characters costs many times a plain trim, so it is kept
-    for the rare texts that hold a tab or a line break.
+    for the rare texts that hold a tab or a line break.  The column is named
+    several times, hence only for stored columns, not for nested expressions.
     """
     raw = _col(c).cast("string")
     unusual = raw.contains("\t") | raw.contains("\n") | raw.contains("\r")
@@ -40,8 +46,7 @@ def text(c: Column | str) -> Column:
 
 
 def blank_to_null(c: Column | str) -> Column:
-    trimmed = text(c)
-    return F.when(trimmed != "", trimmed)
+    return F.nullif(text(c), F.lit(""))
 
 
 def to_day(c: Column | str, data_type: T.DataType | None = None) -> Column:
@@ -61,7 +66,10 @@ def facility(c: Column | str) -> Column:
 
     A fixed length would cut longer codes.
     """
-    code = text(c)
+    return _padded(stored_text(c))
+
+
+def _padded(code: Column) -> Column:
     return F.lpad(code, F.greatest(F.length(code), F.lit(FACILITY_WIDTH)), "0")
 
 
@@ -71,7 +79,7 @@ def region(c: Column | str) -> Column:
 
 def category(c: Column | str) -> Column:
     """Category label: trimmed, null and blank become ``NA``."""
-    return F.coalesce(blank_to_null(c), F.lit(NOT_AVAILABLE))
+    return F.coalesce(F.nullif(stored_text(c), F.lit("")), F.lit(NOT_AVAILABLE))
 
 
 def visit_class(c: Column | str) -> Column:
@@ -99,7 +107,7 @@ def region_or_default(c: Column | str, default: str) -> Column:
 
 def code3(c: Column | str) -> Column:
     """First three characters of a trimmed, upper-cased code; blank is null."""
-    return F.upper(F.substring(blank_to_null(c), 1, 3))
+    return F.nullif(F.upper(F.substring(stored_text(c), 1, 3)), F.lit(""))
 
 
 def geo_label(c: Column | str, level: str) -> Column:
@@ -108,7 +116,7 @@ def geo_label(c: Column | str, level: str) -> Column:
     if level == "RS":
         return F.upper(label)
     if level == "UP":
-        return facility(label)
+        return _padded(label)
     return label
 
 

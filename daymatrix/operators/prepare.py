@@ -97,14 +97,14 @@ def clean_visits(
     label = C.visit_class(class_column) if has_class else F.lit(C.NOT_AVAILABLE)
     raw = [c for c in VISIT_CATEGORIES if c in visits.columns and c != class_column]
     counts = C.number(value_column) if value_column else F.lit(1).cast("bigint")
-    return with_day(visits, date_column).select(
+    cleaned = with_day(visits, date_column).select(
         day_of(visits, date_column).alias("day"),
         F.coalesce(C.facility(facility_column), F.lit(C.UNKNOWN)).alias("up"),
         *[C.category(c).alias(c) for c in raw],
         label.alias("TIPUS_CLASS"),
-        C.visit_class_group(label).alias("TIPUS_VISITA_AGRUPAT"),
         counts.alias("counts"),
     )
+    return cleaned.withColumn("TIPUS_VISITA_AGRUPAT", C.visit_class_group("TIPUS_CLASS"))
 
 
 def prepare_visits(visits: DataFrame, lookup: DataFrame, **columns) -> DataFrame:
