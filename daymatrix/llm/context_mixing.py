@@ -42,8 +42,8 @@ ORDERS = 5
 SYMBOL_BITS = 9
 SLOT_BITS = 19
 SLOTS = 1 << SLOT_BITS
-BLOCK = 1 << 22  # symbols handled at once
-KEPT = 1 << 22  # windows a worker keeps the result of
+BLOCK = 1 << 20  # symbols handled at once
+KEPT = 1 << 21  # windows a worker keeps the result of
 PART = 1 << 13  # slots of a table sent in one row
 DEPTHS = 8
 GATES = (ORDERS + 1) * DEPTHS
@@ -100,7 +100,7 @@ def blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for at in range(0, len(raw) + 1, BLOCK):
             part = whole[at : at + BLOCK + ORDERS]
             parts.append(_windows(part))
-            owners.append(np.full(len(part) - ORDERS, i))
+            owners.append(np.full(len(part) - ORDERS, i, dtype=np.int32))
             size += len(part)
             if size >= BLOCK:
                 yield np.concatenate(parts), np.concatenate(owners)
@@ -163,7 +163,7 @@ class Kept:
         new = np.flatnonzero(~known)
         for some in np.array_split(new, len(new) // 100_000 + 1):
             out[some] = model.log2(windows[some])
-        if len(self.windows) + len(new) > KEPT:
+        if len(self.windows) + len(new) > KEPT:  # begin anew
             self.__init__()
             new = np.arange(len(windows))
         spots = np.searchsorted(self.windows, windows[new])
@@ -393,7 +393,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
             for text in batch["text"]:
                 found.update(words(text))
                 found[NO_TOKEN] += 1
-            if len(found) > 500_000:
+            if len(found) > 250_000:
                 yield _tokens(found)
                 found.clear()
         yield _tokens(found)
@@ -445,7 +445,7 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
                 for token, tf in found.items():
                     h = hashes.get(token)
                     if h is None:
-                        if len(hashes) > 300_000:
+                        if len(hashes) > 200_000:
                             hashes.clear()
                         h = hashes[token] = token_hash(token)
                     n += tf
