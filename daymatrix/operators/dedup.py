@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,3 +19,18 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     last = F.max_by(F.struct(*rest) if rest else F.lit(0), F.struct(*order))
     out = df.groupBy(*keys).agg(last.alias("_last"))
     return out.select(*keys, *[F.col("_last")[c].alias(c) for c in rest])
+
+
+def stored_order(df: DataFrame) -> Column:
+    """The order in which rows are stored: file, part of the file, row.
+
+    ``df`` must be a scan, filtered or projected at most.  Frames that come from no
+    file have the order of their rows.
+    """
+    row = F.monotonically_increasing_id()
+    try:
+        df.select("_metadata.file_name")
+    except AnalysisException:
+        return F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("part"), row.alias("row"))
+    meta = F.col("_metadata")
+    return F.struct(meta["file_name"].alias("file"), meta["file_block_start"].alias("part"), row.alias("row"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from daymatrix.functions.naming import DEMAND, DIAGNOSIS, join_name, rename_columns
 from daymatrix.model import DAY, FEATURE, DailyMatrix, broadcast_days
-from daymatrix.operators.dedup import keep_last
+from daymatrix.operators.dedup import keep_last, stored_order
 from daymatrix.operators.fill import apply_weights, fill_weights
 from daymatrix.operators.prepare import drop_future_rows
 from daymatrix.session import materialize
@@ -92,7 +92,7 @@ def union_in_order(pieces: list[DataFrame], order: list[str] | None = None):
     numbered = []
     for number, piece in enumerate(pieces):
         if order is None:
-            piece = piece.withColumn("_row", F.monotonically_increasing_id())
+            piece = piece.withColumn("_row", stored_order(piece))
         numbered.append(piece.withColumn("_piece", F.lit(number)))
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
     return union, ["_piece", *inner]

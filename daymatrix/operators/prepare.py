@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from daymatrix.functions import cleaning as C
 from daymatrix.functions.naming import VISIT_CATEGORIES
-from daymatrix.operators.dedup import keep_last
+from daymatrix.operators.dedup import keep_last, stored_order
 from daymatrix.session import materialize
 
 
@@ -38,13 +38,14 @@ def with_day(df: DataFrame, column: str) -> DataFrame:
 
 
 def date_range(day: Column, start: date | None, end: date | None) -> Column:
-    """Inclusive range.  A null day fails as soon as one bound is given."""
+    """Inclusive range, in a form that reaches the scan.  A null day gives null, which
+    fails as a filter, as soon as one bound is given."""
     condition = F.lit(True)
     if start is not None:
         condition = condition & (day >= F.lit(start))
     if end is not None:
         condition = condition & (day < F.date_add(F.lit(end), 1))
-    return F.coalesce(condition, F.lit(False))
+    return condition
 
 
 def drop_future_rows(df: DataFrame, column: str, as_of: date) -> DataFrame:
@@ -58,13 +59,13 @@ def facility_lookup(
 ) -> DataFrame:
     """Clean facility to region table ``(up, rs)``, one row per facility.
 
-    Of several rows for one facility the last in ``order`` wins, or the one with
-    the greatest region label when the table has no order.
+    Of several rows for one facility the last in ``order`` wins; without ``order``
+    the rows count in file order.
     """
     cleaned = lookup.select(
         C.facility(code).alias("up"),
         C.region(region).alias("rs"),
-        (F.col(order) if order else C.region(region)).alias("_order"),
+        (F.col(order) if order else stored_order(lookup)).alias("_order"),
     ).where("up IS NOT NULL")
     return keep_last(cleaned, ["up"], ["_order"])
 

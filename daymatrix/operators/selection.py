@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daymatrix.functions import cleaning as C
 from daymatrix.functions.codes import expand_code_spec
-from daymatrix.operators.dedup import keep_last
+from daymatrix.operators.dedup import keep_last, stored_order
 from daymatrix.session import materialize
 
 # Accepted column names of a geographic selection.
@@ -36,7 +36,7 @@ def geo_selection(
     columns = [c for c in selection.columns if c != order]
     source = _named(selection, _SOURCE_NAMES) or columns[min(1, len(columns) - 1)]
     alias = _named(selection, _ALIAS_NAMES) or (columns[0] if len(columns) > 1 else source)
-    position = F.col(order) if order else F.monotonically_increasing_id()
+    position = F.col(order) if order else stored_order(selection)
     cleaned = selection.select(
         F.nullif(normalize(F.col(f"`{source}`")), F.lit("")).alias("source"),
         F.col(f"`{alias}`").alias("_alias"),
@@ -73,9 +73,9 @@ def keep_selected(
 ) -> DataFrame:
     """Keep the rows whose value is selected and replace it by its alias.
 
-    Without a selection every row is kept as it is.
+    Without a selection, or with an empty one, every row is kept as it is.
     """
-    if selection is None:
+    if selection is None or selection.isEmpty():
         return df
     keyed = df.withColumn("_source", normalize(F.col(column)))
     joined = keyed.join(selection.withColumnRenamed("source", "_source"), "_source")

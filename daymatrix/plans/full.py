@@ -42,7 +42,7 @@ def full_visits(
 ) -> DailyMatrix:
     """Matrix of all visits up to ``as_of``, optionally of an inclusive range."""
     rows = _scan(visits, VISIT_DATE, VISIT_COLUMNS, as_of, start, end)
-    features = visits_to_features(rows, lookup, selections)
+    features = visits_to_features(rows, lookup, selections.usable())
     return DailyMatrix.observed(materialize(features, "visits"))
 
 
@@ -56,7 +56,7 @@ def full_coded(
 ) -> DailyMatrix:
     """Matrix of all coded rows up to ``as_of``, optionally of an inclusive range."""
     rows = _scan(coded, CODED_DATE, CODED_COLUMNS, as_of, start, end)
-    features = coded_to_features(rows, lookup, selections)
+    features = coded_to_features(rows, lookup, selections.usable())
     return DailyMatrix.observed(materialize(features, "coded"))
 
 

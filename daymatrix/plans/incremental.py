@@ -29,6 +29,7 @@ from daymatrix.operators.prepare import (
     require_columns,
 )
 from daymatrix.operators.selection import non_empty
+from daymatrix.plans.maintenance import replace_dataset, without_days
 from daymatrix.plans.windows import Window, latest, processing_window, resume_day
 from daymatrix.session import is_small, materialize, scratch
 from daymatrix.sources.readers import date_bounds, scan_range
@@ -53,15 +54,22 @@ def replace_days(stored: DailyMatrix, new: DailyMatrix) -> DailyMatrix:
 
 
 def staged_matrix(
-    staging: StagingArea, runs: list[str], with_range: tuple[date, date] | None = None
+    staging: StagingArea,
+    runs: list[str],
+    with_range: tuple[date, date] | None = None,
+    news: list[str] | None = None,
 ) -> DailyMatrix | None:
     """Staged rows as a matrix.  Pieces of one run add up; of several runs that
-    hold the same day the latest run counts."""
+    hold the same day the latest run counts.  ``news`` limits it to the days of
+    those runs."""
     rows = staging.load(runs)
     if rows is None:
         return None
     if with_range:
         rows = rows.where(date_range(F.col(DAY), *with_range))
+    if news is not None:
+        touched = rows.where(F.col("run").isin(news)).select(DAY).distinct()
+        rows = rows.join(broadcast_days(touched), DAY, "left_semi")
     return latest_run_per_day(rows)
 
 
@@ -82,15 +90,19 @@ def publish(
     impute_until: date | None = None,
     with_range: tuple[date, date] | None = None,
     clear: bool = True,
+    news: list[str] | None = None,
 ) -> int | None:
     """Publish staged rows: replace whole days of the stored matrix, estimate
     missing days when a target day is given, write a new version.
 
     Later days that are already stored stay observed, also when an older range
-    was reprocessed.  Staged runs are removed only after the version is written.
+    was reprocessed.  Staged rows are removed only after the version is written, and
+    only those in ``with_range``; a run that has others keeps them.  ``news`` names
+    the runs whose days are published, by default all.  Rows past the retention
+    period are removed once everything staged is published.
     """
     runs = staging.runs()
-    new = staged_matrix(staging, runs, with_range)
+    new = staged_matrix(staging, runs, with_range, news)
     if new is None:
         return None
     matrix = replace_days(store.load(), new) if store.exists() else new
@@ -108,11 +120,25 @@ def publish(
     version = store.publish(matrix, as_of, created_at)
     if version is not None:
         staging.cursor.write(cursor_of(store.load().days, created_at))
-        if clear:
+        if clear and with_range:
+            _clear_range(staging, runs, *with_range)
+        elif clear:
             staging.clear(runs)
+        elif with_range is None and news is None:
+            staging.expire(as_of)
     return version
 
 
+def _clear_range(staging: StagingArea, runs: list[str], start: date, end: date) -> None:
+    """Remove the staged rows of an inclusive range of days."""
+    for run in runs:
+        rest = without_days(staging.load([run]), start, end).drop("run")
+        if rest.isEmpty():
+            staging.clear([run])
+        else:
+            replace_dataset(rest, f"{staging.folder.path}/run={run}", backup=None)
+
+
 def refresh_imputation(
     store: MatrixStore, as_of: date, created_at: datetime, impute_until: date | None
 ) -> int | None:

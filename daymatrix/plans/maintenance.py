@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from daymatrix.model import DAY
 from daymatrix.operators.prepare import date_range, day_of
-from daymatrix.session import Folder
+from daymatrix.session import Folder, materialize
 from daymatrix.sources.readers import read_parquet, rows_between
 from daymatrix.sources.store import MatrixStore, StagingArea, cursor_of
 
@@ -45,7 +45,7 @@ def without_days(df: DataFrame, start: date, end: date, day: str = DAY) -> DataF
         raise ValueError("deleting rows needs a start and an end")
     if start > end:
         raise ValueError("start cannot be after end")
-    return df.where(~date_range(day_of(df, day), start, end))
+    return df.where(~F.coalesce(date_range(day_of(df, day), start, end), F.lit(False)))
 
 
 class Deleted(NamedTuple):
@@ -78,7 +78,8 @@ def delete_days(
         return Deleted(total - remaining, remaining, None, cursor if dry_run else None)
     previous = store.versions.latest()
     outside = ~date_range(F.col(DAY), start, end)
-    store.publish(stored.select_days(outside), now.date(), now, allow_empty=True)
+    last = stored.days.agg(F.max(DAY)).first()[0]  # days after ``now`` are not asked for
+    store.publish(stored.select_days(outside), max(last, now.date()), now, allow_empty=True)
     if staging is not None:
         staging.cursor.write(cursor)
     if not create_backup:
@@ -108,9 +109,10 @@ def delete_staged_days(
     cursor = cursor_of(combined, now, day, before=start)
     if dry_run or remaining == total:
         return Deleted(total - remaining, remaining, None, cursor if dry_run else None)
-    staging.cursor.write(cursor)
+    cursor = materialize(cursor, "cursor")  # it is read from what is about to go
     path = f"{staging.folder.path}/run={run}"
     replace_dataset(kept.drop("run"), path, backup=None)
+    staging.cursor.write(cursor)
     return Deleted(total - remaining, remaining, None, staging.cursor.read())
 
 

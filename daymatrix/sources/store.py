@@ -190,8 +190,6 @@ class StagingArea:
             .option("maxRecordsPerFile", chunk_rows)
             .parquet(f"{self.folder.path}/run={run}")
         )
-        if self.retention_days and self.retention_days > 0:
-            self.expire(as_of, timestamp)
 
     def load(self, runs: list[str] | None = None) -> DataFrame | None:
         """Rows of the given or all runs with their ``run``; None when empty."""
@@ -228,7 +226,10 @@ class StagingArea:
         return len(runs)
 
     def expire(self, as_of: date, timestamp: str = DAY) -> list[str]:
-        """Remove files whose latest row is older than the retention period."""
+        """Remove files whose latest row is older than the retention period.
+
+        Meant for rows that are published; publications that keep their runs call it.
+        """
         rows = self.load()
         if rows is None or not self.retention_days or self.retention_days <= 0:
             return []

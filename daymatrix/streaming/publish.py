@@ -1,9 +1,11 @@
 """Publication of staged rows by a stream over the staging folder.
 
-The stream's checkpoint remembers which staged files are processed, in place of
-clearing them.  It is a batch job in streaming form: it takes what is there and
-stops, and whole days are replaced as in any other publication, so a batch that
-is repeated after a failure changes nothing.
+The stream only tells that files have arrived.  What is published are complete runs:
+those whose writer has finished and that carry no mark of being published yet, the
+marks lying beside the stream's checkpoint in place of clearing the runs.  A run whose
+files arrive in several batches is thus published whole, and of each of its days the
+latest run counts, also if an older one arrives late.  Whole days are replaced as in
+any other publication, so a batch that is repeated after a failure changes nothing.
 """
 
 from __future__ import annotations
@@ -11,13 +13,11 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from daymatrix.model import DAY, FEATURE, VALUE, VALUES_SCHEMA
-from daymatrix.operators.impute import impute
-from daymatrix.plans.incremental import latest_run_per_day, replace_days
-from daymatrix.session import scratch
-from daymatrix.sources.store import MatrixStore, StagingArea, cursor_of
+from daymatrix.model import VALUES_SCHEMA
+from daymatrix.plans.incremental import publish
+from daymatrix.session import Folder, scratch
+from daymatrix.sources.store import MatrixStore, StagingArea
 
 
 def publish_available(
@@ -29,16 +29,23 @@ def publish_available(
     created_at: datetime,
     impute_until: date | None = None,
 ) -> None:
-    """Publish all staged files that were not published before, then stop."""
-
-    def publish_batch(batch: DataFrame, _: int) -> None:
-        with scratch(spark):
-            rows = batch.select(DAY, FEATURE, VALUE, "run")
-            matrix = replace_days(store.load(), latest_run_per_day(rows))
-            if impute_until is not None:
-                matrix = impute(matrix, as_of, created_at, target_until=impute_until)
-            if store.publish(matrix, as_of, created_at) is not None:
-                staging.cursor.write(cursor_of(store.load().days, created_at))
+    """Publish all complete runs that were not published before, then stop."""
+    marks = Folder(spark, f"{checkpoint.rstrip('/')}-published")
+
+    def publish_runs() -> None:
+        done = set(marks.names())
+        news = [run for run in staging.runs() if f"run={run}" not in done]
+        if news:
+            with scratch(spark):
+                publish(
+                    store, staging, as_of, created_at,
+                    impute_until=impute_until, clear=False, news=news,
+                )
+            for run in news:
+                marks.touch(f"run={run}")
+
+    def publish_batch(_batch: DataFrame, _: int) -> None:
+        publish_runs()
 
     files = (
         spark.readStream.schema(f"{VALUES_SCHEMA}, run string")
@@ -52,3 +59,4 @@ def publish_available(
         .start()
     )
     query.awaitTermination()
+    publish_runs()  # runs whose writer finished after their files had been seen

@@ -300,6 +300,8 @@ def test_staged_rows_and_retention(spark, tmp_path):
     staging.append(named.where("n < 3"), "1", date(2024, 1, 5), "timestamp", chunk_rows=1)
     assert staging.load().count() == 1  # the later row was in the future
     staging.append(named.where("n > 1"), "2", date(2024, 1, 21), "timestamp")
+    assert staging.load_rows().count() == 2  # nothing goes before it is published
+    staging.expire(date(2024, 1, 21), "timestamp")
     loaded = staging.load_rows().collect()  # the first file has expired
     assert [(r["DIAG_CODE"], r["data_id"]) for r in loaded] == [("B", "2024-01-20_B")]
     unnamed = with_row_identity(spark.createDataFrame([(date(2024, 1, 1), 1)], "timestamp date, n int"))
@@ -376,3 +378,93 @@ def test_staged_files_are_published_once_by_the_stream(spark, tmp_path, series,
     out = values(store.load())
     assert (out["2024-01-01", "x"], out["2024-01-02", "x"], out["2024-01-03", "x"]) == (1, 5, 4)
     assert staging.cursor.last_day() == date(2024, 1, 4)
+
+
+def staged(spark, staging, run, values, as_of):
+    rows = [(date.fromisoformat(d), f, float(v)) for d, f, v in values]
+    staging.append(spark.createDataFrame(rows, "day date, feature string, value double"), run, as_of)
+
+
+def test_stream_keeps_later_days_split_runs_and_newer_runs(spark, as_of, now, tmp_path):
+    from daymatrix.streaming.publish import publish_available
+
+    staging, store = StagingArea(spark, f"{tmp_path}/s"), MatrixStore(spark, f"{tmp_path}/m")
+    staged(spark, staging, "2", [("2024-01-01", "x", 1), ("2024-03-01", "x", 5)], as_of)
+    publish = lambda: publish_available(
+        spark, staging, store, f"{tmp_path}/c", as_of, now, impute_until=date(2024, 1, 10)
+    )
+    publish()
+    assert values(store.load())["2024-03-01", "x"] == 5  # later than the target
+    staged(spark, staging, "1", [("2024-01-01", "x", 7), ("2024-01-01", "y", 8)], as_of)
+    publish()
+    found = values(store.load())  # the older run arrived late
+    assert found["2024-01-01", "x"] == 1 and ("2024-01-01", "y") not in found
+    # A run that is still being written is published once it is complete.
+    staged(spark, staging, "3", [("2024-01-01", "y", 2)], as_of)
+    marker = tmp_path / "s" / "runs" / "run=3" / "_SUCCESS"
+    marker.unlink()
+    publish()
+    assert ("2024-01-01", "y") not in values(store.load())
+    spark.createDataFrame([(date(2024, 1, 1), "z", 3.0)], "day date, feature string, value double").write.mode(
+        "append"
+    ).parquet(f"{tmp_path}/s/runs/run=3")
+    publish()
+    found = values(store.load())
+    assert found["2024-01-01", "y"] == 2 and found["2024-01-01", "z"] == 3
+
+
+def test_publishing_a_range_keeps_the_other_staged_days(spark, as_of, now, tmp_path):
+    from daymatrix.plans.incremental import publish
+
+    staging, store = StagingArea(spark, f"{tmp_path}/s", retention_days=1), MatrixStore(spark, f"{tmp_path}/m")
+    staged(spark, staging, "1", [("2024-01-01", "x", 1), ("2024-01-02", "x", 2)], as_of)
+    first = date(2024, 1, 1)
+    publish(store, staging, as_of, now, with_range=(first, first))
+    assert staging.runs() == ["1"] and staging.load().count() == 1
+    publish(store, staging, as_of, now)
+    assert staging.runs() == []
+    assert values(store.load()) == {("2024-01-01", "x"): 1, ("2024-01-02", "x"): 2}
+
+
+def test_deleting_days_keeps_days_after_now(spark, series, now, tmp_path):
+    store = MatrixStore(spark, f"{tmp_path}/m")
+    store.publish(DailyMatrix.observed(series({"2026-01-01": 1, "2026-01-02": 2, "2026-09-01": 3})), date(2026, 12, 1), now)
+    day = date(2026, 1, 2)
+    done = delete_days(store, day, day, now)
+    assert done.remaining == 2
+    assert values(store.load()) == {("2026-01-01", "x"): 1, ("2026-09-01", "x"): 3}
+
+
+def test_an_empty_selection_selects_everything(spark, sample, as_of):
+    from daymatrix.plans.full import full_visits
+    from daymatrix.plans.incremental import Selections
+
+    visits, _, lookup = sample
+    none = facility_lookup(lookup).select(F.col("rs").alias("source"), F.col("rs").alias("alias")).limit(0)
+    every = full_visits(visits, facility_lookup(lookup), as_of)
+    assert values(full_visits(visits, facility_lookup(lookup), as_of, Selections(regions=none))) == values(every)
+
+
+def test_the_last_stored_row_of_a_lookup_or_selection_wins(spark, tmp_path):
+    from daymatrix.operators.selection import region_selection
+    from daymatrix.sources.readers import read_csv
+
+    (tmp_path / "l").mkdir()
+    (tmp_path / "l" / "a.csv").write_text("Codi UP,RS\n1,z\n1,a\n2,q\n")
+    (tmp_path / "l" / "b.csv").write_text("Codi UP,RS\n2,b\n" + "".join(f"{i},r\n" for i in range(3, 500)))
+    found = {r["up"]: r["rs"] for r in facility_lookup(read_csv(spark, f"{tmp_path}/l")).collect()}
+    assert found["00001"] == "A" and found["00002"] == "B"
+    (tmp_path / "r").mkdir()
+    (tmp_path / "r" / "a.csv").write_text("geo_id,RS\nX,GIRONA\n")
+    (tmp_path / "r" / "b.csv").write_text("geo_id,RS\nY,GIRONA\n" + "".join(f"N{i},R{i}\n" for i in range(500)))
+    found = {r["source"]: r["alias"] for r in region_selection(read_csv(spark, f"{tmp_path}/r")).collect()}
+    assert found["GIRONA"] == "Y"
+
+
+def test_ranges_reach_the_scan(spark, tmp_path):
+    from daymatrix.sources.readers import rows_between
+
+    spark.createDataFrame([(date(2024, 1, 1), 1)], "day date, n int").write.parquet(f"{tmp_path}/t")
+    rows = rows_between(spark.read.parquet(f"{tmp_path}/t"), "day", date(2024, 1, 1), date(2024, 2, 1))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(day" in plan and "LessThan(day" in plan
