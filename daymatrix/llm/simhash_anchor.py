@@ -101,8 +101,9 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     homes, replicas = anchors(prints)
     a, b = homes.withColumnRenamed("fp", "a"), replicas.withColumnRenamed("fp", "b")
     differ = F.col("a").bitwiseXOR(F.col("b"))
-    # A pair that is close in both halves meets twice; only the first half's counts.
-    first = (F.col("half") == 0) | (F.bit_count(differ.bitwiseAND(F.lit(0xFFFFFFFF))) > 1)
+    # A pair may meet in both halves; it counts in the first that it is close in.
+    close = F.bit_count(differ.bitwiseAND(F.lit(0xFFFFFFFF))) <= 1
+    first = close == (F.col("half") == 0)
     return (
         a.join(b, ["half", "anchor"])
         .where((F.col("a") < F.col("b")) & (F.bit_count(differ) <= max_bits) & first)

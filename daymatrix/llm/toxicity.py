@@ -38,6 +38,7 @@ MAX_PASSAGES = 40_000
 EPOCHS = 3
 RELABELLINGS = 1
 BATCH = 256
+MIN_STEPS = 500  # few passages are gone through more often
 RATE = 1.0
 DAMPING = 3e-4
 SEED = 11
@@ -167,7 +168,9 @@ class _Trainer:
         """Learn from the chosen passages; both labels count the same."""
         n, weights = len(chosen), _even(labels[chosen])
         weights = np.bincount(chosen, weights=weights, minlength=len(labels))
-        steps, done = epochs * -(-n // BATCH), 0
+        once = -(-n // BATCH)
+        epochs = max(epochs, -(-MIN_STEPS // once))
+        steps, done = epochs * once, 0
         for _ in range(epochs):
             order = chosen[self.random.permutation(n)]
             for i in range(0, n, BATCH):
