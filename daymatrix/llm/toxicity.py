@@ -10,8 +10,8 @@ vanish in the mean of a long text; a document is as toxic as its worst passage.
 Training starts with every passage labelled as its document and goes on with those
 passages of labelled documents that turned out innocent relabelled.
 
-The model is fitted in one task on at most about ``MAX_PASSAGES`` passages of each
-label (a documented bound; beyond it a hash of the id decides which documents).  Scoring
+The model is fitted in one task on the whole texts of about ``MAX_DOCUMENTS`` documents
+of each label at most (a documented bound; beyond it a hash of the id decides).  Scoring
 is a map over all whole texts.
 """
 
@@ -34,7 +34,7 @@ PASSAGE = 24
 BUCKETS = 1 << 17
 SIZE = 8
 GRAMS = (3, 4, 5)
-MAX_PASSAGES = 40_000
+MAX_DOCUMENTS = 2_000
 EPOCHS = 3
 RELABELLINGS = 1
 BATCH = 256
@@ -42,7 +42,7 @@ MIN_STEPS = 500  # few passages are gone through more often
 RATE = 1.0
 DAMPING = 3e-4
 SEED = 11
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 _STRIP = b".,;:!?\"'()[]{}%$#*&|<>"
 
 
@@ -267,7 +267,7 @@ def _worst(p: np.ndarray, owners: np.ndarray) -> np.ndarray:
     return order[np.flatnonzero(np.diff(owners[order], prepend=-1))]
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str, fold: Column, max_passages: int = MAX_PASSAGES) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str, fold: Column, max_documents: int = MAX_DOCUMENTS) -> Model:
     """Model of ``label`` (0/1) learnt from labelled rows in ``fold``, a condition on
     doc_id.  Null or other labels and ids labelled differently are ignored; without
     rows of both labels all scores are (nearly) the share of ones."""
@@ -281,12 +281,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, fold: Column, max_passag
     def cut(texts: pd.Series) -> pd.Series:
         return pd.Series([passages(t) for t in texts], dtype=object)
 
+    sizes = {r.label: r["count"] for r in marks.groupBy("label").count().collect()}
+    share = F.when(F.col("label") == 1, F.lit(min(1.0, max_documents / sizes.get(1, 1)))).otherwise(
+        F.lit(min(1.0, max_documents / sizes.get(0, 1)))
+    )
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    counted = docs.where(fold).select("doc_id", "text").join(marks, "doc_id")
-    sizes = counted.groupBy("label").agg(F.sum(F.size(F.split("text", r"[\x20\x09-\x0D]+")) / PASSAGE + 1).alias("n")).collect()
-    share = {r.label: min(1.0, max_passages / max(1.0, r.n or 1.0)) for r in sizes}
-    part = F.when(F.col("label") == 1, F.lit(share.get(1, 1.0))).otherwise(F.lit(share.get(0, 1.0)))
-    sample = counted.where(spread < part * (1 << 20)).select(
+    # Of bounded size, so the texts stay where they are.
+    chosen = F.broadcast(marks.where(spread < share * (1 << 20)))
+    sample = docs.where(fold).select("doc_id", "text").join(chosen, "doc_id").select(
         "doc_id", "label", F.posexplode(cut("text")).alias("place", "passage")
     )
 
