@@ -20,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -74,9 +75,13 @@ class Model:
     table: np.ndarray  # the buckets' shares in the difference of both classes' scores
     bias: float
 
+    @cached_property
+    def _values(self) -> list[float]:
+        return self.table.tolist()  # single look-ups are faster than in an array
+
     def word(self, word: bytes) -> float:
         ids = subwords(word)
-        return float(self.table[ids].mean())
+        return sum(map(self._values.__getitem__, ids)) / len(ids)
 
     def score(self, text: str | None, cache: dict[bytes, float]) -> float:
         w = _words(text)
