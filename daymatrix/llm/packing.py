@@ -25,7 +25,7 @@ from daymatrix.session import materialize
 MAX_TOKENS = 4096
 END_ID = 1
 GROUP = 50_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000  # some 250 MB a worker
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
