@@ -211,6 +211,30 @@ contig AS (SELECT min(d) AS last FROM days WHERE d + 1 NOT IN (SELECT d FROM day
 IDENTIFIED = """
 counted AS (SELECT d, up, code, CAST(count(*) AS BIGINT) AS n FROM coded GROUP BY d, up, code)"""
 
+TOTALS = """
+SELECT CAST(d AS VARCHAR) AS day, 'DEMAND__TOTAL' AS feature, CAST(count(*) AS DOUBLE) AS value FROM visits GROUP BY d"""
+
+#: Every category of the visit tables and the column of ``classed`` that holds it.
+CATEGORIES = {
+    ("VISI_LLOC_VISITA", "place"): ("F", "O", "P"),
+    ("VISI_SITUACIO_VISITA", "situation"): ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
+    ("SERVEI_CODI", "service"): ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
+    ("TIPUS_CLASS", "class"): ("C9C", "C9R", "CALTRE", "D9D", "DALTRE", "9T", "NA"),
+    ("TIPUS_VISITA_AGRUPAT", "grp"): ("PRESENCIAL", "DOMICILIARIA", "TELEFONICA", "NA"),
+}
+
+
+def _wide(kind: str, day: str) -> str:
+    """One row per day with a column per visit category."""
+    cells = [
+        f"CAST(count(CASE WHEN {column} = '{c}' THEN 1 END) AS {kind}) AS \"DEMAND__{variable}__{c}\""
+        for (variable, column), values in CATEGORIES.items()
+        for c in values
+    ]
+    total = f"CAST(count(*) AS {kind}) AS DEMAND__TOTAL"
+    return f"SELECT CAST(d AS VARCHAR) AS {day}, {', '.join([total, *cells])} FROM classed GROUP BY d"
+
+
 ORACLES: dict[str, str] = {
     "source_range_scan": """
 SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders
@@ -280,20 +304,11 @@ FROM coded JOIN groups ON code BETWEEN lo AND hi GROUP BY d, alias""",
     "coded_counts_by_region": _with(VISITS, CODED)
     + """SELECT CAST(d AS VARCHAR) AS day, coalesce(rs, 'UNKNOWN') AS rs, code, CAST(count(*) AS BIGINT) AS n
 FROM coded LEFT JOIN lk ON up = lup GROUP BY ALL""",
-    "wide_matrix": _with(VISITS)
-    + "SELECT CAST(d AS VARCHAR) AS day, CAST(count(*) AS BIGINT) AS DEMAND__TOTAL"
-    + "".join(
-        f", CAST(count(CASE WHEN place = '{p}' THEN 1 END) AS BIGINT) AS DEMAND__VISI_LLOC_VISITA__{p}"
-        for p in "FOP"
-    )
-    + "".join(
-        f", CAST(count(CASE WHEN situation = '{s}' THEN 1 END) AS BIGINT) AS DEMAND__VISI_SITUACIO_VISITA__{s}"
-        for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-    )
-    + " FROM visits GROUP BY d",
+    "wide_matrix": _with(VISITS) + _wide("BIGINT", "day"),
     "wide_to_long": _with(VISITS, NAMES, _long("glong", "named")) + _values("glong"),
     "feature_days": _with(VISITS, NAMES)
-    + "SELECT name AS feature, CAST(count(DISTINCT d) AS BIGINT) AS num_days FROM named GROUP BY name",
+    + """SELECT name AS feature, CAST(count(DISTINCT d) AS BIGINT) AS num_days,
+  (SELECT CAST(count(DISTINCT name) AS INTEGER) FROM named) AS num_features, TRUE AS refused FROM named GROUP BY name""",
     "combine_partials": _with(VISITS, CODED)
     + """, pieces AS (
   SELECT d, count(*) AS t, count(CASE WHEN place = 'F' THEN 1 END) AS f, 0 AS r FROM visits GROUP BY d
@@ -384,8 +399,11 @@ UNION ALL SELECT 'DIAGNOSIS', CAST(count(*) AS BIGINT), CAST(0 AS BIGINT), CAST(
 SELECT CAST(alld.d AS VARCHAR) AS day,
   CASE WHEN imp THEN 'true' ELSE 'false' END AS DEMAND___is_imputed,
   CASE WHEN imp THEN 'same_month_day_mean' ELSE '' END AS DEMAND___imputation_method,
+  CASE WHEN imp THEN CAST((SELECT max(d) FROM vimp_obs) AS VARCHAR) ELSE '' END AS DEMAND___imputation_source_last_date,
+  CASE WHEN imp THEN '2002-01-01T06:00:00' ELSE '' END AS DEMAND___imputation_created_at,
   CASE WHEN alld.d < (SELECT min(d) FROM cdays) THEN '' ELSE 'false' END AS DIAGNOSIS___is_imputed,
-  '' AS DIAGNOSIS___imputation_method FROM alld LEFT JOIN vdays ON vdays.d = alld.d""",
+  '' AS DIAGNOSIS___imputation_method, '' AS DIAGNOSIS___imputation_source_last_date,
+  '' AS DIAGNOSIS___imputation_created_at FROM alld LEFT JOIN vdays ON vdays.d = alld.d""",
     "fill_ffill": _gappy("lv"),
     "fill_bfill": _gappy("rv"),
     "fill_interpolate": _gappy(
@@ -430,11 +448,12 @@ WHERE event_type = 'error' OR ts < DATE '2024-01-05' OR ts >= DATE '2024-01-21'
     "delete_range": _with(*BASE_V, IMPUTED)
     + _values("vimp", "d < DATE '1997-03-01' OR d > DATE '1999-06-30'"),
     "cursor_after_delete": _with(VISITS)
-    + """SELECT CAST(min(d) AS VARCHAR) AS min_timestamp, CAST(max(d) AS VARCHAR) AS max_timestamp,
-  CAST(count(DISTINCT d) AS BIGINT) AS num_rows FROM visits WHERE d < DATE '1997-03-01'""",
+    + """SELECT '2002-01-01 06:00:00' AS last_update, CAST(min(d) AS VARCHAR) AS min_timestamp,
+  CAST(max(d) AS VARCHAR) AS max_timestamp, CAST(count(DISTINCT d) AS BIGINT) AS num_rows
+FROM visits WHERE d < DATE '1997-03-01'""",
     "cursor_of_observed_days": _with(VISITS)
-    + """SELECT CAST(min(d) AS VARCHAR) AS min_timestamp, CAST(max(d) AS VARCHAR) AS max_timestamp,
-  CAST(count(DISTINCT d) AS BIGINT) AS num_rows FROM visits""",
+    + """SELECT '2002-01-01 06:00:00' AS last_update, CAST(min(d) AS VARCHAR) AS min_timestamp,
+  CAST(max(d) AS VARCHAR) AS max_timestamp, CAST(count(DISTINCT d) AS BIGINT) AS num_rows FROM visits""",
     "window_after_gap": _with(VISITS, CONTIGUOUS)
     + """SELECT CAST(d AS VARCHAR) AS day, CAST(count(*) AS BIGINT) AS num_rows FROM visits
 WHERE d > (SELECT last FROM contig) AND d <= DATE '2001-07-01' GROUP BY d""",
@@ -448,16 +467,63 @@ WHERE d > (SELECT last FROM contig) AND d <= DATE '2001-07-01' GROUP BY d""",
     "row_identity": _with(CODED, IDENTIFIED)
     + """SELECT CAST(d AS VARCHAR) AS timestamp, up AS UP, code AS DIAG_CODE, n,
   CAST(d AS VARCHAR) || '_' || code || '_' || up AS data_id FROM counted""",
+    "publish_range": _with(VISITS)
+    + """SELECT CAST(d AS VARCHAR) AS day, 'DEMAND__TOTAL' AS feature, CAST(count(*) AS DOUBLE) AS value,
+  CASE WHEN year(d) IN (1996, 1997) THEN 'stored' ELSE 'staged' END AS place FROM visits GROUP BY d""",
+    "retention_after_publish": _with(VISITS) + TOTALS,
+    "delete_days_keeps_later": _with(VISITS)
+    + f"SELECT * FROM ({TOTALS}) AS t WHERE day < '1997-03-01' OR day > '1997-06-30'",
+    "stream_publication": _with(VISITS)
+    + f"""SELECT day, feature, CASE WHEN day LIKE '1998%' THEN value * 10 ELSE value END AS value
+FROM ({TOTALS}) AS t WHERE day NOT LIKE '1999%'""",
+    "incremental_coded_runs": _with(
+        VISITS, CODED, CODED_NAMES, _long("ilong", "cnamed", "cregion_chosen", "cplace_chosen")
+    )
+    + _values("ilong", "d <= DATE '2001-12-31'"),
+    "resumed_run": _with(
+        VISITS, CODED, CODED_NAMES, _long("ilong", "cnamed", "cregion_chosen", "cplace_chosen")
+    )
+    + _values("ilong", "d <= DATE '2001-12-31'"),
+    "refreshed_estimates": _with(*BASE_V, IMPUTED) + _values("vimp"),
+    "staging_after_clear": _with(VISITS)
+    + f"SELECT '2' AS run, day, feature, value FROM ({TOTALS}) AS t WHERE day >= '1998-01-01'",
+    "partitioned_rows_deleted": _with(VISITS)
+    + f"""SELECT day, value, substr(day, 1, 4) AS folder,
+  (SELECT CAST(max(d) AS VARCHAR) FROM visits WHERE d < DATE '1997-03-01') AS resume_after
+FROM ({TOTALS}) AS t WHERE day < '1997-03-01' OR day > '1999-06-30'""",
+    "stored_estimates": _with(*BASE_V, IMPUTED)
+    + """SELECT CAST(d AS VARCHAR) AS timestamp, 'same_month_day_mean' AS imputation_method,
+  '2002-01-01T06:00:00' AS imputation_created_at FROM vimp_miss""",
+    "matrix_from_wide": _with(VISITS, NAMES, _long("glong", "named")) + _values("glong"),
+    "first_rows_of_range": _with(VISITS)
+    + """SELECT CAST(d AS VARCHAR) AS day, CAST(count(*) AS DOUBLE) AS value, CAST(count(*) OVER () AS INTEGER) AS matched
+FROM visits WHERE d >= DATE '1996-02-01' AND d <= DATE '1997-04-30' GROUP BY d ORDER BY d LIMIT 10""",
+    "row_identity_by_columns": _with(VISITS)
+    + """SELECT CAST(d AS VARCHAR) AS timestamp, CAST(count(*) AS DOUBLE) AS n,
+  CAST(d AS VARCHAR) || '_' || substr(md5('n'), 1, 8) AS data_id FROM visits GROUP BY d""",
+    "table_as_csv": _with(VISITS)
+    + """SELECT CAST(d AS VARCHAR) AS day, 'DEMAND__TOTAL' AS feature, CAST(count(*) AS VARCHAR) AS value
+FROM visits GROUP BY d""",
+    "lookup_last_wins": """
+SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS up, arg_max(c_mktsegment, c_custkey) AS rs
+FROM customer GROUP BY c_nationkey""",
+    "selection_last_wins": """
+SELECT c_mktsegment AS source, 'C_' || CAST(max(c_custkey) AS VARCHAR) AS alias FROM customer GROUP BY c_mktsegment""",
+    "full_with_empty_selection": _with(VISITS, NAMES, _long("flong", "named", "vregion", "vplace"))
+    + _values("flong", "d <= DATE '2002-01-01'"),
+    "canonical_diagnosis_names": _with(VISITS, CODED)
+    + """, m AS (
+  SELECT d, 'DIAGNOSIS__TOTAL' AS name FROM coded
+  UNION ALL SELECT d, 'DIAGNOSIS__TOTAL__RS__' || coalesce(rs, 'UNKNOWN') FROM coded LEFT JOIN lk ON up = lup
+  UNION ALL SELECT d, 'DIAGNOSIS__TOTAL__UP__' || up FROM coded
+  UNION ALL SELECT d, 'DIAGNOSIS__ICD10_3__' || code || '__RS__' || coalesce(rs, 'UNKNOWN')
+    FROM coded LEFT JOIN lk ON up = lup
+  UNION ALL SELECT d, 'DIAGNOSIS__ICD10_3__' || code FROM coded)
+SELECT CAST(d AS VARCHAR) AS day, name AS feature, CAST(count(*) AS BIGINT) AS value FROM m GROUP BY d, name""",
     "files_past_retention": _with(VISITS)
     + """SELECT CAST(year(d) AS INTEGER) AS year, CAST(max(d) AS VARCHAR) AS last_day FROM visits
 WHERE d < DATE '1999-01-01' GROUP BY year(d)""",
-    "matrix_as_csv": _with(VISITS)
-    + "SELECT CAST(d AS VARCHAR) AS Timestamp"
-    + "".join(
-        f", CAST(count(CASE WHEN place = '{p}' THEN 1 END) AS DOUBLE) AS DEMAND__VISI_LLOC_VISITA__{p}"
-        for p in "FOP"
-    )
-    + " FROM visits GROUP BY d",
+    "matrix_as_csv": _with(VISITS) + _wide("DOUBLE", "Timestamp"),
     "codes_from_csv": """
 SELECT lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS UP, c_mktsegment, CAST(count(*) AS BIGINT) AS num_rows
 FROM customer GROUP BY ALL""",

@@ -35,6 +35,7 @@ from daymatrix.operators.join import join_incremental, join_matrices, merge_on_k
 from daymatrix.operators.prepare import (
     day_of,
     drop_future_rows,
+    facility_lookup,
     lookup_duplicates,
     prepare_visits,
     unknown_facilities,
@@ -42,12 +43,21 @@ from daymatrix.operators.prepare import (
     with_region,
 )
 from daymatrix.plans.full import full_coded, full_visits
-from daymatrix.plans.incremental import Run, Selections, replace_days, run_visits
-from daymatrix.plans.maintenance import delete_days, show_rows, without_days
+from daymatrix.plans.incremental import (
+    Run,
+    Selections,
+    publish,
+    refresh_imputation,
+    replace_days,
+    run_coded,
+    run_visits,
+)
+from daymatrix.plans.maintenance import delete_days, delete_parquet_rows, show_rows, without_days
 from daymatrix.plans.windows import processing_window
 from daymatrix.session import materialize, new_folder
 from daymatrix.sources import readers
-from daymatrix.sources.store import MatrixStore, StagingArea, cursor_of, expired_files
+from daymatrix.sources.store import CursorStore, MatrixStore, StagingArea, cursor_of, expired_files
+from daymatrix.streaming.publish import publish_available
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -276,9 +286,7 @@ def _global(spark, sf, materialized=True):
 
 @query
 def wide_matrix(spark, sf):
-    wide = matrix.to_wide(_global(spark, sf))
-    statuses = [c for c in wide.columns if "LLOC" in c or "SITUACIO" in c or "TOTAL" in c]
-    return wide.select("day", *statuses)
+    return matrix.to_wide(_global(spark, sf))
 
 
 @query
@@ -288,11 +296,15 @@ def wide_to_long(spark, sf):
 
 @query
 def feature_days(spark, sf):
-    """Days on which each feature occurs."""
+    """Days on which each feature occurs, and whether a limit below their number refuses."""
     values = _global(spark, sf)
-    known = matrix.feature_list(values)
-    counted = values.where(F.col("feature").isin(known)).groupBy("feature")
-    return counted.agg(F.count("*").alias("num_days"))
+    known = len(matrix.feature_list(values))
+    try:
+        refused = not matrix.feature_list(values, known - 1)
+    except ValueError:
+        refused = True
+    counted = values.groupBy("feature").agg(F.count("*").alias("num_days"))
+    return counted.withColumns({"num_features": F.lit(known), "refused": F.lit(refused)})
 
 
 @query
@@ -477,7 +489,7 @@ def join_without_fill(spark, sf):
 @query
 def joined_day_table(spark, sf):
     days = _joined(spark, sf, "ffill").days
-    keep = ["day", *[f"{p}_{c}" for p in ("DEMAND", "DIAGNOSIS") for c in CONTROL_COLUMNS[:2]]]
+    keep = ["day", *[f"{p}_{c}" for p in ("DEMAND", "DIAGNOSIS") for c in CONTROL_COLUMNS]]
     return days.select(*keep).withColumns(
         {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keep[1:]}
     )
@@ -627,12 +639,16 @@ def cursor_after_delete(spark, sf):
     store = _store(spark, _imputed_visits(spark, sf), "cursor")
     staging = StagingArea(spark, new_folder(spark, "staging"))
     delete_days(store, date(1997, 3, 1), date(1999, 6, 30), NOW, staging)
-    return staging.cursor.read().drop("last_update")
+    return _text_update(staging.cursor.read())
+
+
+def _text_update(cursor):
+    return cursor.withColumn("last_update", F.date_format("last_update", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query
 def cursor_of_observed_days(spark, sf):
-    return cursor_of(_imputed_visits(spark, sf).days, NOW).drop("last_update")
+    return _text_update(cursor_of(_imputed_visits(spark, sf).days, NOW))
 
 
 @query
@@ -686,6 +702,201 @@ def row_identity(spark, sf):
     return identity.with_row_identity(rows)
 
 
+def _totals(spark, sf):
+    """Daily visit totals as stored values."""
+    values = features.daily_total(visits(spark, sf))
+    return materialize(values.withColumn("value", F.col("value").cast("double")), "totals")
+
+
+def _places(spark, name, retention_days=None):
+    store = MatrixStore(spark, new_folder(spark, name))
+    return store, StagingArea(spark, new_folder(spark, f"{name}-staging"), retention_days)
+
+
+@query
+def publish_range(spark, sf):
+    """Two published years; the other staged days wait for the next publication."""
+    store, staging = _places(spark, "range")
+    staging.append(_totals(spark, sf), "1", AS_OF)
+    publish(store, staging, AS_OF, NOW, with_range=(date(1996, 1, 1), date(1997, 12, 31)))
+    columns = ["day", "feature", "value"]
+    published = store.load().values.select(*columns, F.lit("stored").alias("place"))
+    return published.unionByName(staging.load().select(*columns, F.lit("staged").alias("place")))
+
+
+@query
+def retention_after_publish(spark, sf):
+    """Rows older than the retention period are published before they expire."""
+    store, staging = _places(spark, "retention", retention_days=365)
+    staging.append(_totals(spark, sf), "1", AS_OF)
+    publish(store, staging, AS_OF, NOW, clear=False)
+    return _values(store.load())
+
+
+@query
+def delete_days_keeps_later(spark, sf):
+    """A deletion made in the middle of the stored days removes only its range."""
+    store = _store(spark, DailyMatrix.observed(_totals(spark, sf)), "later")
+    delete_days(store, date(1997, 3, 1), date(1997, 6, 30), datetime(1998, 1, 1))
+    return _values(store.load())
+
+
+@query
+def stream_publication(spark, sf):
+    """Runs published by a stream: a newer one, an older one that arrives late and
+    covers a further year, one with later days; the target lies before stored days."""
+    store, staging = _places(spark, "stream")
+    totals, checkpoint = _totals(spark, sf), new_folder(spark, "checkpoint")
+    again = totals.withColumn("value", F.col("value") * 10)
+    arrivals = {
+        "2": totals.where("day < '1998-01-01'"),
+        "1": again.where("day < '1999-01-01'"),
+        "3": totals.where("day >= '2000-01-01'"),
+    }
+    for run, rows in arrivals.items():
+        staging.append(rows, run, AS_OF)
+        publish_available(spark, staging, store, checkpoint, AS_OF, NOW, date(1996, 6, 30))
+    return _values(drop_imputed(store.load()))
+
+
+def _coded_run(spark, sf, store, staging, hour, **days):
+    chosen = Selections(chosen_regions(spark, sf), chosen_facilities(spark, sf), chosen_codes(spark))
+    run = Run(store, staging, AS_OF, NOW + timedelta(hours=hour), min_valid=date(1990, 1, 1), **days)
+    return run_coded(raw_coded(spark, sf), lookup(spark, sf), run, chosen)
+
+
+@query
+def incremental_coded_runs(spark, sf):
+    """Increments that resume by themselves: equal to counting all at once."""
+    store, staging = _places(spark, "coded")
+    for hour, end in enumerate([date(1998, 6, 30), date(2000, 3, 31), TARGET]):
+        _coded_run(spark, sf, store, staging, hour, end=end)
+    return _values(drop_imputed(store.load()))
+
+
+@query
+def resumed_run(spark, sf):
+    """A run that stopped after staging is superseded by the next one."""
+    store, staging = _places(spark, "resumed")
+    staging.append(_totals(spark, sf), "20011231T000000", AS_OF)
+    _coded_run(spark, sf, store, staging, 0, end=TARGET)
+    return _values(drop_imputed(store.load())).where("feature LIKE 'DIAGNOSIS%'")
+
+
+@query
+def refreshed_estimates(spark, sf):
+    """Estimates of stored days when the source has nothing new."""
+    store = _store(spark, _visit_matrix(spark, sf), "refreshed")
+    refresh_imputation(store, AS_OF, NOW, TARGET)
+    return _values(store.load())
+
+
+@query
+def staging_after_clear(spark, sf):
+    """One of two staged runs is cleared."""
+    _, staging = _places(spark, "cleared")
+    totals = _totals(spark, sf)
+    staging.append(totals.where("day < '1998-01-01'"), "1", AS_OF)
+    staging.append(totals.where("day >= '1998-01-01'"), "2", AS_OF)
+    staging.clear(["1"])
+    return staging.load().select("run", "day", "feature", "value")
+
+
+@query
+def partitioned_rows_deleted(spark, sf):
+    """A deletion from a partitioned folder keeps the partitions and stores the cursor."""
+    path = new_folder(spark, "partitioned")
+    totals = _totals(spark, sf).withColumn("year", F.year("day"))
+    totals.write.partitionBy("year").parquet(path)
+    cursors = CursorStore(spark, new_folder(spark, "partitioned-cursor"))
+    delete_parquet_rows(
+        spark, path, date(1997, 3, 1), date(1999, 6, 30), NOW, "day", create_backup=False, cursors=cursors
+    )
+    year = F.regexp_extract("_metadata.file_path", r"year=(\d+)", 1).alias("folder")
+    kept = spark.read.parquet(path).select("day", "value", year)
+    return kept.withColumn("resume_after", F.lit(cursors.last_day()))
+
+
+@query
+def stored_estimates(spark, sf):
+    """The list of estimated days that lies beside a stored version."""
+    store = _store(spark, _imputed_visits(spark, sf), "listed")
+    path = f"{store.versions.path(store.versions.latest())}/imputed_rows"
+    return readers.read_csv(spark, path, ["timestamp", "imputation_method", "imputation_created_at"])
+
+
+@query
+def matrix_from_wide(spark, sf):
+    """A wide frame with names of today read back as a matrix."""
+    return _values(matrix.from_wide(matrix.to_wide(_global(spark, sf)), "DEMAND"))
+
+
+@query
+def first_rows_of_range(spark, sf):
+    shown = show_rows(_totals(spark, sf), "day", date(1996, 2, 1), date(1997, 4, 30), ["value"], limit=10)
+    return shown.rows.withColumn("matched", F.lit(shown.matched))
+
+
+@query
+def row_identity_by_columns(spark, sf):
+    """Without identifying columns the names of the others stand in."""
+    rows = _totals(spark, sf).select(F.col("day").alias("timestamp"), F.col("value").alias("n"))
+    return identity.with_row_identity(rows)
+
+
+@query
+def table_as_csv(spark, sf):
+    """A Parquet folder converted to text."""
+    parquet, csv = new_folder(spark, "table"), new_folder(spark, "table-csv")
+    features.daily_total(visits(spark, sf)).write.parquet(parquet)
+    readers.convert_to_csv(spark, parquet, csv)
+    return readers.read_csv(spark, csv)
+
+
+@query
+def lookup_last_wins(spark, sf):
+    """Customers as lookup rows over several files: the last of a facility counts."""
+    customers = table(spark, sf, "customer").repartitionByRange(4, "c_custkey").sortWithinPartitions("c_custkey")
+    path = new_folder(spark, "lookup")
+    readers.write_csv(
+        customers.select(F.col("c_nationkey").alias("Codi UP"), F.col("c_mktsegment").alias("RS")), path
+    )
+    return facility_lookup(readers.read_csv(spark, path))
+
+
+@query
+def selection_last_wins(spark, sf):
+    """Customers as selection rows over several files: the last of a region counts."""
+    customers = table(spark, sf, "customer").repartitionByRange(4, "c_custkey").sortWithinPartitions("c_custkey")
+    path = new_folder(spark, "selection")
+    alias = F.concat(F.lit("c "), "c_custkey").alias("geo_id")
+    readers.write_csv(customers.select(alias, F.col("c_mktsegment").alias("RS")), path)
+    return selection.region_selection(readers.read_csv(spark, path))
+
+
+@query
+def full_with_empty_selection(spark, sf):
+    """Selections without rows select everything."""
+    none = Selections(chosen_regions(spark, sf).limit(0), chosen_facilities(spark, sf).limit(0))
+    return _values(full_visits(raw_visits(spark, sf), lookup(spark, sf), AS_OF, none))
+
+
+@query
+def canonical_diagnosis_names(spark, sf):
+    """Coded counts stored under older names."""
+    rows = with_region(coded(spark, sf), lookup(spark, sf), C.UNKNOWN)
+    names = F.array(
+        F.lit("DIAG_TOTAL"),
+        F.concat(F.lit("TOTAL__RS__"), F.lower("rs")),
+        F.concat(F.lit("DIAG_TOTAL_UP_"), "up"),
+        F.concat(F.lit("ICD10_3__"), "code", F.lit("__RS__"), F.lower("rs")),
+        F.concat(F.lit("DIAG_CODE_"), "code"),
+    )
+    older = rows.select("day", "n", F.explode(names).alias("feature"))
+    values = older.groupBy("day", "feature").agg(F.sum("n").alias("value"))
+    return canonicalize_features(values, "DIAGNOSIS")
+
+
 @query
 def files_past_retention(spark, sf):
     """Files by year of orders; years before 1999 are past the retention."""
@@ -698,11 +909,9 @@ def files_past_retention(spark, sf):
 
 @query
 def matrix_as_csv(spark, sf):
-    """Wide totals saved as CSV and loaded again."""
-    values = features.visit_features(visits(spark, sf), levels=(GLOBAL,))
-    statuses = values.where("feature LIKE 'DEMAND!_!_VISI!_LLOC%' ESCAPE '!'")
+    """A wide matrix saved as CSV and loaded again."""
     path = new_folder(spark, "csv")
-    readers.save_matrix_csv(matrix.to_wide(materialize(statuses)), path)
+    readers.save_matrix_csv(matrix.to_wide(_global(spark, sf)), path)
     return readers.load_matrix_csv(spark, path)
 
 

@@ -12,7 +12,7 @@ from daymatrix.model import DAY
 from daymatrix.operators.prepare import date_range, day_of
 from daymatrix.session import Folder, materialize
 from daymatrix.sources.readers import read_parquet, rows_between
-from daymatrix.sources.store import MatrixStore, StagingArea, cursor_of
+from daymatrix.sources.store import CursorStore, MatrixStore, StagingArea, cursor_of
 
 
 class Shown(NamedTuple):
@@ -116,15 +116,24 @@ def delete_staged_days(
     return Deleted(total - remaining, remaining, None, staging.cursor.read())
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns a folder is partitioned by, read off its folder names."""
+    columns, folder = [], Folder(spark, path)
+    while level := [n for n in folder.names() if "=" in n and not n.startswith((".", "_"))]:
+        columns.append(level[0].split("=", 1)[0])
+        folder = Folder(spark, f"{folder.path}/{level[0]}")
+    return columns
+
+
 def replace_dataset(df: DataFrame, path: str, backup: str | None) -> None:
-    """Replace a Parquet folder by ``df``, which may read it.
+    """Replace a Parquet folder by ``df``, which may read it; partitions are kept.
 
     The new folder is complete before the old one is moved away.
     """
     spark = df.sparkSession
     parent, name = path.rstrip("/").rsplit("/", 1)
     fresh, old = f"{parent}/.{name}.new", backup or f"{parent}/.{name}.old"
-    df.write.mode("overwrite").parquet(fresh)
+    df.write.mode("overwrite").partitionBy(*partition_columns(spark, path)).parquet(fresh)
     Folder(spark, path).rename(old)
     Folder(spark, fresh).rename(path)
     if backup is None:
@@ -140,8 +149,12 @@ def delete_parquet_rows(
     day: str = "timestamp",
     dry_run: bool = False,
     create_backup: bool = True,
+    cursors: CursorStore | None = None,
 ) -> Deleted:
-    """Delete an inclusive date range from any Parquet folder."""
+    """Delete an inclusive date range from any Parquet folder.
+
+    The cursor goes back before the range, and into ``cursors`` once the rows are gone.
+    """
     df = read_parquet(spark, path)
     if df is None:
         raise FileNotFoundError(f"Parquet path not found: {path}")
@@ -153,5 +166,7 @@ def delete_parquet_rows(
         return Deleted(deleted, total - deleted, None, cursor if dry_run else None)
     backup = f"{path.rstrip('/')}.bak_{now:%Y%m%d_%H%M%S}" if create_backup else None
     replace_dataset(kept, path, backup)
-    fresh = read_parquet(spark, path)
-    return Deleted(deleted, total - deleted, backup, cursor_of(fresh, now, day, before=start))
+    cursor = cursor_of(read_parquet(spark, path), now, day, before=start)
+    if cursors is not None:
+        cursors.write(cursor)
+    return Deleted(deleted, total - deleted, backup, cursor)

@@ -62,10 +62,15 @@ class _Versions:
 
 
 class MatrixStore:
-    """Versions of one matrix: long values by year, and the day table."""
+    """Versions of one matrix: long values by year, and the day table.
 
-    def __init__(self, spark: SparkSession, path: str):
+    ``keep`` versions stay after a publication, by default all; frames read from
+    older ones end with them.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keep: int | None = None):
         self.spark = spark
+        self.keep = keep
         self.versions = _Versions(spark, path)
 
     def exists(self) -> bool:
@@ -104,6 +109,8 @@ class MatrixStore:
         written = self.spark.read.parquet(f"{path}/days")
         write_imputation_metadata(written, path, f"{path}/values", generated_at)
         self.versions.complete(version)
+        if self.keep:
+            self.versions.expire(self.keep)
         return version
 
 
@@ -182,7 +189,9 @@ class StagingArea:
         chunk_rows: int = CHUNK_ROWS,
     ) -> None:
         """Stage the rows dated up to ``as_of`` under a run name.  Run names sort
-        in the order they should apply."""
+        in the order they should apply.  Rows without a time column get ``as_of``."""
+        if timestamp not in rows.columns:
+            rows = rows.withColumn(timestamp, F.lit(as_of))
         kept = drop_future_rows(rows, timestamp, as_of)
         (
             kept.write.mode("overwrite")
