@@ -29,7 +29,7 @@ from daymatrix.plans.maintenance import (
 )
 from daymatrix.plans.windows import latest, processing_window, resume_day
 from daymatrix.sources import readers
-from daymatrix.sources.store import MatrixStore, StagingArea
+from daymatrix.sources.store import CursorStore, MatrixStore, StagingArea
 
 
 def values(m):
@@ -267,6 +267,35 @@ def test_delete_from_any_parquet(spark, tmp_path, now):
         delete_parquet_rows(spark, f"{tmp_path}/none", date(2024, 1, 2), date(2024, 1, 5), now)
 
 
+def test_delete_keeps_partitions_and_stores_the_cursor(spark, tmp_path, now):
+    path = f"{tmp_path}/parts"
+    rows = [("2023-12-31", 2023, "a", 1), ("2024-01-01", 2024, "a", 2), ("2024-01-02", 2024, "b", 3)]
+    df = spark.createDataFrame(rows, "timestamp string, y int, k string, x int")
+    df.write.partitionBy("y", "k").parquet(path)
+    cursors = CursorStore(spark, f"{tmp_path}/cursor")
+    day = date(2024, 1, 1)
+    assert delete_parquet_rows(spark, path, day, day, now, dry_run=True, cursors=cursors).deleted == 1
+    assert not cursors.exists()
+    delete_parquet_rows(spark, path, day, day, now, cursors=cursors)
+    assert sorted(p.name for p in Path(path).glob("y=*/k=*")) == ["k=a", "k=b"]
+    assert sorted(r["x"] for r in spark.read.parquet(path).collect()) == [1, 3]
+    assert cursors.last_day() == date(2023, 12, 31)
+
+
+def test_a_store_keeps_the_wanted_number_of_versions(spark, series, as_of, now, tmp_path):
+    store = MatrixStore(spark, f"{tmp_path}/m", keep=2)
+    for value in (1, 2, 3):
+        store.publish(DailyMatrix.observed(series({"2024-01-01": value})), as_of, now)
+    assert store.versions.all() == [2, 3]
+    assert values(store.load()) == {("2024-01-01", "x"): 3}
+
+
+def test_rows_without_a_time_column_are_staged_under_the_day_of_the_run(spark, as_of, tmp_path):
+    staging = StagingArea(spark, f"{tmp_path}/s")
+    staging.append(spark.createDataFrame([(1,)], "n int"), "1", as_of, "timestamp")
+    assert staging.load().first()["timestamp"] == as_of
+
+
 def test_show_rows(spark):
     df = spark.createDataFrame(
         [("2024-01-03", 3, 0), ("2024-01-02", 2, 0), ("2024-01-01", 1, 0), (None, 4, 0)],
