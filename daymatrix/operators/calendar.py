@@ -71,4 +71,4 @@ def missing_days(days: DataFrame, first: date, last: date) -> DataFrame:
     """Calendar days of ``[first, last]`` that are not in ``days``."""
     one = days.sparkSession.range(1)
     grid = calendar(one, F.lit(first), F.lit(last))
-    return grid.join(broadcast_days(days.select(DAY)), DAY, "left_anti")
+    return grid.join(broadcast_days(days.select(DAY).distinct()), DAY, "left_anti")
