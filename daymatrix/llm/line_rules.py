@@ -6,10 +6,16 @@ lines that remain hold too little of its text, or when the whole text already fa
 one of the document rules.  No expression leaves the row, so nothing is shuffled.
 
 A null text counts as a text without words.
+
+The query's line rules (``line_passes``) are those of its SQL.  Documents are kept by
+``line_is_text``, which also takes lines for text that those rules remove although they
+are: scripts with combining marks, quotations, prose that mentions a boilerplate phrase.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +27,9 @@ MAX_REPEAT_PERCENT = 30
 MAX_PUNCTUATION_PERCENT = 25  # of the characters of a line that are not white space
 MIN_KEPT_PERCENT = 60  # of the characters of a document that are not white space
 MAX_BARS = 3
+MIN_BARS_PERCENT = 25  # of the words of a line that bars make a navigation line
+MAX_BOILERPLATE_WORDS = 15  # of a line that one phrase makes boilerplate
+MAX_BOILERPLATE_PERCENT = 20  # of the characters of a longer line
 MENU = "home|menu|login|log in|sign in|sign up|search|next|previous|back to top|read more|share|contact|about us|sitemap"
 BOILERPLATE = (
     "all rights reserved|terms of use|terms of service|privacy policy|cookie policy|accept cookies|"
@@ -121,12 +130,31 @@ def line_passes(line: Column) -> Column:
     )
 
 
-def clean_text(text: Column) -> Column:
+def line_is_text(line: Column) -> Column:
+    """As ``line_passes``, but combining marks are letters, bars and boilerplate phrases
+    are weighed against the length of the line, and guillemets that pair up are quotes."""
+    low = F.lower(line)
+    n_words = F.size(F.split(F.regexp_replace(line, r"[|»›«‹•]+", " "), r"[\p{L}\p{M}\p{N}][^\x20\x09-\x0D]*")) - 1
+    chars = F.length(F.regexp_replace(line, SPACE, ""))
+    marks = F.length(F.regexp_replace(line, r"[\p{L}\p{M}\p{N}\x20\x09-\x0D]+", ""))
+    count = lambda c: F.length(F.regexp_replace(line, f"[^{c}]+", ""))
+    unpaired = lambda close, open_: F.greatest(count(close) - count(open_), F.lit(0))
+    bars = count("|•") + unpaired("»", "«") + unpaired("›", "‹")
+    phrases = F.length(low) - F.length(F.regexp_replace(low, BOILERPLATE, ""))
+    return ~(
+        (marks * 100 > chars * MAX_PUNCTUATION_PERCENT)
+        | ((bars >= MAX_BARS) & (bars * 100 >= n_words * MIN_BARS_PERCENT))
+        | low.rlike(rf"^[\x20\x09-\x0D]*({MENU})[\x20\x09-\x0D]*$")
+        | ((phrases > 0) & ((n_words <= MAX_BOILERPLATE_WORDS) | (phrases * 100 >= F.length(low) * MAX_BOILERPLATE_PERCENT)))
+    )
+
+
+def clean_text(text: Column, passes: Callable[[Column], Column] = line_is_text) -> Column:
     """The text with its failing lines removed; null stays null."""
-    return F.array_join(F.filter(F.split(text, "\n"), line_passes), "\n")
+    return F.array_join(F.filter(F.split(text, "\n"), passes), "\n")
 
 
-def rules(text: Column) -> Column:
+def rules(text: Column, passes: Callable[[Column], Column] = line_is_text) -> Column:
     """Struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     kept_chars (of the cleaned text), base_failed and kept."""
 
@@ -137,7 +165,7 @@ def rules(text: Column) -> Column:
             n_symbols(text).alias("n_symbols"),
             n_dup_lines(text).alias("n_dup_lines"),
             n_repeat_words(w).alias("n_repeat_words"),
-            word_chars(clean_text(text)).alias("kept_chars"),
+            word_chars(clean_text(text, passes)).alias("kept_chars"),
         )
 
     def verdict(n: Column) -> Column:
@@ -155,7 +183,7 @@ def rules(text: Column) -> Column:
 def apply_rules(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, the numbers above, base_failed and kept.
     Repeated documents are reported each; other columns are ignored."""
-    found = docs.select("doc_id", rules(F.col("text")).alias("r"))
+    found = docs.select("doc_id", rules(F.col("text"), line_passes).alias("r"))
     return found.select("doc_id", "r.n.*", "r.base_failed", "r.kept")
 
 
