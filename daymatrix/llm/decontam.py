@@ -1,14 +1,17 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Texts are compared on their letters and digits, lower-cased, every other run being
-one space.  Each benchmark item is cut into overlapping segments; a document holds a
-leak of an item when some part of it is within the edit budget of one segment.  By
+one space.  Each benchmark item is cut into overlapping segments, long ones and, for
+excerpts, short ones that start every few characters; a document holds a leak of an item
+when some part of it is within the edit budget of one segment.  Of an item longer than a
+short segment, every verbatim passage of ``EXCERPT + EXCERPT_STRIDE - 1`` characters (79)
+is found, wherever it starts; a shorter one only if it covers a segment.  By
 the q-gram lemma such a part shares at least ``(m - q + 1) - k * q`` q-grams with the
 segment (length m, budget k), and all of them lie within k + 1 neighbouring
 diagonals.  Shared q-grams are therefore counted in overlapping diagonal bands, bands
 below the bound are dropped without loss, and the rest is verified by an alignment
-limited to the band.  The only error left is none: the result equals that of a full
-alignment of every segment with every document.
+limited to the band.  The result equals that of a full alignment of every segment with
+every document.
 
 The documents are only mapped, never shuffled.  The benchmark travels in blocks of at
 most ``BLOCK_CHARS`` characters, one after the other, so neither a task nor the driver
@@ -31,6 +34,8 @@ from daymatrix.session import materialize
 
 Q = 8
 SEGMENT = 120  # characters of a segment; successive ones overlap by half
+EXCERPT = 64  # characters of a short segment
+EXCERPT_STRIDE = 16  # characters from one short segment to the next
 EDIT_SHARE = 0.1  # edits allowed per character of a segment
 BLOCK_CHARS = 2_000_000
 WINDOW = 1 << 17  # characters of a document searched at once
@@ -90,6 +95,16 @@ def budget(length: int, share: float = EDIT_SHARE) -> int:
     return max(0, min(int(length * share), (length - Q) // Q))
 
 
+def _cuts(length: int) -> Iterator[tuple[int, int]]:
+    """Size and start of the segments of an item; the last of a size ends with the item."""
+    for size, stride in ((SEGMENT, SEGMENT // 2), (EXCERPT, EXCERPT_STRIDE)):
+        if size == SEGMENT or length > size:
+            for start in range(0, max(1, length - size), stride):
+                yield size, start
+            if length > size:
+                yield size, length - size
+
+
 class Index:
     """The q-grams of one benchmark block."""
 
@@ -99,15 +114,10 @@ class Index:
             codes, _ = normalise(text)
             if not len(codes):
                 continue
-            starts = range(0, max(1, len(codes) - SEGMENT // 2), SEGMENT // 2)
-            for start in starts:
-                last = start + SEGMENT >= len(codes)
-                begin = max(0, len(codes) - SEGMENT) if last else start
-                segments.append(codes[begin : begin + SEGMENT])
+            for size, begin in _cuts(len(codes)):
+                segments.append(codes[begin : begin + size])
                 owners.append(item)
                 offsets.append(begin)
-                if last:
-                    break
         self.segments = segments
         self.owner = np.array(owners, dtype=np.int64)
         self.length = np.array([len(s) for s in segments], dtype=np.int64)
