@@ -105,10 +105,14 @@ def _cuts(length: int) -> Iterator[tuple[int, int]]:
                 yield size, length - size
 
 
+def _null_last(item: int | None) -> tuple[bool, int]:
+    return item is None, item or 0
+
+
 class Index:
     """The q-grams of one benchmark block."""
 
-    def __init__(self, items: list[tuple[int, str]], share: float = EDIT_SHARE):
+    def __init__(self, items: list[tuple[int | None, str]], share: float = EDIT_SHARE):
         segments, owners, offsets = [], [], []
         for item, text in items:
             codes, _ = normalise(text)
@@ -119,7 +123,11 @@ class Index:
                 owners.append(item)
                 offsets.append(begin)
         self.segments = segments
-        self.owner = np.array(owners, dtype=np.int64)
+        #: Distinct ids, null last, and the place of each segment's id among them.
+        self.ids = sorted(set(owners), key=_null_last)
+        place = {item: n for n, item in enumerate(self.ids)}
+        self.owner = np.array([-1 if item is None else item for item in owners], dtype=np.int64)
+        self.item = np.array([place[item] for item in owners], dtype=np.int64)
         self.length = np.array([len(s) for s in segments], dtype=np.int64)
         self.budget = np.array([budget(len(s), share) for s in segments], dtype=np.int64)
         self.bound = np.maximum(1, self.length - Q + 1 - self.budget * Q)
@@ -135,7 +143,7 @@ class Index:
         self.mask = np.zeros(1 << MASK_BITS, dtype=bool)
         self.mask[self.values >> np.uint64(64 - MASK_BITS)] = True
 
-    def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
+    def find(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """(item, start, end, edits) of the leaks in ``text``, ends exclusive."""
         if not text or not self.segments:
             return []
@@ -146,7 +154,7 @@ class Index:
             part = codes[begin : begin + WINDOW + reach]
             for item, start, end, edits in self._window(part):
                 found.add((item, begin + start, begin + end, edits))
-        return [(i, int(at[s]), int(at[e - 1]) + 1, k) for i, s, e, k in _merged(found)]
+        return [(self.ids[i], int(at[s]), int(at[e - 1]) + 1, k) for i, s, e, k in _merged(found)]
 
     def _window(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
         out = [x for s in self.short for x in self._exact(codes, s)]
@@ -182,7 +190,7 @@ class Index:
         padded = np.concatenate([[32], codes, [32]])
         starts = np.flatnonzero(same)
         starts = starts[(padded[starts] == 32) & (padded[starts + m + 1] == 32)]
-        return [(int(self.owner[s]), int(x), int(x) + m, 0) for x in starts]
+        return [(int(self.item[s]), int(x), int(x) + m, 0) for x in starts]
 
     def _verify(self, codes: np.ndarray, segment: np.ndarray, band: np.ndarray) -> list[tuple[int, int, int, int]]:
         out = []
@@ -218,7 +226,7 @@ class Index:
         good = edits <= k
         start, end = np.maximum(begin + first, 0), np.minimum(begin + m + best, len(codes))
         rows = np.flatnonzero(good & (end > start))
-        return [(int(self.owner[segment[r]]), int(start[r]), int(end[r]), int(edits[r])) for r in rows]
+        return [(int(self.item[segment[r]]), int(start[r]), int(end[r]), int(edits[r])) for r in rows]
 
 
 def _merged(found: set[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -237,7 +245,7 @@ def _merged(found: set[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
 class Block:
     """Benchmark items that one pass over the documents looks for."""
 
-    items: tuple[tuple[int, str], ...]
+    items: tuple[tuple[int | None, str], ...]
     key: str
     share: float
 
@@ -272,10 +280,11 @@ def _index(block: Block) -> Index:
 
 def blocks(benchmark: DataFrame, share: float = EDIT_SHARE, block_chars: int = BLOCK_CHARS) -> Iterator[Block]:
     """The benchmark's distinct items in blocks of at most ``block_chars``
-    characters (one item may exceed it).  Items without text are left out."""
+    characters (one item may exceed it).  Items without text are left out, those
+    without an id are not."""
     rows = (
         benchmark.select("item_id", "text")
-        .where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
+        .where(F.col("text").isNotNull())
         .distinct()
     )
     items, size = [], 0
@@ -289,14 +298,14 @@ def blocks(benchmark: DataFrame, share: float = EDIT_SHARE, block_chars: int = B
         yield _block(items, share)
 
 
-def _block(items: list[tuple[int, str]], share: float) -> Block:
-    items = sorted(items)
+def _block(items: list[tuple[int | None, str]], share: float) -> Block:
+    items = sorted(items, key=lambda x: (*_null_last(x[0]), x[1]))
     return Block(tuple(items), hashlib.sha256(repr((items, share)).encode()).hexdigest(), share)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per leak: doc_id, item_id, start, end (characters of the text, end
-    exclusive) and edits of the best segment.
+    exclusive) and edits of the best segment.  Items without an id count as one item.
 
     Documents without text have no leaks; repeated documents are reported each;
     an empty benchmark or an empty table gives no rows.  Other columns are ignored.
