@@ -169,13 +169,24 @@ def _best_pair(stock: _Stock, room: int, beat: int) -> tuple[int, int] | None:
     return found
 
 
+def _numbered(found: DataFrame) -> DataFrame:
+    """The pieces with a number ``nth`` from 0 that tells equal rows apart.  They are
+    counted, partly where they are read, and made again from the count, in steps."""
+    step, top = F.lit(1 << 12).cast("bigint"), F.col("times") - 1
+    counted = found.groupBy(found.columns).agg(F.count("*").alias("times"))
+    parts = counted.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(top / step))))
+    numbers = F.sequence(F.col("part") * step, F.least(top, F.col("part") * step + step - 1))
+    return parts.select(*found.columns, F.explode(numbers).alias("nth"))
+
+
 def pack(
     found: DataFrame, n_groups: int, max_tokens: int = MAX_TOKENS, method: Callable[[Counter, int], list[list[int]]] = best_two_fit
 ) -> DataFrame:
     """The pieces with sequence_id and offset.
 
     Which of several pieces of equal length goes first follows from their ids, so a
-    repeated task gives the same sequences.
+    repeated task gives the same sequences.  Equal pieces are numbered and dealt by their
+    number too, so that any number of them spreads over the groups.
     """
 
     def place(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -191,7 +202,9 @@ def pack(
         rows["sequence_id"], rows["offset"] = sequence, offset
         return rows.drop(columns="group")
 
-    dealt = found.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n_groups)))
+    # The first has no number; a null leaves the hash as it is.
+    nth = F.when(F.col("nth") > 0, F.col("nth"))
+    dealt = _numbered(found).withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", nth), F.lit(n_groups))).drop("nth")
     return dealt.groupBy("group").applyInPandas(place, PIECES + ", sequence_id bigint, offset bigint")
 
 
