@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymatrix.llm import context_mixing, decontam, langid, license_scan, line_rules, packing, quality_rff, simhash_anchor, toxicity, warc
+from daymatrix.llm import context_mixing, decontam, langid, license_scan, line_rules, merkle, packing, quality_rff, simhash_anchor, toxicity, warc
 from daymatrix.llm.text import held_out
 
 QUALITY_LIMIT = 0.7
@@ -99,12 +99,20 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents"))
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.build(table(spark, folder, "documents")).proofs()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_quality_rules, op3_quality_classifier, op4_simhash, op5_context_mixing, op6_toxicity,
-        op7_warc, op8_language, op9_packing, op10_licenses,
+        op7_warc, op8_language, op9_packing, op10_licenses, op11_merkle,
     )
 }
 
-ORACLES: dict[str, str] = {"op2_quality_rules": line_rules.ORACLE_SQL, "op7_warc": warc.ORACLE_SQL}
+ORACLES: dict[str, str] = {
+    "op2_quality_rules": line_rules.ORACLE_SQL,
+    "op7_warc": warc.ORACLE_SQL,
+    "op11_merkle": merkle.ORACLE_SQL,
+}

@@ -38,3 +38,13 @@ def words(text: str | None) -> list[bytes]:
     """Words of a text, A-Z lower-cased: for bytes, Python lower-cases and splits
     exactly the ASCII letters and ASCII white space."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+def crc_sql(value: str) -> str:
+    """CRC-32 of a text's UTF-8, unsigned, in DuckDB's SQL, which lacks the function: bit
+    by bit, each byte being taken in before its first bit."""
+    digit = f"(strpos('0123456789ABCDEF', substr(hex(encode({value})), i // 4 + {{}}, 1)) - 1)"
+    byte = f"CASE WHEN i % 8 = 0 THEN {digit.format(1)} * 16 + {digit.format(2)} ELSE 0 END"
+    steps = f"list_transform(range(8 * octet_length(encode({value}))), lambda i: {byte})"
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}),
+        lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295)"""
