@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymatrix.llm import context_mixing, decontam, langid, license_scan, line_rules, merkle, packing, quality_rff, simhash_anchor, toxicity, warc
+from daymatrix.llm import chat, context_mixing, decontam, langid, license_scan, line_rules, merkle, packing, quality_rff, simhash_anchor, spelling, toxicity, warc
 from daymatrix.llm.text import held_out
 
 QUALITY_LIMIT = 0.7
@@ -103,11 +103,22 @@ def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.build(table(spark, folder, "documents")).proofs()
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op13_chat(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    conv, text = chat.EXTRA
+    extra = spark.createDataFrame([(conv, 0, "user", text), (conv, 1, chat.ASSISTANT, text)], "conv_id bigint, turn int, role string, text string")
+    return chat.round_trip(turns.unionByName(extra))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_quality_rules, op3_quality_classifier, op4_simhash, op5_context_mixing, op6_toxicity,
-        op7_warc, op8_language, op9_packing, op10_licenses, op11_merkle,
+        op7_warc, op8_language, op9_packing, op10_licenses, op11_merkle, op12_spelling, op13_chat,
     )
 }
 
@@ -115,4 +126,6 @@ ORACLES: dict[str, str] = {
     "op2_quality_rules": line_rules.ORACLE_SQL,
     "op7_warc": warc.ORACLE_SQL,
     "op11_merkle": merkle.ORACLE_SQL,
+    "op12_spelling": spelling.ORACLE_SQL,
+    "op13_chat": chat.ORACLE_SQL,
 }

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +41,13 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def record_batch(rows: Iterable[tuple], fields: dict[str, pa.DataType]) -> pa.RecordBatch:
+    """Rows as an Arrow batch, of the right types also when there are none."""
+    columns = list(zip(*rows)) or [()] * len(fields)
+    arrays = [pa.array(column, kind) for column, kind in zip(columns, fields.values())]
+    return pa.RecordBatch.from_arrays(arrays, names=list(fields))
+
+
 def crc_sql(value: str) -> str:
     """CRC-32 of a text's UTF-8, unsigned, in DuckDB's SQL, which lacks the function: bit
     by bit, each byte being taken in before its first bit."""
