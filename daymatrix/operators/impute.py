@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymatrix.functions import cleaning as C
@@ -26,6 +27,14 @@ from daymatrix.operators.calendar import missing_days
 from daymatrix.session import materialize
 
 
+MONTH_DAY = "md"
+
+
+def month_day(column: Column | str) -> Column:
+    """Month and day as one number."""
+    return (F.month(column) * 100 + F.dayofmonth(column)).cast("int")
+
+
 def drop_imputed_rows(df: DataFrame) -> DataFrame:
     """Remove estimated rows and the control columns of a wide frame."""
     if IS_IMPUTED not in df.columns:
@@ -45,9 +54,6 @@ def _gaps(observed: DataFrame, first: date, target: date) -> DataFrame:
     """Missing days with their history ``(day, past)``: the earlier observed days
     of the same month and day, at most one per year, possibly none."""
 
-    def month_day(column):
-        return F.month(column) * 100 + F.dayofmonth(column)
-
     missing = missing_days(observed, first, target).withColumn("md", month_day(DAY))
     history = observed.select(F.col(DAY).alias("past"), month_day(DAY).alias("md"))
     joined = missing.join(
@@ -131,13 +137,57 @@ def impute(
         (F.col("total") / F.coalesce("num_past", num_days)).alias(VALUE),
     )
 
-    estimated_days = gaps.select(
+    estimated_days = _estimated_days(gaps, observed_day, created_at)
+    return DailyMatrix(
+        real.values.unionByName(estimates), real.days.unionByName(estimated_days)
+    )
+
+
+def estimates_from_sums(
+    observed: DataFrame,
+    sums: DataFrame,
+    values_of: Callable[[list[int]], DataFrame],
+    target: date,
+    created_at: datetime,
+) -> DailyMatrix:
+    """The estimates of :func:`impute`, from sums instead of the whole history.
+
+    ``observed`` is the table of observed days, ``sums`` holds the observed values summed
+    per month and day (``md``) and feature, and ``values_of`` gives the observed values of
+    some years.  Of a gap that days of the same month and day follow, those days are taken
+    off the sum; no other value is read.  Sums of numbers that are not whole may differ in
+    the last places from sums made anew.
+    """
+    first, last, num_days = observed.agg(F.min(DAY), F.max(DAY), F.count("*")).first()
+    if first is None:
+        return DailyMatrix.empty(observed.sparkSession)
+    gaps = materialize(_gaps(observed, first, target), "gaps").withColumn(MONTH_DAY, month_day(DAY))
+    known = gaps.where(F.size("past") > 0).select(DAY, MONTH_DAY)
+    totals = sums.join(broadcast_days(known), MONTH_DAY).select(DAY, FEATURE, VALUE)
+    after = observed.select(F.col(DAY).alias("later"), month_day(DAY).alias(MONTH_DAY))
+    later = known.join(broadcast_days(after), MONTH_DAY).where(F.col("later") > F.col(DAY)).select("later", DAY)
+    later = materialize(later, "later")
+    years = later.agg(F.collect_set(F.year("later"))).first()[0]
+    if years:
+        values = values_of(years).withColumnRenamed(DAY, "later").join(broadcast_days(later), "later")
+        totals = totals.unionByName(values.select(DAY, FEATURE, (-F.col(VALUE)).alias(VALUE)))
+        totals = totals.groupBy(DAY, FEATURE).agg(F.sum(VALUE).alias(VALUE))
+    num_past = gaps.select(DAY, F.size("past").alias("num_past"))
+    means = totals.join(broadcast_days(num_past), DAY).select(DAY, FEATURE, (F.col(VALUE) / F.col("num_past")).alias(VALUE))
+    # Days without history get the mean over all observed days.
+    without = gaps.where(F.size("past") == 0).agg(F.collect_list(DAY)).scalar()
+    overall = sums.groupBy(FEATURE).agg((F.sum(VALUE) / num_days).alias(VALUE))
+    overall = overall.select(F.explode(without).alias(DAY), FEATURE, VALUE)
+    return DailyMatrix(
+        means.unionByName(overall).where(F.col(VALUE) != 0), _estimated_days(gaps, last, created_at)
+    )
+
+
+def _estimated_days(gaps: DataFrame, source_last: date, created_at: datetime) -> DataFrame:
+    return gaps.select(
         DAY,
         F.lit(True).alias(IS_IMPUTED),
         F.lit(SAME_MONTH_DAY_MEAN).alias(METHOD),
-        F.lit(observed_day.isoformat()).alias(SOURCE_LAST_DATE),
+        F.lit(source_last.isoformat()).alias(SOURCE_LAST_DATE),
         F.lit(created_at.isoformat()).alias(CREATED_AT),
     )
-    return DailyMatrix(
-        real.values.unionByName(estimates), real.days.unionByName(estimated_days)
-    )

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from daymatrix.model import (
     DAY,
     FEATURE,
-    IS_IMPUTED,
     VALUE,
     DailyMatrix,
     broadcast_days,
@@ -20,7 +19,7 @@ from daymatrix.model import (
 )
 from daymatrix.operators.calendar import last_contiguous_day
 from daymatrix.operators.features import coded_features, visit_features
-from daymatrix.operators.impute import drop_imputed, impute
+from daymatrix.operators.impute import drop_imputed, estimates_from_sums
 from daymatrix.operators.prepare import (
     clean_coded_rows,
     clean_visits,
@@ -29,7 +28,6 @@ from daymatrix.operators.prepare import (
     require_columns,
 )
 from daymatrix.operators.selection import non_empty
-from daymatrix.plans.maintenance import replace_dataset, without_days
 from daymatrix.plans.windows import Window, latest, processing_window, resume_day
 from daymatrix.session import is_small, materialize, scratch
 from daymatrix.sources.readers import date_bounds, scan_range
@@ -61,14 +59,19 @@ def staged_matrix(
 ) -> DailyMatrix | None:
     """Staged rows as a matrix.  Pieces of one run add up; of several runs that
     hold the same day the latest run counts.  ``news`` limits it to the days of
-    those runs."""
-    rows = staging.load(runs)
+    those runs.  Files that cannot hold a wanted day are not read."""
+    touched = None
+    if news is not None:
+        fresh = staging.load(news, with_range)
+        if fresh is None:
+            return None
+        touched = materialize(fresh.select(DAY).distinct(), "touched")
+    rows = staging.load(runs, with_range if touched is None else None, touched)
     if rows is None:
         return None
     if with_range:
         rows = rows.where(date_range(F.col(DAY), *with_range))
-    if news is not None:
-        touched = rows.where(F.col("run").isin(news)).select(DAY).distinct()
+    if touched is not None:
         rows = rows.join(broadcast_days(touched), DAY, "left_semi")
     return latest_run_per_day(rows)
 
@@ -86,7 +89,6 @@ def publish(
     staging: StagingArea,
     as_of: date,
     created_at: datetime,
-    observed_until: date | None = None,
     impute_until: date | None = None,
     with_range: tuple[date, date] | None = None,
     clear: bool = True,
@@ -101,42 +103,55 @@ def publish(
     the runs whose days are published, by default all.  Rows past the retention
     period are removed once everything staged is published.
     """
-    runs = staging.runs()
-    new = staged_matrix(staging, runs, with_range, news)
-    if new is None:
-        return None
-    matrix = replace_days(store.load(), new) if store.exists() else new
-    if impute_until is not None:
-        last = matrix.days.agg(F.max(DAY)).first()[0]
-        if last is None:
+    with scratch(store.spark):
+        runs = staging.runs()
+        new = staged_matrix(staging, runs, with_range, news)
+        if new is None:
             return None
-        matrix = impute(
-            matrix,
-            as_of,
-            created_at,
-            observed_until=latest(observed_until, last),
-            target_until=latest(impute_until, last),
-        )
-    version = store.publish(matrix, as_of, created_at)
-    if version is not None:
-        staging.cursor.write(cursor_of(store.load().days, created_at))
-        if clear and with_range:
-            _clear_range(staging, runs, *with_range)
-        elif clear:
-            staging.clear(runs)
-        elif with_range is None and news is None:
-            staging.expire(as_of)
+        new = DailyMatrix(materialize(new.values, "new"), materialize(new.days, "new-days"))
+        version = _publish_changes(store, new, as_of, created_at, impute_until)
+        if version is None:
+            return None
+        staging.cursor.write(cursor_of(store.days(), created_at))
+    if clear and with_range:
+        _clear_range(staging, runs, *with_range)
+    elif clear:
+        staging.clear(runs)
+    elif with_range is None and news is None:
+        staging.expire(as_of)
     return version
 
 
+def _publish_changes(
+    store: MatrixStore, new: DailyMatrix, as_of: date, created_at: datetime, impute_until: date | None
+) -> int | None:
+    """A version with the observed days of ``new`` in place of the stored ones, without
+    days after ``as_of``, and with all estimates made anew if there is a target day.
+
+    What is read are the years and months that change, the sums, and the day table.
+    """
+    until = F.col(DAY) <= F.lit(as_of)
+    new, stored = new.select_days(until), store.observed_days()
+    kept = stored.where(until).join(broadcast_days(new.days), DAY, "left_anti")
+    days = materialize(kept.unionByName(new.days), "observed")
+    last = days.agg(F.max(DAY)).first()[0]
+    if last is None:
+        return None
+    draft = store.revise(stored.where(~until), new)
+    if impute_until is None:
+        return draft.publish(days, created_at)
+    target = min(latest(impute_until, last), as_of)
+    estimates = estimates_from_sums(days.select(DAY), draft.sums(), draft.observed, target, created_at)
+    return draft.publish(days.unionByName(estimates.days), created_at, estimates.values)
+
+
 def _clear_range(staging: StagingArea, runs: list[str], start: date, end: date) -> None:
-    """Remove the staged rows of an inclusive range of days."""
+    """Remove the staged rows of an inclusive range of days, and runs left empty."""
     for run in runs:
-        rest = without_days(staging.load([run]), start, end).drop("run")
-        if rest.isEmpty():
+        staging.remove_days(run, start, end)
+        rest = staging.load([run])
+        if rest is None or rest.isEmpty():
             staging.clear([run])
-        else:
-            replace_dataset(rest, f"{staging.folder.path}/run={run}", backup=None)
 
 
 def refresh_imputation(
@@ -145,10 +160,8 @@ def refresh_imputation(
     """Estimate the stored matrix anew when the source has no new days."""
     if not store.exists() or impute_until is None:
         return None
-    stored = store.load()
-    last = stored.days.where(~F.col(IS_IMPUTED)).agg(F.max(DAY)).first()[0]
-    matrix = impute(stored, as_of, created_at, last, latest(impute_until, last))
-    return store.publish(matrix, as_of, created_at)
+    with scratch(store.spark):
+        return _publish_changes(store, DailyMatrix.empty(store.spark), as_of, created_at, impute_until)
 
 
 @dataclass(frozen=True)
@@ -203,7 +216,7 @@ def run_increment(
     are staged, so publishing never goes back to the source.
     """
     require_columns(source, [date_column, *columns])
-    contiguous = last_contiguous_day(run.store.load().days).first()[0]
+    contiguous = last_contiguous_day(run.store.days()).first()[0]
     cursor = run.staging.cursor
     last = resume_day(cursor.exists(), cursor.last_day(), contiguous)
 
@@ -226,7 +239,6 @@ def run_increment(
         run.staging,
         run.as_of,
         run.created_at,
-        observed_until=window.last_day,
         impute_until=requested_end,
     )
     return Outcome(window, version)

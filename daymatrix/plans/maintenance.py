@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from daymatrix.model import DAY
+from daymatrix.model import DAY, IS_IMPUTED, DailyMatrix
 from daymatrix.operators.prepare import date_range, day_of
-from daymatrix.session import Folder, materialize
+from daymatrix.session import materialize
 from daymatrix.sources.readers import read_parquet, rows_between
-from daymatrix.sources.store import CursorStore, MatrixStore, StagingArea, cursor_of
+from daymatrix.sources.replace import replace_dataset
+from daymatrix.sources.store import ESTIMATED, CursorStore, MatrixStore, StagingArea, cursor_of
 
 
 class Shown(NamedTuple):
@@ -45,7 +47,13 @@ def without_days(df: DataFrame, start: date, end: date, day: str = DAY) -> DataF
         raise ValueError("deleting rows needs a start and an end")
     if start > end:
         raise ValueError("start cannot be after end")
-    return df.where(~F.coalesce(date_range(day_of(df, day), start, end), F.lit(False)))
+    # Written so that on stored dates and times it reaches the scan.
+    if isinstance(df.schema[day].dataType, T.StringType):
+        column, kind = day_of(df, day), T.DateType()
+    else:
+        column, kind = F.col(f"`{day}`"), df.schema[day].dataType
+    after = F.lit(end + timedelta(days=1)).cast(kind)
+    return df.where((column < F.lit(start).cast(kind)) | (column >= after) | column.isNull())
 
 
 class Deleted(NamedTuple):
@@ -70,20 +78,23 @@ def delete_days(
     run starts there.  A dry run only reports; without a matching day nothing is
     written.  The backup is the previous version.
     """
-    stored = store.load()
-    days = without_days(stored.days, start, end)
-    remaining, total = days.count(), stored.days.count()
+    stored = store.days()
+    days = without_days(stored, start, end)
+    remaining, total = days.count(), stored.count()
     cursor = cursor_of(days, now, before=start)
     if dry_run or remaining == total:
         return Deleted(total - remaining, remaining, None, cursor if dry_run else None)
     previous = store.versions.latest()
-    outside = ~date_range(F.col(DAY), start, end)
-    last = stored.days.agg(F.max(DAY)).first()[0]  # days after ``now`` are not asked for
-    store.publish(stored.select_days(outside), max(last, now.date()), now, allow_empty=True)
+    gone = stored.where(date_range(F.col(DAY), start, end))
+    estimated = F.coalesce(F.col(IS_IMPUTED), F.lit(False))
+    draft = store.revise(gone.where(~estimated), DailyMatrix.empty(store.spark))
+    years = gone.where(estimated).agg(F.collect_set(F.year(DAY))).first()[0]
+    left = without_days(store.read_parts(draft.former, ESTIMATED, years), start, end)
+    draft.publish(days, now, left if years else None, years)
     if staging is not None:
         staging.cursor.write(cursor)
     if not create_backup:
-        store.versions.folder.delete(f"v={previous:06d}")
+        store.drop(previous)
     backup = store.versions.path(previous) if create_backup else None
     return Deleted(total - remaining, remaining, backup, cursor)
 
@@ -110,36 +121,11 @@ def delete_staged_days(
     if dry_run or remaining == total:
         return Deleted(total - remaining, remaining, None, cursor if dry_run else None)
     cursor = materialize(cursor, "cursor")  # it is read from what is about to go
-    path = f"{staging.folder.path}/run={run}"
-    replace_dataset(kept.drop("run"), path, backup=None)
+    staging.remove_days(run, start, end, day)
     staging.cursor.write(cursor)
     return Deleted(total - remaining, remaining, None, staging.cursor.read())
 
 
-def partition_columns(spark: SparkSession, path: str) -> list[str]:
-    """Columns a folder is partitioned by, read off its folder names."""
-    columns, folder = [], Folder(spark, path)
-    while level := [n for n in folder.names() if "=" in n and not n.startswith((".", "_"))]:
-        columns.append(level[0].split("=", 1)[0])
-        folder = Folder(spark, f"{folder.path}/{level[0]}")
-    return columns
-
-
-def replace_dataset(df: DataFrame, path: str, backup: str | None) -> None:
-    """Replace a Parquet folder by ``df``, which may read it; partitions are kept.
-
-    The new folder is complete before the old one is moved away.
-    """
-    spark = df.sparkSession
-    parent, name = path.rstrip("/").rsplit("/", 1)
-    fresh, old = f"{parent}/.{name}.new", backup or f"{parent}/.{name}.old"
-    df.write.mode("overwrite").partitionBy(*partition_columns(spark, path)).parquet(fresh)
-    Folder(spark, path).rename(old)
-    Folder(spark, fresh).rename(path)
-    if backup is None:
-        Folder(spark, old).delete()
-
-
 def delete_parquet_rows(
     spark: SparkSession,
     path: str,
@@ -154,6 +140,8 @@ def delete_parquet_rows(
     """Delete an inclusive date range from any Parquet folder.
 
     The cursor goes back before the range, and into ``cursors`` once the rows are gone.
+    A deletion that was stopped is finished or undone by the next reader of the folder
+    (see :mod:`daymatrix.sources.replace`).
     """
     df = read_parquet(spark, path)
     if df is None:

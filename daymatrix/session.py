@@ -38,8 +38,23 @@ class Folder:
         fs.delete(path, True)
 
     def touch(self, name: str) -> None:
+        self.write_text(name, "")
+
+    def write_text(self, name: str, text: str) -> None:
+        """A small file, such as a manifest."""
+        fs, path = self._at(name)
+        stream = fs.create(path, True)
+        if text:
+            stream.write(bytearray(text.encode()))
+        stream.close()
+
+    def read_text(self, name: str) -> str:
         fs, path = self._at(name)
-        fs.create(path, True).close()
+        stream = fs.open(path)
+        try:
+            return bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+        finally:
+            stream.close()
 
     def rename(self, target: str) -> None:
         fs, path = self._at()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymatrix.operators.prepare import date_range, day_of, require_columns
+from daymatrix.sources.replace import settle
 
 # Fixed value: first day accepted by default.
 MIN_VALID_DAY = date(2000, 1, 1)
@@ -27,7 +28,10 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -
 def read_parquet(
     spark: SparkSession, *paths: str, columns: list[str] | None = None
 ) -> DataFrame | None:
-    """Parquet files or folders whose columns may differ; None when missing."""
+    """Parquet files or folders whose columns may differ; None when missing.  A
+    replacement of a folder that was stopped half-way is finished first."""
+    for path in paths:
+        settle(spark, path)
     try:
         df = spark.read.option("mergeSchema", True).parquet(*paths)
     except AnalysisException as error:

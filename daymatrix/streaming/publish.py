@@ -6,6 +6,8 @@ marks lying beside the stream's checkpoint in place of clearing the runs.  A run
 files arrive in several batches is thus published whole, and of each of its days the
 latest run counts, also if an older one arrives late.  Whole days are replaced as in
 any other publication, so a batch that is repeated after a failure changes nothing.
+Files of published runs that are past the retention period go after each batch; a run
+that arrives late with such a day replaces it, as its newer one is no longer staged.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ def publish_available(
                 )
             for run in news:
                 marks.touch(f"run={run}")
+        # What is published may expire; runs that are not stay whole.
+        staging.expire(as_of, runs=[name.removeprefix("run=") for name in marks.names()])
 
     def publish_batch(_batch: DataFrame, _: int) -> None:
         publish_runs()

@@ -45,11 +45,6 @@ def series(spark):
     return build
 
 
-def wide_rows(df, key="day"):
-    """{key as text: {column: value}} of a frame."""
-    return {str(r[key]): {k: v for k, v in r.asDict().items() if k != key} for r in df.collect()}
-
-
 @pytest.fixture
 def sample(spark):
     """Small inputs in the shape of the two facts and the lookup."""

@@ -179,8 +179,9 @@ def test_unknown_facilities(spark, sample):
 
 
 def test_lookup_duplicates(spark):
+    """The last row of a facility wins."""
     raw = spark.createDataFrame([("1", "b"), ("00001", "a"), ("2", "c")], "`Codi UP` string, RS string")
-    assert {tuple(r) for r in prepare.facility_lookup(raw).collect()} == {("00001", "B"), ("00002", "C")}
+    assert {tuple(r) for r in prepare.facility_lookup(raw).collect()} == {("00001", "A"), ("00002", "C")}
     assert [tuple(r) for r in prepare.lookup_duplicates(raw).collect()] == [("00001", 2)]
 
 

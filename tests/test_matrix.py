@@ -3,7 +3,7 @@ from datetime import date, datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import wide_rows
+from frames import wide_rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

@@ -3,7 +3,7 @@ from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
-from conftest import wide_rows
+from frames import wide_rows
 from pyspark.sql import functions as F
 
 from daymatrix.model import DailyMatrix
