@@ -462,8 +462,9 @@ WHERE d > (SELECT last FROM contig) AND d <= DATE '2001-07-01' GROUP BY d""",
     )
     + _values("ilong"),
     "staged_rows": _with(CODED, IDENTIFIED)
-    + """SELECT CAST(d AS VARCHAR) AS timestamp, up AS UP, code AS DIAG_CODE,
-  CASE WHEN up < '00100' THEN n * 10 ELSE n END AS n FROM counted""",
+    + """SELECT CAST(d AS VARCHAR) AS timestamp, up AS UP, code AS DIAG_CODE, CASE WHEN up < '00100' THEN n * 10 ELSE n END AS n,
+  CAST(d AS VARCHAR) || '_' || code || '_' || up AS data_id, CASE WHEN up < '00100' THEN '2' ELSE '1' END AS last_run,
+  CASE WHEN up < '00100' THEN n * 10 ELSE n END AS kept_n FROM counted""",
     "row_identity": _with(CODED, IDENTIFIED)
     + """SELECT CAST(d AS VARCHAR) AS timestamp, up AS UP, code AS DIAG_CODE, n,
   CAST(d AS VARCHAR) || '_' || code || '_' || up AS data_id FROM counted""",
@@ -483,7 +484,8 @@ FROM ({TOTALS}) AS t WHERE day NOT LIKE '1999%'""",
     "resumed_run": _with(
         VISITS, CODED, CODED_NAMES, _long("ilong", "cnamed", "cregion_chosen", "cplace_chosen")
     )
-    + _values("ilong", "d <= DATE '2001-12-31'"),
+    + _values("ilong", "d <= DATE '2001-12-31'")
+    + f" UNION ALL SELECT * FROM ({TOTALS}) AS t WHERE day NOT IN (SELECT CAST(d AS VARCHAR) FROM coded WHERE d <= DATE '2001-12-31')",
     "refreshed_estimates": _with(*BASE_V, IMPUTED) + _values("vimp"),
     "staging_after_clear": _with(VISITS)
     + f"SELECT '2' AS run, day, feature, value FROM ({TOTALS}) AS t WHERE day >= '1998-01-01'",
@@ -492,8 +494,47 @@ FROM ({TOTALS}) AS t WHERE day NOT LIKE '1999%'""",
   (SELECT CAST(max(d) AS VARCHAR) FROM visits WHERE d < DATE '1997-03-01') AS resume_after
 FROM ({TOTALS}) AS t WHERE day < '1997-03-01' OR day > '1999-06-30'""",
     "stored_estimates": _with(*BASE_V, IMPUTED)
-    + """SELECT CAST(d AS VARCHAR) AS timestamp, 'same_month_day_mean' AS imputation_method,
+    + """SELECT 'base' AS dataset, CAST(d AS VARCHAR) AS timestamp, 'true' AS is_imputed,
+  'same_month_day_mean' AS imputation_method, CAST((SELECT max(d) FROM vimp_obs) AS VARCHAR) AS imputation_source_last_date,
   '2002-01-01T06:00:00' AS imputation_created_at FROM vimp_miss""",
+    "stored_range": _with(*BASE_V, IMPUTED) + _values("vimp", "d BETWEEN DATE '1996-11-15' AND DATE '1997-02-10'"),
+    "increment_rewrites_one_year": _with(VISITS)
+    + """SELECT kind, CAST(folder AS INTEGER) AS folder, first_day, last_day, value
+FROM (VALUES ('observed', 2000), ('sums', 6)) AS f(kind, folder), (
+  SELECT CAST(min(d) AS VARCHAR) AS first_day, CAST(max(d) AS VARCHAR) AS last_day, CAST(count(*) AS DOUBLE) AS value
+  FROM visits WHERE d >= DATE '2000-01-01' AND d < DATE '2000-07-01') AS e""",
+    "estimates_from_stored_sums": _with(
+        VISITS,
+        """slong AS (SELECT d, 'DEMAND__TOTAL' AS name, CAST(count(*) * CASE WHEN year(d) = 1996 THEN 2 ELSE 1 END AS DOUBLE) AS v
+  FROM visits WHERE d < DATE '2000-06-01' GROUP BY d)""",
+        _estimates("slong", "simp", "DATE '9999-12-31'", "DATE '2000-12-31'"),
+    )
+    + _values("simp"),
+    "stream_retention": _with(VISITS)
+    + """SELECT CAST(year(d) AS INTEGER) AS year, CAST(count(*) AS DOUBLE) AS value, 'stored' AS place FROM visits GROUP BY year(d)
+UNION ALL SELECT CAST(year(d) AS INTEGER), CAST(count(*) AS DOUBLE), 'staged' FROM visits WHERE d >= DATE '1998-01-01' GROUP BY year(d)""",
+    "appended_without_time": "SELECT s_suppkey, s_nationkey, '1999-09-09' AS timestamp FROM supplier",
+    "estimates_as_json": _with(*BASE_V, IMPUTED)
+    + """SELECT '2002-01-01T06:00:00' AS generated_at, 'day' AS timestamp_column, o.n + m.n AS total_rows, m.n AS total_imputed_rows,
+  'base' AS dataset, '__is_imputed' AS imputed_column, m.n AS num_imputed_rows, o.n AS num_observed_rows,
+  first AS first_imputed_date, last AS last_imputed_date, dates
+FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM vimp_obs) AS o, (
+  SELECT CAST(count(*) AS BIGINT) AS n, CAST(min(d) AS VARCHAR) AS first, CAST(max(d) AS VARCHAR) AS last,
+    string_agg(CAST(d AS VARCHAR), ',' ORDER BY d) AS dates FROM vimp_miss) AS m""",
+    "year_slices_of_source": """
+SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS num_rows,
+  CAST(CAST(min(l_shipdate) AS DATE) AS VARCHAR) AS first_day, CAST(CAST(max(l_shipdate) AS DATE) AS VARCHAR) AS last_day
+FROM lineitem WHERE l_shipdate >= DATE '1995-06-15' AND l_shipdate < DATE '1999-02-01' GROUP BY year(l_shipdate)""",
+    "dates_in_several_formats": """
+SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS seen FROM orders WHERE o_orderkey % 7 < 4""",
+    "rejected_dates": """
+SELECT o_orderkey, CASE o_orderkey % 7 WHEN 4 THEN '31/02/1997' WHEN 5 THEN ' ' ELSE 'none' END AS seen,
+  CASE o_orderkey % 7 WHEN 4 THEN 'unreadable' WHEN 5 THEN 'blank' ELSE 'missing' END AS reason
+FROM orders WHERE o_orderkey % 7 >= 4""",
+    "column_contract": """
+SELECT 'orders' AS table_name, column_name, stored_as, present, (SELECT CAST(count(*) AS BIGINT) FROM orders) AS num_rows
+FROM (VALUES ('O_ORDERKEY', 'o_orderkey', TRUE), ('o_orderdate', 'o_orderdate', TRUE), ('o_place', 'none', FALSE),
+  ('O_Clerk_Code', 'none', FALSE)) AS c(column_name, stored_as, present)""",
     "matrix_from_wide": _with(VISITS, NAMES, _long("glong", "named")) + _values("glong"),
     "first_rows_of_range": _with(VISITS)
     + """SELECT CAST(d AS VARCHAR) AS day, CAST(count(*) AS DOUBLE) AS value, CAST(count(*) OVER () AS INTEGER) AS matched

@@ -28,7 +28,7 @@ from daymatrix.functions import cleaning as C
 from daymatrix.functions.codes import expand_code_spec
 from daymatrix.functions.naming import RS, UP, canonicalize_features
 from daymatrix.model import CONTROL_COLUMNS, IS_IMPUTED, DailyMatrix
-from daymatrix.operators import calendar, dedup, features, fill, identity, matrix, quality, selection
+from daymatrix.operators import calendar, dedup, features, fill, identity, matrix, prepare, quality, selection
 from daymatrix.operators.features import GLOBAL
 from daymatrix.operators.impute import drop_imputed, drop_imputed_rows, impute
 from daymatrix.operators.join import join_incremental, join_matrices, merge_on_keys
@@ -40,6 +40,7 @@ from daymatrix.operators.prepare import (
     prepare_visits,
     unknown_facilities,
     unknown_facility_report,
+    with_read_days,
     with_region,
 )
 from daymatrix.plans.full import full_coded, full_visits
@@ -693,7 +694,10 @@ def staged_rows(spark, sf):
     staging.append(named, "1", AS_OF, "timestamp", chunk_rows=10_000)
     again = named.where("UP < '00100'").withColumn("n", F.col("n") * 10)
     staging.append(again, "2", AS_OF, "timestamp", chunk_rows=10_000)
-    return staging.load_rows().select("timestamp", "UP", "DIAG_CODE", "n")
+    rows = staging.load()
+    last = dedup.keep_last(readers.with_file_order(rows.withColumn("last_run", F.col("run"))), ["data_id"], ["run", *readers.FILE_ORDER])
+    kept = staging.load_rows().withColumnRenamed("n", "kept_n")
+    return last.join(kept.select("data_id", "kept_n"), "data_id")
 
 
 @query
@@ -780,7 +784,7 @@ def resumed_run(spark, sf):
     store, staging = _places(spark, "resumed")
     staging.append(_totals(spark, sf), "20011231T000000", AS_OF)
     _coded_run(spark, sf, store, staging, 0, end=TARGET)
-    return _values(drop_imputed(store.load())).where("feature LIKE 'DIAGNOSIS%'")
+    return _values(drop_imputed(store.load()))
 
 
 @query
@@ -822,7 +826,7 @@ def stored_estimates(spark, sf):
     """The list of estimated days that lies beside a stored version."""
     store = _store(spark, _imputed_visits(spark, sf), "listed")
     path = f"{store.versions.path(store.versions.latest())}/imputed_rows"
-    return readers.read_csv(spark, path, ["timestamp", "imputation_method", "imputation_created_at"])
+    return readers.read_csv(spark, path)
 
 
 @query
@@ -925,6 +929,128 @@ def codes_from_csv(spark, sf):
     return read.groupBy("UP", "c_mktsegment").agg(F.count("*").alias("num_rows"))
 
 
+def _published_years(spark, sf, name):
+    """Totals published in two increments, the second of one day with a target behind it."""
+    store, staging = _places(spark, name)
+    totals = _totals(spark, sf)
+    staging.append(totals.where("day < '2000-06-01'"), "1", AS_OF)
+    publish(store, staging, AS_OF, NOW, impute_until=date(2000, 5, 31))
+    return store, staging, totals
+
+
+@query
+def stored_range(spark, sf):
+    """A range of a stored matrix, read from the folders of its years."""
+    store = _store(spark, _imputed_visits(spark, sf), "stored-range")
+    return _values(store.load(start=date(1996, 11, 15), end=date(1997, 2, 10)))
+
+
+@query
+def increment_rewrites_one_year(spark, sf):
+    """The folders that an increment of one month writes, and the days in them."""
+    store, staging, totals = _published_years(spark, sf, "increment")
+    before = set(store.parts())
+    staging.append(totals.where("day >= '2000-06-01' AND day < '2000-07-01'"), "2", AS_OF)
+    publish(store, staging, AS_OF, NOW)
+    written = [p for p in store.parts() if p not in before]
+    folders = spark.createDataFrame([(p.kind, p.key) for p in written], "kind string, folder int")
+    ends = store.read_parts(written, "observed").agg(F.struct(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.sum("value").alias("value")))
+    return folders.withColumn("ends", ends.scalar()).select("kind", "folder", "ends.*")
+
+
+@query
+def estimates_from_stored_sums(spark, sf):
+    """Estimates after a year was recomputed, made of sums that were kept by month and day."""
+    store, staging, totals = _published_years(spark, sf, "sums")
+    again = totals.where("day >= '1996-01-01' AND day < '1997-01-01'").withColumn("value", F.col("value") * 2)
+    staging.append(again, "2", AS_OF)
+    publish(store, staging, AS_OF, NOW, impute_until=date(2000, 12, 31))
+    return _values(store.load())
+
+
+@query
+def stream_retention(spark, sf):
+    """What a stream has published expires from the stage by whole files, not from the store."""
+    store, staging = _places(spark, "stream-retention", retention_days=1461)
+    years = _totals(spark, sf).withColumn("year", F.year("day"))
+    checkpoint = new_folder(spark, "retention-checkpoint")
+    for year in range(1995, 2002):
+        staging.append(years.where(F.col("year") == year).drop("year"), str(year), AS_OF)
+        publish_available(spark, staging, store, checkpoint, AS_OF, NOW)
+    staged = staging.load().groupBy(F.year("day").alias("year")).agg(F.sum("value").alias("value"))
+    stored = store.load().values.groupBy(F.year("day").alias("year")).agg(F.sum("value").alias("value"))
+    return stored.withColumn("place", F.lit("stored")).unionByName(staged.withColumn("place", F.lit("staged")))
+
+
+@query
+def appended_without_time(spark, sf):
+    """Rows without a time column, staged under the day of the run."""
+    _, staging = _places(spark, "untimed")
+    staging.append(table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), "1", date(1999, 9, 9), "timestamp")
+    return staging.load().drop("run")
+
+
+@query
+def estimates_as_json(spark, sf):
+    """The summary of estimates that lies beside a stored version, read from its JSON."""
+    store = _store(spark, _imputed_visits(spark, sf), "summary")
+    path = f"{store.versions.path(store.versions.latest())}/imputation_metadata"
+    group = (
+        "dataset string, imputed_column string, num_imputed_rows bigint, num_observed_rows bigint, "
+        "first_imputed_date string, last_imputed_date string, imputed_dates array<string>"
+    )
+    schema = f"generated_at string, timestamp_column string, total_rows bigint, total_imputed_rows bigint, groups array<struct<{group.replace(' ', ':').replace(',:', ', ')}>>"
+    read = spark.read.text(path).select(F.from_json("value", schema).alias("s")).select("s.*")
+    dates = F.array_join("imputed_dates", ",").alias("imputed_dates")
+    return read.select("*", F.inline("groups")).drop("groups").select("*", dates.alias("dates")).drop("imputed_dates")
+
+
+@query
+def year_slices_of_source(spark, sf):
+    """Rows of the slices that a range of days is read in."""
+    lines = table(spark, sf, "lineitem")
+    slices = readers.year_slices(date(1995, 6, 15), date(1999, 2, 1))
+    out = None
+    for year, first, end in slices:
+        rows = readers.scan_range(lines, "l_shipdate", first, end, ["l_shipdate"])
+        day = day_of(rows, "l_shipdate")
+        one = rows.agg(F.lit(year).alias("year"), F.count("*").alias("num_rows"), F.min(day).alias("first_day"), F.max(day).alias("last_day"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _spelled_dates(spark, sf):
+    """Order dates in four spellings, some of them broken, blank or absent."""
+    day = F.col("o_orderdate")
+    spellings = ["yyyy-MM-dd", "dd/MM/yyyy", "dd.MM.yyyy HH:mm", "yyyyMMdd"]
+    pick = [F.date_format(day, f) for f in spellings] + [F.lit("31/02/1997"), F.lit(" "), F.lit(None).cast("string")]
+    text = F.element_at(F.array(*pick), (F.col("o_orderkey") % 7 + 1).cast("int"))
+    return table(spark, sf, "orders").select("o_orderkey", text.alias("seen"))
+
+
+DATE_FORMATS = ("dd/MM/yyyy", "dd.MM.yyyy HH:mm", "yyyyMMdd")
+
+
+@query
+def dates_in_several_formats(spark, sf):
+    return with_read_days(_spelled_dates(spark, sf), "seen", DATE_FORMATS).where("seen IS NOT NULL")
+
+
+@query
+def rejected_dates(spark, sf):
+    """Rows whose date cannot be read, with the reason."""
+    return prepare.rejected_dates(_spelled_dates(spark, sf), "seen", DATE_FORMATS).fillna("none", ["seen"])
+
+
+@query
+def column_contract(spark, sf):
+    """Required columns of a table, of which two are missing."""
+    wanted = ["O_ORDERKEY", "o_orderdate", "o_place", "O_Clerk_Code"]
+    orders = table(spark, sf, "orders")
+    report = prepare.missing_columns(orders, wanted, "orders").fillna("none", ["stored_as"])
+    return report.withColumn("num_rows", orders.agg(F.count("*")).scalar())
+
+
 # --- reports -------------------------------------------------------------------------
 
 

@@ -96,9 +96,9 @@ def lookup(spark: SparkSession, sf: str) -> DataFrame:
     nations, regions = table(spark, sf, "nation"), table(spark, sf, "region")
     joined = nations.join(regions, nations.n_regionkey == regions.r_regionkey)
     raw = joined.select(
-        F.col("n_nationkey").cast("string").alias("Codi UP"), F.lower("r_name").alias("RS")
+        F.col("n_nationkey").cast("string").alias("Codi UP"), F.lower("r_name").alias("RS"), "n_nationkey"
     )
-    return facility_lookup(raw)
+    return facility_lookup(raw, order="n_nationkey")
 
 
 def chosen_regions(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,7 +108,7 @@ def chosen_regions(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("rs-"), "r_regionkey", F.lit(" ")).alias("geo_id"),
         F.lower("r_name").alias("RS"),
     )
-    return region_selection(raw)
+    return region_selection(raw, "geo_id")
 
 
 def chosen_facilities(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,7 +119,7 @@ def chosen_facilities(spark: SparkSession, sf: str) -> DataFrame:
         F.col("n_nationkey").cast("string").alias("UP"),
         F.col("n_name").alias("name"),
     )
-    return facility_selection(raw)
+    return facility_selection(raw, "name")
 
 
 # Code groups; one code may be in several.

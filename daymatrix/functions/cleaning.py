@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,11 +52,35 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(text(c), F.lit(""))
 
 
-def to_day(c: Column | str, data_type: T.DataType | None = None) -> Column:
-    """Calendar day of a date, timestamp or text; unreadable text becomes null."""
-    if isinstance(data_type, T.StringType) or data_type is None:
-        return F.to_date(_col(c).cast("string").try_cast("timestamp_ntz"))
-    return F.to_date(_col(c))
+# Parts of a date format, and what stands for them in ISO.
+_DATE_PARTS = {"yyyy": r"(\d{4})", "MM": r"(\d{1,2})", "dd": r"(\d{1,2})", "HH": r"(\d{1,2})", "mm": r"(\d{1,2})", "ss": r"(\d{1,2})"}
+
+
+def _iso_rule(date_format: str) -> tuple[str, str]:
+    """Pattern of a format like ``dd/MM/yyyy HH:mm``, and the ISO text made of its parts."""
+    parts = re.split("(" + "|".join(_DATE_PARTS) + ")", date_format)
+    order = [p for p in parts if p in _DATE_PARTS]
+    if sorted(order) != sorted(set(order)) or not {"yyyy", "MM", "dd"} <= set(order):
+        raise ValueError(f"a date format names yyyy, MM and dd once each, not {date_format!r}")
+    pattern = "".join(_DATE_PARTS.get(p) or re.escape(p) for p in parts)
+    group = {p: f"${order.index(p) + 1}" for p in order}
+    clock = ":".join(group.get(p, "00") for p in ("HH", "mm", "ss"))
+    return rf"^\s*{pattern}\s*$", f"{group['yyyy']}-{group['MM']}-{group['dd']} {clock}"
+
+
+def to_day(c: Column | str, data_type: T.DataType | None = None, formats: Sequence[str] = ()) -> Column:
+    """Calendar day of a date, timestamp or text; unreadable text becomes null.
+
+    Text is read as ISO first and then by the given formats, in order: ``yyyy``, ``MM``,
+    ``dd``, ``HH``, ``mm``, ``ss`` and what stands between them.
+    """
+    if not isinstance(data_type, T.StringType) and data_type is not None:
+        return F.to_date(_col(c))
+    raw = _col(c).cast("string")
+    readings = [raw.try_cast("timestamp_ntz")]
+    for pattern, iso in map(_iso_rule, formats):
+        readings.append(F.when(raw.rlike(pattern), F.regexp_replace(raw, pattern, iso).try_cast("timestamp_ntz")))
+    return F.to_date(F.coalesce(*readings))
 
 
 def number(c: Column | str) -> Column:

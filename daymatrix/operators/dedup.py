@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,13 +23,18 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def stored_order(df: DataFrame) -> Column:
     """The order in which rows are stored: file, part of the file, row.
 
-    ``df`` must be a scan, filtered or projected at most.  Frames that come from no
-    file have the order of their rows.
+    ``df`` must be a scan or rows made from local data, filtered or projected at most.
+    Other frames have no order of their own: which row comes last would depend on the
+    plan, so they are refused.
     """
+    plan = df._jdf.queryExecution().analyzed()
     row = F.monotonically_increasing_id()
-    try:
-        df.select("_metadata.file_name")
-    except AnalysisException:
-        return F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("part"), row.alias("row"))
-    meta = F.col("_metadata")
-    return F.struct(meta["file_name"].alias("file"), meta["file_block_start"].alias("part"), row.alias("row"))
+    metadata = plan.metadataOutput()
+    if any(metadata.apply(i).name() == "_metadata" for i in range(metadata.size())):
+        meta = F.col("_metadata")
+        return F.struct(meta["file_name"].alias("file"), meta["file_block_start"].alias("part"), row.alias("row"))
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    if plan.nodeName() not in ("LocalRelation", "LogicalRDD"):
+        raise ValueError("rows of a derived frame have no order: name a column that gives it")
+    return F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("part"), row.alias("row"))

@@ -24,7 +24,7 @@ from daymatrix.model import (
     observed_days,
 )
 from daymatrix.operators.calendar import missing_days
-from daymatrix.session import materialize
+from daymatrix.session import held
 
 
 MONTH_DAY = "md"
@@ -84,7 +84,7 @@ def impute(
     still has to be counted.
     """
     target = min(target_until or as_of, as_of)
-    days = materialize(matrix.days, "days")
+    days = held(matrix.days, "days")
     real = DailyMatrix(matrix.values, days)
     is_real = ~F.coalesce(F.col(IS_IMPUTED), F.lit(False))
     first, last, num_real, num_all = days.agg(
@@ -104,7 +104,7 @@ def impute(
         return real
 
     observed = real.days.select(DAY)
-    gaps = materialize(_gaps(observed, first, target), "gaps")
+    gaps = held(_gaps(observed, first, target), "gaps")
 
     # A value row counts once for every missing day it is history of (at most one
     # per later year) and once, under a null day, for the overall mean.
@@ -161,12 +161,12 @@ def estimates_from_sums(
     first, last, num_days = observed.agg(F.min(DAY), F.max(DAY), F.count("*")).first()
     if first is None:
         return DailyMatrix.empty(observed.sparkSession)
-    gaps = materialize(_gaps(observed, first, target), "gaps").withColumn(MONTH_DAY, month_day(DAY))
+    gaps = held(_gaps(observed, first, target), "gaps").withColumn(MONTH_DAY, month_day(DAY))
     known = gaps.where(F.size("past") > 0).select(DAY, MONTH_DAY)
     totals = sums.join(broadcast_days(known), MONTH_DAY).select(DAY, FEATURE, VALUE)
     after = observed.select(F.col(DAY).alias("later"), month_day(DAY).alias(MONTH_DAY))
     later = known.join(broadcast_days(after), MONTH_DAY).where(F.col("later") > F.col(DAY)).select("later", DAY)
-    later = materialize(later, "later")
+    later = held(later, "later")
     years = later.agg(F.collect_set(F.year("later"))).first()[0]
     if years:
         values = values_of(years).withColumnRenamed(DAY, "later").join(broadcast_days(later), "later")

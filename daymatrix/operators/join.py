@@ -13,7 +13,7 @@ from daymatrix.model import DAY, FEATURE, DailyMatrix, broadcast_days
 from daymatrix.operators.dedup import keep_last, stored_order
 from daymatrix.operators.fill import apply_weights, fill_weights
 from daymatrix.operators.prepare import drop_future_rows
-from daymatrix.session import materialize
+from daymatrix.session import held
 
 
 def join_matrices(
@@ -31,13 +31,13 @@ def join_matrices(
     ``ffill`` and ``bfill``; a line cannot be drawn through them.
     """
     prefixes = prefixes or domains
-    left, right = (DailyMatrix(m.values, materialize(m.days, "days")) for m in (left, right))
+    left, right = (DailyMatrix(m.values, held(m.days, "days")) for m in (left, right))
     if left.days.isEmpty() or right.days.isEmpty():
         raise ValueError("both matrices need at least one day")
-    all_days = left.days.select(DAY).union(right.days.select(DAY)).distinct()
+    all_days = held(left.days.select(DAY).union(right.days.select(DAY)).distinct(), "all-days")
     values, joined_days = [], all_days
     for side, domain, prefix in zip((left, right), domains, prefixes):
-        weights = fill_weights(all_days, side.days.select(DAY), fill)
+        weights = held(fill_weights(all_days, side.days.select(DAY), fill), "weights")
         filled = apply_weights(side.values, weights, fill)
         values.append(filled.withColumn(FEATURE, join_name(domain, prefix)))
         source = weights.where(F.col("source") == F.col(DAY)) if fill == "interpolate" else weights

@@ -45,8 +45,8 @@ def feature_list(
     names = [row[0] for row in distinct.limit(max_features + 1).collect()]
     if len(names) > max_features:
         raise ValueError(
-            f"Refusing to build more than {max_features:,} {context}. Usually the code "
-            "selection was not loaded or the code column is not normalised."
+            f"A wide table of more than {max_features:,} {context} was asked for; check that "
+            "codes are grouped by a selection, or raise the limit."
         )
     return sorted(names)
 
@@ -58,9 +58,11 @@ def to_wide(values: DataFrame, features: list[str] | None = None) -> DataFrame:
     return wide.fillna(0, subset=features) if features else wide
 
 
-def matrix_to_wide(matrix: DailyMatrix, features: list[str] | None = None) -> DataFrame:
+def matrix_to_wide(
+    matrix: DailyMatrix, max_features: int = MAX_FEATURES, features: list[str] | None = None
+) -> DataFrame:
     """Wide values plus the control columns of each day, also for empty days."""
-    features = feature_list(matrix.values) if features is None else features
+    features = feature_list(matrix.values, max_features) if features is None else features
     wide = to_wide(matrix.values, features)
     joined = matrix.days.join(wide, DAY, "left")
     filled = joined.fillna(0, subset=features) if features else joined

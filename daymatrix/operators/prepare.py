@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -20,13 +21,36 @@ def require_columns(df: DataFrame, required: list[str], table: str = "input") ->
     missing = [c for c in required if c.upper() not in present]
     if missing:
         raise ValueError(
-            f"Missing columns in {table}: {missing}. Available columns: {sorted(df.columns)}"
+            f"{table} lacks {', '.join(missing)}; Available are {', '.join(sorted(df.columns))}"
         )
 
 
-def day_of(df: DataFrame, column: str) -> Column:
+def missing_columns(df: DataFrame, required: list[str], table: str = "input") -> DataFrame:
+    """The column contract as a report: ``(table_name, column_name, stored_as, present)``,
+    one row per required column; names compare without case."""
+    stored = {c.upper(): c for c in df.columns}
+    rows = [(table, c, stored.get(c.upper()), c.upper() in stored) for c in required]
+    schema = "table_name string, column_name string, stored_as string, present boolean"
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def day_of(df: DataFrame, column: str, formats: Sequence[str] = ()) -> Column:
     """Calendar day of a column, whatever it is stored as."""
-    return C.to_day(F.col(column), df.schema[column].dataType)
+    return C.to_day(F.col(column), df.schema[column].dataType, formats)
+
+
+def with_read_days(df: DataFrame, column: str, formats: Sequence[str]) -> DataFrame:
+    """A text column of dates in several formats read as days, null where unreadable."""
+    return df.withColumn(column, day_of(df, column, formats))
+
+
+def rejected_dates(df: DataFrame, column: str, formats: Sequence[str] = ()) -> DataFrame:
+    """The rows whose date cannot be read, all columns as they are, and ``reason``: a
+    ``missing``, ``blank`` or ``unreadable`` date."""
+    text = F.col(column).cast("string")
+    reason = F.when(text.isNull(), F.lit("missing")).when(C.blank_to_null(column).isNull(), F.lit("blank"))
+    rows = df.where(day_of(df, column, formats).isNull())
+    return rows.withColumn("reason", reason.otherwise(F.lit("unreadable")))
 
 
 def with_day(df: DataFrame, column: str) -> DataFrame:
@@ -60,7 +84,7 @@ def facility_lookup(
     """Clean facility to region table ``(up, rs)``, one row per facility.
 
     Of several rows for one facility the last in ``order`` wins; without ``order``
-    the rows count in file order.
+    the rows count as they are stored, so the frame must be a scan or local rows.
     """
     cleaned = lookup.select(
         C.facility(code).alias("up"),

@@ -31,7 +31,8 @@ def geo_selection(
 
     The source column is found by name, else it is the second; the alias column
     is found by name, else it is the first.  Of several rows for one source the
-    last in ``order`` wins; without ``order`` the rows count in file order.
+    last in ``order`` wins; without ``order`` the rows count as they are stored, so the
+    frame must be a scan or local rows.
     """
     columns = [c for c in selection.columns if c != order]
     source = _named(selection, _SOURCE_NAMES) or columns[min(1, len(columns) - 1)]

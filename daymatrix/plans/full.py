@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from daymatrix.functions.naming import DEMAND
-from daymatrix.model import DAY, DailyMatrix
+from daymatrix.model import DAY, FEATURE, VALUE, DailyMatrix, observed_days
 from daymatrix.operators.join import join_matrices
-from daymatrix.operators.matrix import from_wide, matrix_to_wide
+from daymatrix.operators.matrix import MAX_FEATURES, from_wide, matrix_to_wide
 from daymatrix.plans.incremental import (
     CODED_COLUMNS,
     CODED_DATE,
@@ -32,6 +34,16 @@ def _scan(source, date_column, columns, as_of, start, end) -> DataFrame:
     )
 
 
+def stored_days(values: DataFrame, name: str) -> DailyMatrix:
+    """Values written once, and the list of their days as seen while they are written:
+    at most one entry per calendar day."""
+    seen = Observation()
+    stored = materialize(values.observe(seen, F.collect_set(DAY).alias("days")), name)
+    days = pa.array(sorted(seen.get["days"]), pa.date32())
+    local = values.sparkSession.createDataFrame(pa.table({DAY: days}))
+    return DailyMatrix(stored.select(DAY, FEATURE, F.col(VALUE).cast("double").alias(VALUE)), observed_days(local))
+
+
 def full_visits(
     visits: DataFrame,
     lookup: DataFrame,
@@ -43,7 +55,7 @@ def full_visits(
     """Matrix of all visits up to ``as_of``, optionally of an inclusive range."""
     rows = _scan(visits, VISIT_DATE, VISIT_COLUMNS, as_of, start, end)
     features = visits_to_features(rows, lookup, selections.usable())
-    return DailyMatrix.observed(materialize(features, "visits"))
+    return stored_days(features, "visits")
 
 
 def full_coded(
@@ -57,7 +69,7 @@ def full_coded(
     """Matrix of all coded rows up to ``as_of``, optionally of an inclusive range."""
     rows = _scan(coded, CODED_DATE, CODED_COLUMNS, as_of, start, end)
     features = coded_to_features(rows, lookup, selections.usable())
-    return DailyMatrix.observed(materialize(features, "coded"))
+    return stored_days(features, "coded")
 
 
 def join_stores(
@@ -74,9 +86,12 @@ def join_stores(
         return joined.publish(matrix, as_of, generated_at)
 
 
-def export_wide(matrix: DailyMatrix, path: str, codec: str = CODEC) -> None:
-    """Write the wide form, one row per day in day order, as a Parquet folder."""
-    matrix_to_wide(matrix).orderBy(DAY).write.option("compression", codec).parquet(path)
+def export_wide(
+    matrix: DailyMatrix, path: str, codec: str = CODEC, max_features: int = MAX_FEATURES
+) -> None:
+    """Write the wide form, one row per day in day order, as a Parquet folder.  More than
+    ``max_features`` columns are refused."""
+    matrix_to_wide(matrix, max_features).orderBy(DAY).write.option("compression", codec).parquet(path)
 
 
 def import_wide(

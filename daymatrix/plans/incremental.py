@@ -8,6 +8,7 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymatrix.model import (
     DAY,
@@ -25,11 +26,13 @@ from daymatrix.operators.prepare import (
     clean_visits,
     date_range,
     day_code_counts,
+    rejected_dates,
     require_columns,
+    with_read_days,
 )
 from daymatrix.operators.selection import non_empty
 from daymatrix.plans.windows import Window, latest, processing_window, resume_day
-from daymatrix.session import is_small, materialize, scratch
+from daymatrix.session import held, is_small, materialize, scratch
 from daymatrix.sources.readers import date_bounds, scan_range
 from daymatrix.sources.store import MatrixStore, StagingArea, cursor_of
 
@@ -65,7 +68,7 @@ def staged_matrix(
         fresh = staging.load(news, with_range)
         if fresh is None:
             return None
-        touched = materialize(fresh.select(DAY).distinct(), "touched")
+        touched = held(fresh.select(DAY).distinct(), "touched")
     rows = staging.load(runs, with_range if touched is None else None, touched)
     if rows is None:
         return None
@@ -78,7 +81,7 @@ def staged_matrix(
 
 def latest_run_per_day(rows: DataFrame) -> DailyMatrix:
     """Matrix of staged rows with their ``run``: of every day the latest run."""
-    last_run = materialize(rows.groupBy(DAY).agg(F.max("run").alias("run")), "days")
+    last_run = held(rows.groupBy(DAY).agg(F.max("run").alias("run")), "days")
     rows = rows.join(broadcast_days(last_run), [DAY, "run"], "left_semi")
     summed = rows.groupBy(DAY, FEATURE).agg(F.sum(VALUE).cast("double").alias(VALUE))
     return DailyMatrix(summed.select(DAY, FEATURE, VALUE), observed_days(last_run))
@@ -108,7 +111,7 @@ def publish(
         new = staged_matrix(staging, runs, with_range, news)
         if new is None:
             return None
-        new = DailyMatrix(materialize(new.values, "new"), materialize(new.days, "new-days"))
+        new = DailyMatrix(materialize(new.values, "new"), held(new.days, "new-days"))
         version = _publish_changes(store, new, as_of, created_at, impute_until)
         if version is None:
             return None
@@ -133,7 +136,7 @@ def _publish_changes(
     until = F.col(DAY) <= F.lit(as_of)
     new, stored = new.select_days(until), store.observed_days()
     kept = stored.where(until).join(broadcast_days(new.days), DAY, "left_anti")
-    days = materialize(kept.unionByName(new.days), "observed")
+    days = held(kept.unionByName(new.days), "observed")
     last = days.agg(F.max(DAY)).first()[0]
     if last is None:
         return None
@@ -191,6 +194,10 @@ class Run:
     end: date | None = None
     min_valid: date = FIRST_VALID_DAY
     name: str = field(default="")
+    #: Formats of dates that are text, tried after ISO, and a folder for the rows of every
+    #: run whose date cannot be read; without one they are dropped.
+    date_formats: tuple[str, ...] = ()
+    rejected: str | None = None
 
     @property
     def run_name(self) -> str:
@@ -216,6 +223,11 @@ def run_increment(
     are staged, so publishing never goes back to the source.
     """
     require_columns(source, [date_column, *columns])
+    if run.rejected:
+        bad = rejected_dates(source.select(date_column, *columns), date_column, run.date_formats)
+        bad.write.mode("overwrite").parquet(f"{run.rejected.rstrip('/')}/run={run.run_name}")
+    if isinstance(source.schema[date_column].dataType, T.StringType):
+        source = with_read_days(source, date_column, run.date_formats)
     contiguous = last_contiguous_day(run.store.days()).first()[0]
     cursor = run.staging.cursor
     last = resume_day(cursor.exists(), cursor.last_day(), contiguous)

@@ -108,6 +108,18 @@ def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def held(df: DataFrame, name: str = "held", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """A small table, such as a list of days, computed once.
+
+    Up to ``max_rows`` rows it becomes a local table, which costs later plans no job; a
+    larger one is written to the shared folder instead.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
+        return materialize(df, name)
+    return df.sparkSession.createDataFrame(rows, df.schema)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 

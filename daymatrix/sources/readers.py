@@ -137,7 +137,7 @@ def rows_between(
     shown = [date_column, *[c for c in columns if c != date_column]]
     missing = [c for c in shown if c not in df.columns]
     if missing:
-        raise ValueError(f"Column(s) not found: {', '.join(missing)}")
+        raise ValueError(f"no such column: {', '.join(missing)}")
     return rows.select(*[f"`{c}`" for c in shown])
 
 
