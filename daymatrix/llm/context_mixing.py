@@ -419,7 +419,7 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     (log10 probability of the text) and bits_per_byte.
 
     ``training`` is a condition on doc_id.  Null texts are empty: one token, the end.
-    Rows that repeat both id and text are learnt from each and reported once; other
+    Rows that repeat both id and text are learnt from each and reported each; other
     columns are ignored.  Tokens are told apart by a 64-bit hash.
     """
     spark = docs.sparkSession
@@ -483,6 +483,8 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
         *[F.sum(x).alias(x) for x in ("n", "n_tokens", "n_known", "base", "n_bytes", "score")]
     )
     whole_number = lambda x: (F.col(x) / F.col("n")).cast("bigint").alias(x)
+    # Rows that repeat id and text were summed as one; each is reported.
+    summed = summed.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
     return summed.select(
         "doc_id", whole_number("n_tokens"), whole_number("n_known"), F.lit(int(total.n)).cast("bigint").alias("train_tokens"),
         (F.col("base") / F.col("n")).alias("base_score"), (F.col("score") / F.col("n")).alias("score"),

@@ -13,6 +13,11 @@ below the bound are dropped without loss, and the rest is verified by an alignme
 limited to the band.  The result equals that of a full alignment of every segment with
 every document.
 
+Segments of one item overlap, so its q-grams are listed once by their places in the item
+and counted in bands of item and diagonal first.  Such a band is wide enough to hold any
+band of a segment; where not even the smallest bound is met, no segment can meet its own.
+Only q-grams of the bands that are left are counted for each segment.
+
 The documents are only mapped, never shuffled.  The benchmark travels in blocks of at
 most ``BLOCK_CHARS`` characters, one after the other, so neither a task nor the driver
 ever holds more than one block.  Long texts are searched in overlapping windows.
@@ -21,7 +26,7 @@ ever holds more than one block.  Long texts are searched in overlapping windows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,6 +45,7 @@ EDIT_SHARE = 0.1  # edits allowed per character of a segment
 BLOCK_CHARS = 2_000_000
 WINDOW = 1 << 17  # characters of a document searched at once
 MASK_BITS = 22
+ALIGNED = 1024  # segments aligned at once
 
 LEAKS = "array<struct<item_id:bigint,start:bigint,end:bigint,edits:int>>"
 
@@ -109,19 +115,53 @@ def _null_last(item: int | None) -> tuple[bool, int]:
     return item is None, item or 0
 
 
+class _Parts:
+    """Parts of texts (text, place in it, codes), laid out in one array ``apart`` codes
+    from each other."""
+
+    def __init__(self, parts: list[tuple[int, int, np.ndarray]], apart: int):
+        self.parts, self.apart = parts, apart
+        self.size = np.array([len(codes) for _, _, codes in parts])
+        self.start = np.cumsum(self.size + apart) - self.size
+        self.codes = np.zeros(int(self.start[-1] + self.size[-1]) + apart, dtype=np.uint32)
+        for at, (_, _, codes) in zip(self.start, parts):
+            self.codes[at : at + len(codes)] = codes
+
+    def note(self, found: list[set], item: int, start: int, end: int, edits: int) -> None:
+        """Add a leak, given by its places in the array, to those of its text."""
+        n = int(np.searchsorted(self.start - self.apart // 2, (start + end) // 2, "right")) - 1
+        text, begin, _ = self.parts[n]
+        first, last = max(start - int(self.start[n]), 0), min(end - int(self.start[n]), int(self.size[n]))
+        if last > first:
+            found[text].add((item, begin + first, begin + last, edits))
+
+
+@dataclass(frozen=True)
+class _Candidates:
+    """Segments that wait to be aligned, each with the text it may lie in."""
+
+    parts: _Parts
+    segment: np.ndarray
+    begin: np.ndarray
+    text: np.ndarray
+
+
 class Index:
     """The q-grams of one benchmark block."""
 
     def __init__(self, items: list[tuple[int | None, str]], share: float = EDIT_SHARE):
-        segments, owners, offsets = [], [], []
+        segments, owners, grams, inside = [], [], [np.zeros(0, dtype=np.uint64)], []
+        first = 0  # number of an item's first q-gram
         for item, text in items:
             codes, _ = normalise(text)
             if not len(codes):
                 continue
+            grams.append(_hashes(codes))
             for size, begin in _cuts(len(codes)):
                 segments.append(codes[begin : begin + size])
                 owners.append(item)
-                offsets.append(begin)
+                inside.append(first + begin)
+            first += len(grams[-1])
         self.segments = segments
         #: Distinct ids, null last, and the place of each segment's id among them.
         self.ids = sorted(set(owners), key=_null_last)
@@ -134,42 +174,105 @@ class Index:
         #: Shorter than one q-gram: such items are looked up as whole strings.
         self.short = [i for i, s in enumerate(segments) if len(s) < Q]
         self.step = int(self.budget.max(initial=0)) + 1
-        grams = [_hashes(s) for s in segments]
-        values = np.concatenate([*grams, np.zeros(0, dtype=np.uint64)])
+        #: More than any band of a segment extends in a text.
+        self.reach = SEGMENT + 4 * self.step + 2 * int(self.budget.max(initial=0)) + 2
+        self.least = int(self.bound[self.length >= Q].min(initial=np.iinfo(np.int64).max))
+        values = np.concatenate(grams)
         order = np.argsort(values, kind="stable")
-        self.values = values[order]
-        self.segment = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
-        self.place = np.concatenate([*(np.arange(len(g)) for g in grams), np.zeros(0, dtype=np.int64)])[order]
+        #: Distinct q-grams, where each begins in the list of all, and how often it is there.
+        self.values, self.begin, self.many = np.unique(values[order], return_index=True, return_counts=True)
+        self.gram = order
+        size = [len(g) for g in grams]
+        self.text = np.repeat(np.arange(len(grams)), size)
+        self.place = np.concatenate([np.arange(n) for n in size])
+        # The segments that each q-gram lies in.
+        held = np.maximum(self.length - Q + 1, 0)
+        number = np.repeat(np.arange(len(segments)), held)
+        at = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held) + np.repeat(np.array(inside, dtype=np.int64), held)
+        by_gram = np.argsort(at, kind="stable")
+        self.covering = number[by_gram]
+        self.covering_place = (at - np.array([*inside, 0], dtype=np.int64)[number])[by_gram]
+        self.covered = np.searchsorted(at[by_gram], np.arange(len(values) + 1))
         self.mask = np.zeros(1 << MASK_BITS, dtype=bool)
         self.mask[self.values >> np.uint64(64 - MASK_BITS)] = True
 
     def find(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """(item, start, end, edits) of the leaks in ``text``, ends exclusive."""
-        if not text or not self.segments:
-            return []
-        codes, at = normalise(text)
-        reach = SEGMENT + 4 * self.step + 2 * int(self.budget.max()) + 2
-        found: set[tuple[int, int, int, int]] = set()
-        for begin in range(0, max(1, len(codes)), WINDOW):
-            part = codes[begin : begin + WINDOW + reach]
-            for item, start, end, edits in self._window(part):
-                found.add((item, begin + start, begin + end, edits))
-        return [(self.ids[i], int(at[s]), int(at[e - 1]) + 1, k) for i, s, e, k in _merged(found)]
-
-    def _window(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
-        out = [x for s in self.short for x in self._exact(codes, s)]
+        return self.find_all([text])[0]
+
+    def find_all(self, texts: Iterable[str | None]) -> list[list[tuple[int | None, int, int, int]]]:
+        """The leaks of several texts.  Short ones are searched together, far enough apart
+        that no band reaches from one into another."""
+        found: list[set[tuple[int, int, int, int]]] = []
+        places: list[np.ndarray] = []
+        parts: list[tuple[int, int, np.ndarray]] = []
+        todo: dict[int, list[_Candidates]] = {}
+        waiting = 0
+        for text in texts:
+            found.append(set())
+            places.append(np.zeros(0, dtype=np.int64))
+            if not text or not self.segments:
+                continue
+            codes, places[-1] = normalise(text)
+            for begin in range(0, max(1, len(codes)), WINDOW):
+                parts.append((len(found) - 1, begin, codes[begin : begin + WINDOW + self.reach]))
+                waiting += len(parts[-1][2]) + self.reach
+                if waiting >= WINDOW:
+                    self._search(_Parts(parts, self.reach), todo, found)
+                    parts, waiting = [], 0
+        if parts:
+            self._search(_Parts(parts, self.reach), todo, found)
+        for m, some in todo.items():
+            self._align(some, m, found)
+        return [
+            [(self.ids[i], int(at[s]), int(at[e - 1]) + 1, k) for i, s, e, k in _merged(some)] for some, at in zip(found, places)
+        ]
+
+    def _search(self, parts: _Parts, todo: dict[int, list[_Candidates]], found: list[set]) -> None:
+        """Note the verbatim leaks of some parts, and align candidates when there are many
+        of a length; others wait in ``todo``."""
+        sure, candidates = self._window(parts.codes)
+        for item, start, end in sure:
+            parts.note(found, item, start, end, 0)
+        if candidates is None:
+            return
+        segment, band = candidates
+        for m in np.unique(self.length[segment]).tolist():
+            rows = np.flatnonzero(self.length[segment] == m)
+            most = int(self.budget[segment[rows]].max())
+            begin = band[rows] * self.step - most
+            view = begin[:, None] + np.arange(2 * self.step + 2 * most + 1 + m)
+            inside = (view >= 0) & (view < len(parts.codes))
+            text = np.where(inside, parts.codes[np.clip(view, 0, len(parts.codes) - 1)], 0)
+            waiting = todo.setdefault(m, [])
+            waiting.append(_Candidates(parts, segment[rows], begin, text))
+            if sum(len(c.segment) for c in waiting) >= ALIGNED:
+                self._align(waiting, m, found)
+                todo[m] = []
+
+    def _window(self, codes: np.ndarray) -> tuple[list[tuple[int, int, int]], tuple[np.ndarray, np.ndarray] | None]:
+        """(item, start, end) of verbatim segments, and the segments and bands to align."""
+        sure = [x for s in self.short for x in self._exact(codes, s)]
         h = _hashes(codes)
         hits = np.flatnonzero(self.mask[h >> np.uint64(64 - MASK_BITS)])
         if not len(hits):
-            return out
-        left = np.searchsorted(self.values, h[hits], "left")
-        many = np.searchsorted(self.values, h[hits], "right") - left
-        hits, left, many = hits[many > 0], left[many > 0], many[many > 0]
+            return sure, None
+        found = np.searchsorted(self.values, h[hits])
+        found[found == len(self.values)] = 0
+        same = self.values[found] == h[hits]
+        hits, found = hits[same], found[same]
         if not len(hits):
-            return out
-        spots = np.repeat(left - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        segment = self.segment[spots]
-        diagonal = np.repeat(hits, many) - self.place[spots]
+            return sure, None
+        hits, gram = _listed(hits, self.begin[found], self.many[found])
+        gram = self.gram[gram]
+        kept = self._dense(self.text[gram], hits - self.place[gram])
+        hits, gram = hits[kept], gram[kept]
+        if not len(hits):
+            return sure, None
+        begin = self.covered[gram]
+        hits, entry = _listed(hits, begin, self.covered[gram + 1] - begin)
+        segment = self.covering[entry]
+        diagonal = hits - self.covering_place[entry]
         band = diagonal // self.step
         # Bands are two steps wide and start at every step.
         low = int(band.min()) - 1
@@ -177,11 +280,39 @@ class Index:
         key = np.concatenate([segment * wide + band - low, segment * wide + band - 1 - low])
         key, count = np.unique(key, return_counts=True)
         key = key[count >= self.bound[key // wide]]
-        if len(key):
-            out += self._verify(codes, key // wide, key % wide + low)
-        return out
-
-    def _exact(self, codes: np.ndarray, s: int) -> list[tuple[int, int, int, int]]:
+        if not len(key):
+            return sure, None
+        # A diagonal that shares every q-gram of a segment holds it verbatim.
+        first = int(diagonal.min())
+        span = int(diagonal.max()) - first + 1
+        line, count = np.unique(segment * span + diagonal - first, return_counts=True)
+        line = line[count == self.length[line // span] - Q + 1]
+        if len(line):
+            s, d = line // span, line % span + first
+            sure += [(int(self.item[i]), int(x), int(x) + int(self.length[i])) for i, x in zip(s, d)]
+            done = s * wide + d // self.step - low
+            key = np.setdiff1d(key, np.concatenate([done, done - 1]), assume_unique=False)
+        return sure, (key // wide, key % wide + low) if len(key) else None
+
+    def _dense(self, text: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+        """Which shared q-grams lie in a band, three steps wide, of an item that holds as
+        many as the smallest bound of a segment.  A segment's band is two steps wide and
+        need not start at a step of its item."""
+        step = diagonal // self.step
+        low = int(step.min())
+        wide = int(step.max()) - low + 4
+        key, where, count = np.unique(text * wide + step - low, return_inverse=True, return_counts=True)
+        # Sums of three neighbours, from each band that is not empty: among sorted keys the
+        # next two steps are the next two entries, if they are there.
+        end = np.searchsorted(key, key + 3)
+        totals = np.concatenate([[0], np.cumsum(count)])
+        dense = np.flatnonzero(totals[end] - totals[:-1] >= self.least)
+        kept = np.zeros(len(key) + 1, dtype=np.int64)
+        np.add.at(kept, dense, 1)
+        np.add.at(kept, end[dense], -1)
+        return np.cumsum(kept)[where] > 0
+
+    def _exact(self, codes: np.ndarray, s: int) -> list[tuple[int, int, int]]:
         """Whole-word occurrences of an item shorter than a q-gram."""
         m = len(self.segments[s])
         if len(codes) < m:
@@ -189,44 +320,50 @@ class Index:
         same = (np.lib.stride_tricks.sliding_window_view(codes, m) == self.segments[s]).all(axis=1)
         padded = np.concatenate([[32], codes, [32]])
         starts = np.flatnonzero(same)
-        starts = starts[(padded[starts] == 32) & (padded[starts + m + 1] == 32)]
-        return [(int(self.item[s]), int(x), int(x) + m, 0) for x in starts]
-
-    def _verify(self, codes: np.ndarray, segment: np.ndarray, band: np.ndarray) -> list[tuple[int, int, int, int]]:
-        out = []
-        kinds = self.length[segment]
-        for m in np.unique(kinds):
-            rows = np.flatnonzero(kinds == m)
-            for some in np.array_split(rows, max(1, len(rows) // 2048 + 1)):
-                if len(some):
-                    out += self._align(codes, segment[some], band[some], int(m))
-        return out
-
-    def _align(self, codes: np.ndarray, segment: np.ndarray, band: np.ndarray, m: int) -> list[tuple[int, int, int, int]]:
+        edge = (padded == 32) | (padded == 0)
+        starts = starts[edge[starts] & edge[starts + m + 1]]
+        return [(int(self.item[s]), int(x), int(x) + m) for x in starts]
+
+    def _align(self, todo: list[_Candidates], m: int, found: list[set]) -> None:
         """Alignments of segments of length m within their bands.  A cell holds the
-        cost in the high and the start in the low half, so minima keep both."""
-        k = self.budget[segment]
-        most = int(k.max())
-        width = 2 * self.step + 2 * most + 1
-        begin = band * self.step - most
-        view = begin[:, None] + np.arange(width + m)[None, :]
-        inside = (view >= 0) & (view < len(codes))
-        text = np.where(inside, codes[np.clip(view, 0, len(codes) - 1)], 0)
-        pattern = np.stack([self.segments[s] for s in segment])
-        one = 1 << 32
-        slope = np.arange(width, dtype=np.int64) * one
-        cost = np.tile(np.arange(width, dtype=np.int64), (len(segment), 1))
-        for i in range(m):
-            step = cost + one * (pattern[:, i, None] != text[:, i : i + width])
-            step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + one)
-            cost = np.minimum.accumulate(step - slope, axis=1) + slope
-        best = cost.argmin(axis=1)
-        value = cost[np.arange(len(segment)), best]
-        edits, first = value >> 32, value & (one - 1)
-        good = edits <= k
-        start, end = np.maximum(begin + first, 0), np.minimum(begin + m + best, len(codes))
-        rows = np.flatnonzero(good & (end > start))
-        return [(int(self.item[segment[r]]), int(start[r]), int(end[r]), int(edits[r])) for r in rows]
+        cost in the high and the start in the low bits, so minima keep both."""
+        if not todo:
+            return
+        segments, views = (np.concatenate([getattr(c, name) for c in todo]) for name in ("segment", "text"))
+        begins = np.concatenate([c.begin for c in todo])
+        owners = np.repeat(np.arange(len(todo)), [len(c.segment) for c in todo])
+        width = views.shape[1] - m
+        low_bits = width.bit_length()
+        kind = np.int16 if (m + width + 2) << low_bits < 1 << 15 else np.int64
+        one = kind(1 << low_bits)
+        slope = np.arange(width, dtype=kind) * one
+        for at in range(0, len(segments), ALIGNED):
+            segment, text = segments[at : at + ALIGNED], views[at : at + ALIGNED]
+            pattern = np.stack([self.segments[s] for s in segment])
+            cost = np.tile(np.arange(width, dtype=kind), (len(segment), 1))
+            for i in range(m):
+                step = (pattern[:, i, None] != text[:, i : i + width]).astype(kind)
+                step *= one
+                step += cost
+                cost += one
+                np.minimum(step[:, :-1], cost[:, 1:], out=step[:, :-1])
+                step -= slope
+                np.minimum.accumulate(step, axis=1, out=step)
+                step += slope
+                cost = step
+            best = cost.argmin(axis=1)
+            value = cost[np.arange(len(segment)), best].astype(np.int64)
+            edits, first = value >> low_bits, value & ((1 << low_bits) - 1)
+            for r in np.flatnonzero(edits <= self.budget[segment]):
+                begin = int(begins[at + r])
+                parts = todo[owners[at + r]].parts
+                parts.note(found, int(self.item[segment[r]]), begin + int(first[r]), begin + m + int(best[r]), int(edits[r]))
+
+
+def _listed(owner: np.ndarray, begin: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every entry of the ranges that start at ``begin``, beside its owner."""
+    spots = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())
+    return np.repeat(owner, many), spots
 
 
 def _merged(found: set[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -256,13 +393,9 @@ class Block:
         @pandas_udf(LEAKS)
         def find(texts: pd.Series) -> pd.Series:
             index = _index(block)
-            return pd.Series(
-                [
-                    [{"item_id": i, "start": s, "end": e, "edits": k} for i, s, e, k in index.find(t)]
-                    for t in texts
-                ],
-                dtype=object,
-            )
+            leaks = index.find_all(texts)
+            rows = [[{"item_id": i, "start": s, "end": e, "edits": k} for i, s, e, k in some] for some in leaks]
+            return pd.Series(rows, dtype=object)
 
         return find(text)
 

@@ -87,18 +87,20 @@ def templates(spark: SparkSession, phrases: dict[str, str] = PHRASES, texts: lis
 
 
 def spans(docs: DataFrame, known: DataFrame) -> DataFrame:
-    """Verified spans and one row without label per document: doc_id, copy, n_words,
+    """Verified spans and one row without label per document: doc_id, copy, n_words, rows,
     label, exact, first (word the span starts with) and similarity.
 
-    ``copy`` tells texts apart that share a doc_id.
+    ``copy`` tells texts apart that share a doc_id; ``rows``, in the row without label, is
+    how many rows repeat both.
     """
     cut = docs.select("doc_id", F.xxhash64("text").alias("copy"), words(F.col("text")).alias("w"))
-    pair = cut.select(
-        "doc_id", "copy", "w", F.size("w").alias("n_words"), F.posexplode_outer(pairs(F.col("w"))).alias("pos", "pair")
-    )
+    # The first entry stands for the row itself and matches nothing.
+    every = F.concat(F.array(F.lit(None).cast("bigint")), pairs(F.col("w")))
+    pair = cut.select("doc_id", "copy", "w", F.size("w").alias("n_words"), F.posexplode(every).alias("pos", "pair"))
+    pair = pair.withColumn("pos", F.col("pos") - 1)
     hits = (
         pair.join(F.broadcast(known), "pair", "left")
-        .where("template IS NOT NULL OR pos IS NULL OR pos = 0")
+        .where("template IS NOT NULL OR pos < 0")
         .select(
             "doc_id", "copy", "n_words", "template", "label", "exact", "body", "m", "at",
             (F.col("pos") - F.col("at")).alias("diagonal"),
@@ -109,7 +111,7 @@ def spans(docs: DataFrame, known: DataFrame) -> DataFrame:
         )
     )
     voted = hits.groupBy("doc_id", "copy", "n_words", "template", "label", "exact", "body", "m", "diagonal").agg(
-        F.collect_set("at").alias("at"), F.min("span").alias("span")
+        F.collect_set("at").alias("at"), F.min("span").alias("span"), F.count("*").alias("rows")
     )
     place = Window.partitionBy("doc_id", "copy", "template").orderBy("diagonal")
     new = F.col("exact") | (F.col("diagonal") - F.lag("diagonal").over(place) > NEAR)
@@ -121,6 +123,7 @@ def spans(docs: DataFrame, known: DataFrame) -> DataFrame:
             F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("votes"),
             F.max_by("diagonal", F.size("at")).alias("first"),
             F.max_by("span", F.size("at")).alias("span"),
+            F.sum("rows").alias("rows"),
         )
     )
     # The span has a few words to spare behind the template; they do not count.
@@ -132,7 +135,7 @@ def spans(docs: DataFrame, known: DataFrame) -> DataFrame:
         & (similarity >= 1 - MAX_DISTANCE)
     )
     return merged.select(
-        "doc_id", "copy", "n_words",
+        "doc_id", "copy", "n_words", F.when(F.col("template").isNull(), F.col("rows")).alias("rows"),
         *[F.when(good, F.col(c)).alias(c) for c in ("label", "exact", "first")],
         F.when(good, similarity).alias("similarity"),
     )
@@ -142,8 +145,9 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels and score (best similarity, 0 without any).
 
-    Null and empty texts have no words.  Rows that repeat both id and text are reported
-    once; different texts under one id each have a row.  Other columns are ignored.
+    Null and empty texts have no words.  Rows that repeat id or text are reported each; an
+    empty table gives no rows.  Of spans equally similar all labels count, and of phrases
+    the smallest and the largest place.  Other columns are ignored.
     """
     known = templates(docs.sparkSession) if known is None else known
     base = F.col("exact")
@@ -162,6 +166,8 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
             names(F.when(base, F.col("label"))).alias("base_labels"),
             names(F.col("label")).alias("labels"),
             F.coalesce(F.max("similarity"), F.lit(0.0)).alias("score"),
+            F.max("rows").alias("rows"),
         )
-        .drop("copy")
+        .withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
+        .drop("copy", "rows", "nth")
     )

@@ -6,10 +6,6 @@ lines that remain hold too little of its text, or when the whole text already fa
 one of the document rules.  No expression leaves the row, so nothing is shuffled.
 
 A null text counts as a text without words.
-
-The query's line rules (``line_passes``) are those of its SQL.  Documents are kept by
-``line_is_text``, which also takes lines for text that those rules remove although they
-are: scripts with combining marks, quotations, prose that mentions a boilerplate phrase.
 """
 
 from __future__ import annotations
@@ -115,24 +111,13 @@ def n_repeat_words(found: Column, window: int = WINDOW) -> Column:
     return F.when(F.size(found) < window, F.lit(0).cast("long")).otherwise(count(found))
 
 
-def line_passes(line: Column) -> Column:
+def line_is_text(line: Column) -> Column:
     """Whether a line survives the punctuation, navigation and boilerplate rules.
-    Lines without a word pass; they hold no text."""
-    low = F.lower(line)
-    chars = F.length(F.regexp_replace(line, SPACE, ""))
-    marks = F.length(F.regexp_replace(line, r"[\p{L}\p{N}\x20\x09-\x0D]+", ""))
-    bars = F.length(F.regexp_replace(line, r"[^|»›•]+", ""))
-    return ~(
-        (marks * 100 > chars * MAX_PUNCTUATION_PERCENT)
-        | (bars >= MAX_BARS)
-        | low.rlike(rf"^[\x20\x09-\x0D]*({MENU})[\x20\x09-\x0D]*$")
-        | low.rlike(BOILERPLATE)
-    )
-
 
-def line_is_text(line: Column) -> Column:
-    """As ``line_passes``, but combining marks are letters, bars and boilerplate phrases
-    are weighed against the length of the line, and guillemets that pair up are quotes."""
+    Combining marks are letters, bars and boilerplate phrases are weighed against the
+    length of the line, and guillemets that pair up are quotes.  Lines without a word
+    pass; they hold no text.
+    """
     low = F.lower(line)
     n_words = F.size(F.split(F.regexp_replace(line, r"[|»›«‹•]+", " "), r"[\p{L}\p{M}\p{N}][^\x20\x09-\x0D]*")) - 1
     chars = F.length(F.regexp_replace(line, SPACE, ""))
@@ -183,7 +168,7 @@ def rules(text: Column, passes: Callable[[Column], Column] = line_is_text) -> Co
 def apply_rules(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, the numbers above, base_failed and kept.
     Repeated documents are reported each; other columns are ignored."""
-    found = docs.select("doc_id", rules(F.col("text"), line_passes).alias("r"))
+    found = docs.select("doc_id", rules(F.col("text")).alias("r"))
     return found.select("doc_id", "r.n.*", "r.base_failed", "r.kept")
 
 
@@ -213,19 +198,27 @@ WITH cut AS (
 ), repeats AS (
   SELECT r, sum(least({WINDOW}, coalesce(nxt - i, {WINDOW}))) AS n FROM twice GROUP BY r
 ), lines AS (
-  SELECT r, k, line,
+  SELECT r, k, line, lower(line) AS low,
     length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
-    length(regexp_replace(line, '[\p{{L}}\p{{N}}\x20\x09-\x0D]+', '', 'g')) AS marks,
-    length(regexp_replace(line, '[^|\x{{00BB}}\x{{203A}}\x{{2022}}]+', '', 'g')) AS bars,
+    length(regexp_replace(line, '[\p{{L}}\p{{M}}\p{{N}}\x20\x09-\x0D]+', '', 'g')) AS marks,
+    length(regexp_replace(line, '[^|\x{{2022}}]+', '', 'g'))
+      + greatest(length(regexp_replace(line, '[^\x{{00BB}}]+', '', 'g')) - length(regexp_replace(line, '[^\x{{00AB}}]+', '', 'g')), 0)
+      + greatest(length(regexp_replace(line, '[^\x{{203A}}]+', '', 'g')) - length(regexp_replace(line, '[^\x{{2039}}]+', '', 'g')), 0) AS bars,
+    len(regexp_extract_all(regexp_replace(line, '[|\x{{00BB}}\x{{203A}}\x{{00AB}}\x{{2039}}\x{{2022}}]+', ' ', 'g'),
+      '[\p{{L}}\p{{M}}\p{{N}}][^\x20\x09-\x0D]*')) AS n_words,
     row_number() OVER (PARTITION BY r, line ORDER BY k) AS nth
   FROM (SELECT r, unnest(lines) AS line, unnest(range(len(lines))) AS k FROM cut)
+), weighed AS (
+  SELECT *, length(low) - length(regexp_replace(low, '{BOILERPLATE}', '', 'g')) AS phrases FROM lines
 ), kept AS (
   SELECT r,
-    sum(CASE WHEN marks * 100 > chars * {MAX_PUNCTUATION_PERCENT} OR bars >= {MAX_BARS}
-      OR regexp_matches(lower(line), '^[\x20\x09-\x0D]*({MENU})[\x20\x09-\x0D]*$')
-      OR regexp_matches(lower(line), '{BOILERPLATE}') THEN 0 ELSE chars END) AS kept_chars,
+    sum(CASE WHEN marks * 100 > chars * {MAX_PUNCTUATION_PERCENT}
+      OR bars >= {MAX_BARS} AND bars * 100 >= n_words * {MIN_BARS_PERCENT}
+      OR regexp_matches(low, '^[\x20\x09-\x0D]*({MENU})[\x20\x09-\x0D]*$')
+      OR phrases > 0 AND (n_words <= {MAX_BOILERPLATE_WORDS} OR phrases * 100 >= length(low) * {MAX_BOILERPLATE_PERCENT})
+      THEN 0 ELSE chars END) AS kept_chars,
     sum(CASE WHEN chars > 0 AND nth > 1 THEN 1 ELSE 0 END) AS n_dup_lines
-  FROM lines GROUP BY r
+  FROM weighed GROUP BY r
 ), numbers AS (
   SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
     CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,

@@ -10,10 +10,12 @@ loss against packing everything together is one sequence in thousands.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,51 +32,74 @@ CACHE_WORDS = 1_000_000  # some 250 MB a worker
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+#: Parts of Latin letters, digits and ASCII marks, which such a tokenizer takes apart into
+#: runs of letters, runs of marks and single digits; an apostrophe may join letters.
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~]+")
+_RUNS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+_TOGETHER = 512  # runs encoded at once
+
+
 class WordTokenizer:
     """Token ids of texts as little-endian unsigned 32-bit integers.
 
     For tokenizers that treat white space as a mere separator, a text's ids are those
     of its space-separated parts one after the other; parts repeat, so most are looked
-    up.  A part of Latin letters with full stops or commas behind it is further split
-    into the lower-cased letters and the marks, which such a tokenizer never joins.
+    up.  A new part of plain characters is the sequence of its lower-cased runs, which
+    repeat more often still; new runs are encoded many at a time, as one text.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.parts: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        #: Texts with an id of their own, which are not taken apart.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.whole = [token.content.lower() for token in added]
+
+    def _cut(self, text: str) -> list[str] | str:
+        low = text.lower()
+        plain = _PLAIN.fullmatch(text) and not any(token in low for token in self.whole)
+        return _RUNS.findall(low) if plain else text
 
     def _encode(self, part: str) -> bytes:
         ids = self.tokenizer.encode(part, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
-
-    def _core(self, part: str) -> bytes:
-        if part not in self.cores:
-            if len(self.cores) >= CACHE_WORDS:
-                self.cores.clear()
-            self.cores[part] = self._encode(part)
-        return self.cores[part]
-
-    def _part(self, part: bytes) -> bytes:
-        text = part.decode("utf-8", "replace")
-        core = text.rstrip(".,")
-        # Below U+0130 lower-casing maps one letter to one letter.
-        if core.isalpha() and max(core) < "İ":
-            ids = self._core(core.lower())
-            return ids + self._core(text[len(core) :]) if len(core) < len(text) else ids
-        return self._encode(text)
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def _learn_runs(self, new: list[str]) -> None:
+        for i in range(0, len(new), _TOGETHER):
+            some = new[i : i + _TOGETHER]
+            encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            owner, ids = np.array(encoded.word_ids), np.array(encoded.ids, dtype="<u4")
+            if len(owner) and owner[-1] == len(some) - 1:
+                ends = np.searchsorted(owner, np.arange(len(some) + 1))
+                self.runs.update((run, ids[a:b].tobytes()) for run, a, b in zip(some, ends, ends[1:]))
+            else:  # not one word each after all
+                self.runs.update((run, self._encode(run)) for run in some)
+
+    def _learn(self, new: set[bytes]) -> None:
+        if len(self.parts) > CACHE_WORDS:
+            self.parts.clear()
+        if len(self.runs) > CACHE_WORDS:
+            self.runs.clear()
+        cut = {part: self._cut(part.decode("utf-8", "replace")) for part in new}
+        runs = {run for made in cut.values() if isinstance(made, list) for run in made}
+        self._learn_runs(sorted(runs.difference(self.runs)))
+        for part, made in cut.items():
+            known = self.runs
+            self.parts[part] = b"".join(map(known.__getitem__, made)) if isinstance(made, list) else self._encode(made)
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
         split = text.encode("utf-8", "replace").split()
-        cached = self.parts
-        if len(cached) > CACHE_WORDS:
-            cached.clear()
-        for part in split:
-            if part not in cached:
-                cached[part] = self._part(part)
-        return b"".join(map(cached.__getitem__, split))
+        try:
+            return b"".join(map(self.parts.__getitem__, split))
+        except KeyError:
+            self._learn(set(split).difference(self.parts))
+        if all(part in self.parts for part in split):
+            return b"".join(map(self.parts.__getitem__, split))
+        self._learn(set(split))  # what was known has been forgotten meanwhile
+        return b"".join(map(self.parts.__getitem__, split))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -169,24 +194,14 @@ def _best_pair(stock: _Stock, room: int, beat: int) -> tuple[int, int] | None:
     return found
 
 
-def _numbered(found: DataFrame) -> DataFrame:
-    """The pieces with a number ``nth`` from 0 that tells equal rows apart.  They are
-    counted, partly where they are read, and made again from the count, in steps."""
-    step, top = F.lit(1 << 12).cast("bigint"), F.col("times") - 1
-    counted = found.groupBy(found.columns).agg(F.count("*").alias("times"))
-    parts = counted.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(top / step))))
-    numbers = F.sequence(F.col("part") * step, F.least(top, F.col("part") * step + step - 1))
-    return parts.select(*found.columns, F.explode(numbers).alias("nth"))
-
-
 def pack(
     found: DataFrame, n_groups: int, max_tokens: int = MAX_TOKENS, method: Callable[[Counter, int], list[list[int]]] = best_two_fit
 ) -> DataFrame:
     """The pieces with sequence_id and offset.
 
-    Which of several pieces of equal length goes first follows from their ids, so a
-    repeated task gives the same sequences.  Equal pieces are numbered and dealt by their
-    number too, so that any number of them spreads over the groups.
+    ``found`` is a written table: pieces are dealt by their places in it, which a repeated
+    task finds the same, so any number of equal pieces spreads over the groups.  Which of
+    several pieces of equal length goes first follows from their ids.
     """
 
     def place(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -202,9 +217,7 @@ def pack(
         rows["sequence_id"], rows["offset"] = sequence, offset
         return rows.drop(columns="group")
 
-    # The first has no number; a null leaves the hash as it is.
-    nth = F.when(F.col("nth") > 0, F.col("nth"))
-    dealt = _numbered(found).withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", nth), F.lit(n_groups))).drop("nth")
+    dealt = found.withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_groups)))
     return dealt.groupBy("group").applyInPandas(place, PIECES + ", sequence_id bigint, offset bigint")
 
 

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from daymatrix.llm.components import components
-from daymatrix.llm.text import words
-from daymatrix.session import materialize
+from daymatrix.llm.text import fresh, words
+from daymatrix.session import is_small, materialize
 
 SHINGLE = 3
 SEED = 42
@@ -140,8 +140,28 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, width: int = SHIN
 
 
 def first_of_groups(docs: DataFrame, max_bits: int = MAX_BITS, width: int = SHINGLE) -> DataFrame:
-    """The documents without those that are near-duplicates of one with a smaller id,
-    columns unchanged.  Rows of one id are one document: they stay or go together.
-    Documents without an id are kept."""
-    gone = near_duplicates(docs, max_bits, width).where("doc_id <> component_id")
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """One row of every group of near-duplicates, columns unchanged: the one with the
+    smallest id, rows without an id last.
+
+    Rows are told apart even if they repeat an id or have none; of equal ids the first
+    stored row stays.  Texts without words, null ones included, are one group.  An empty
+    table stays empty.
+    """
+    columns = docs.columns
+    row, fp = fresh(docs, "row"), fresh(docs, "fp")
+    held = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(fp, fingerprint_column(F.col("text"), width))
+    held = materialize(held, "prints")
+    rows = held.select(F.col(row).alias("row"), F.col("doc_id").alias("id"), F.col(fp).alias("fp"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("first")
+    classes = materialize(rows.groupBy("fp").agg(first, F.count("*").alias("n")), "classes")
+    roots = components(links(classes.select("fp"), max_bits), "a", "b")
+    linked = classes.join(roots, classes.fp == roots.node, "left").where("root IS NOT NULL OR n > 1")
+    linked = linked.select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    best = linked.groupBy("root").agg(F.min("first").alias("best"))
+    kept = linked.join(best, "root").select(
+        "fp", F.col("best.row").alias("kept"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    )
+    salted = rows.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
+    gone = materialize(salted.join(kept, ["fp", "salt"]).where("row <> kept").select(F.col("row").alias(row)), "gone")
+    gone = F.broadcast(gone) if is_small(gone) else gone
+    return held.join(gone, row, "left_anti").select(columns)

@@ -133,7 +133,8 @@ def test_licenses(documents):
     ]
     rows = license_scan.scan(documents(list(enumerate(texts)) + [(3, texts[3]), (99, texts[3])])).collect()
     by_id = {r.doc_id: r for r in rows}
-    assert len(rows) == len(texts) + 1  # the repeated row once
+    assert len(rows) == len(texts) + 2  # the repeated row twice
+    assert sum(r.doc_id == 3 for r in rows) == 2
     for i, text in enumerate(texts):
         low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
         words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)

@@ -84,7 +84,11 @@ def test_near_duplicates(documents):
     docs = documents(rows)
     kept = simhash_anchor.first_of_groups(docs)
     assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} == {None, *(c for _, _, c in expected)}
+    order = lambda r: (r[0] is None, r[0] or 0)
+    groups = {}
+    for row, root in zip(rows, roots):
+        groups.setdefault(root, []).append(row[0])
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(min(ids, key=lambda i: order([i])) for ids in groups.values())
     assert simhash_anchor.near_duplicates(documents([]).limit(0)).count() == 0
 
 
@@ -218,3 +222,17 @@ def test_pipeline_stages(spark):
     assert docs.count() > 0
     whole = corpus_pipeline.run(spark, FOLDER)
     assert whole.select("doc_id").distinct().count() == docs.count()
+
+
+def test_one_row_stays_of_repeated_null_and_clashing_ids(documents):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, a), (None, b), (None, b), (2, c), (3, c), (3, "quite another text of its own here"), (5, None), (4, " ")]
+    kept = simhash_anchor.first_of_groups(documents(rows)).collect()
+    expected = [(1, a), (None, b), (2, c), (3, rows[6][1]), (4, " ")]
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted((i or 0, t) for i, t in expected)
+    assert simhash_anchor.first_of_groups(documents([]).limit(0)).count() == 0
+
+
+def test_a_large_group_of_copies_costs_its_rows(documents):
+    rows = [(i, "the same words again and again") for i in range(5_000)] + [(9_000, "others")]
+    assert {r.doc_id for r in simhash_anchor.first_of_groups(documents(rows)).collect()} == {0, 9_000}
