@@ -12,36 +12,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymatrix.llm import decontam, line_rules, near_copies, packing, queries
+from daymatrix.llm import decontam, line_rules, packing, queries, simhash_anchor
 from daymatrix.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score at least the limit; the model learns from the stage's input."""
+    """Documents that score at least the limit; the model learns from the stage's input.
+    Null and empty texts have a score like others; equal texts have equal scores."""
     model = queries.quality_model(docs, queries.table(spark, sf_dir, "labels"))
     return docs.where(model.score_column(F.col("text")) >= queries.QUALITY_LIMIT)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules, their texts unchanged."""
+    """Documents that pass the rules, their texts unchanged.  Null and empty texts have too
+    few words; repeated rows are judged each."""
     return line_rules.kept_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the document with the smallest id.  Unlike
-    ``op4``'s links, those of five words at similarity 0.8 join edited copies."""
-    return near_copies.first_of_groups(docs)
+    """Of every group of near-duplicates the row with the smallest id; links, shingles and
+    bits are those of the operator's query."""
+    return simhash_anchor.first_of_groups(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no part of a benchmark item."""
+    """Documents that hold no part of a benchmark item; those without text hold none."""
     return decontam.without_leaks(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents and their places in sequences."""
+    """The pieces of the documents and their places in sequences; repeated rows are packed
+    each, null texts as empty ones."""
     queries.ship(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
