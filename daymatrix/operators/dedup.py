@@ -23,7 +23,7 @@ def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def stored_order(df: DataFrame) -> Column:
     """The order in which rows are stored: file, part of the file, row.
 
-    ``df`` must be a scan or rows made from local data, filtered or projected at most.
+    ``df`` must be a scan or rows made from local data, filtered, projected or coalesced at most.
     Other frames have no order of their own: which row comes last would depend on the
     plan, so they are refused.
     """
@@ -33,7 +33,7 @@ def stored_order(df: DataFrame) -> Column:
     if any(metadata.apply(i).name() == "_metadata" for i in range(metadata.size())):
         meta = F.col("_metadata")
         return F.struct(meta["file_name"].alias("file"), meta["file_block_start"].alias("part"), row.alias("row"))
-    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias") or plan.nodeName() == "Repartition" and not plan.shuffle():
         plan = plan.children().head()
     if plan.nodeName() not in ("LocalRelation", "LogicalRDD"):
         raise ValueError("rows of a derived frame have no order: name a column that gives it")
