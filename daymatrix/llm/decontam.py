@@ -201,8 +201,19 @@ class Index:
         return self.find_all([text])[0]
 
     def find_all(self, texts: Iterable[str | None]) -> list[list[tuple[int | None, int, int, int]]]:
-        """The leaks of several texts.  Short ones are searched together, far enough apart
-        that no band reaches from one into another."""
+        """The leaks of several texts, of which a few windows are held at a time.  Short
+        ones are searched together, far enough apart that no band reaches from one into
+        another."""
+        out, some, size = [], [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text or "")
+            if size >= 4 * WINDOW:
+                out += self._together(some)
+                some, size = [], 0
+        return out + self._together(some)
+
+    def _together(self, texts: list[str | None]) -> list[list[tuple[int | None, int, int, int]]]:
         found: list[set[tuple[int, int, int, int]]] = []
         places: list[np.ndarray] = []
         parts: list[tuple[int, int, np.ndarray]] = []
