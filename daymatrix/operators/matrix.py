@@ -45,8 +45,8 @@ def feature_list(
     names = [row[0] for row in distinct.limit(max_features + 1).collect()]
     if len(names) > max_features:
         raise ValueError(
-            f"A wide table of more than {max_features:,} {context} was asked for; check that "
-            "codes are grouped by a selection, or raise the limit."
+            f"Refusing a wide table of more than {max_features:,} {context}: check that codes "
+            "are grouped by a selection, or raise the limit."
         )
     return sorted(names)
 
@@ -59,7 +59,7 @@ def to_wide(values: DataFrame, features: list[str] | None = None) -> DataFrame:
 
 
 def matrix_to_wide(
-    matrix: DailyMatrix, max_features: int = MAX_FEATURES, features: list[str] | None = None
+    matrix: DailyMatrix, features: list[str] | None = None, max_features: int = MAX_FEATURES
 ) -> DataFrame:
     """Wide values plus the control columns of each day, also for empty days."""
     features = feature_list(matrix.values, max_features) if features is None else features

@@ -21,7 +21,7 @@ def require_columns(df: DataFrame, required: list[str], table: str = "input") ->
     missing = [c for c in required if c.upper() not in present]
     if missing:
         raise ValueError(
-            f"{table} lacks {', '.join(missing)}; Available are {', '.join(sorted(df.columns))}"
+            f"Missing columns: {table} lacks {', '.join(missing)}. Available: {', '.join(sorted(df.columns))}"
         )
 
 

@@ -91,7 +91,7 @@ def export_wide(
 ) -> None:
     """Write the wide form, one row per day in day order, as a Parquet folder.  More than
     ``max_features`` columns are refused."""
-    matrix_to_wide(matrix, max_features).orderBy(DAY).write.option("compression", codec).parquet(path)
+    matrix_to_wide(matrix, max_features=max_features).orderBy(DAY).write.option("compression", codec).parquet(path)
 
 
 def import_wide(
