@@ -1,31 +1,36 @@
 """Language-model scores by logistic context mixing over bits.
 
 A text is a sequence of bytes and one end.  Every byte is a path of yes/no decisions
-in a code tree made from the corpus' byte counts.  For each decision, predictors of
-orders 1 to 5 look up how often either way was taken after the last 1 to 5 bytes, in
-tables addressed by a hash of context and tree node.  Their log odds are added with
-weights picked by two gates (how many orders know the context and how deep the
-decision is; the last byte), and a table that maps the mixed odds to what really
-happened refines the result.
-
-What the predictors know comes from all training texts: Spark sums the counts of all
-windows of six bytes.  As a prediction depends on such a window only, everything after
-that works on the distinct windows with their counts, not on positions: the context
-tables are summed from them, and the mixing weights follow gradient steps, each window
-being predicted without its own occurrence, so that the weights are those of an online
-predictor that has not seen it yet.  The tables have a fixed size whatever the corpus.
-
-Scoring maps over all whole texts and computes each distinct window of a block once.
-
-The unigram base score is exact: the counts of the ``COMMON`` most frequent tokens are
-looked up where the text is read, those of all others by a join on the token's hash.
+in a code tree made from the corpus' byte counts.  For each decision, predictors look up
+how often either way was taken after the same context: the last 1 to 5 bytes, and the
+current word so far, addressed by hash.  Their log odds are added with weights picked by
+gates (how many predictors know the context and how deep the decision is; the place in
+the word; the last byte), and a table that maps the mixed odds to what really happened
+refines the result.
+
+What the predictors know comes from all training texts and grows with them.  A *window*
+is a byte, the five before it, and the hash of the word so far where that is longer; a
+prediction depends on its window only.  Spark counts all windows into a written table.
+They are dealt by the three bytes before the symbol, so that all windows of a context of
+three or more bytes lie in one group and its counts are exact; counts of one and two bytes
+have at most 2^26 entries and are sent to every task.
+
+The weights follow online gradient steps through every group in a defined order, a
+window being predicted without its own occurrence, as by a predictor that has not seen it
+yet; groups start from the same weights and are averaged by what they saw.  Groups and
+order follow from the windows alone, so scores do not depend on partitions.
+
+A window's probability is computed once for the whole corpus.  Texts look up the
+``COMMON_WINDOWS`` most frequent windows where they are read and all others by a join with
+the written table.  The unigram base score is exact, in the same way: the counts of the
+``COMMON`` most frequent tokens are looked up in place, those of all others by a join.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -39,20 +44,47 @@ from daymatrix.session import materialize
 
 END = 256
 ORDERS = 5
+NEAR = 2  # orders whose counts every task has
+PREDICTORS = ORDERS + 1  # and the word
 SYMBOL_BITS = 9
-SLOT_BITS = 19
-SLOTS = 1 << SLOT_BITS
+SYMBOL = (1 << SYMBOL_BITS) - 1
+NODE_BITS = 8
+LONGEST = 24  # bytes of a word so far that tell contexts apart
 BLOCK = 1 << 20  # symbols handled at once
-KEPT = 1 << 21  # windows a worker keeps the result of
-PART = 1 << 13  # slots of a table sent in one row
+GROUP = 250_000  # windows dealt to one group, on average
+STEP = 4096  # windows of one gradient step
 DEPTHS = 8
-GATES = (ORDERS + 1) * DEPTHS
+KNOWN_GATES = (PREDICTORS + 1) * DEPTHS
+PLACE_GATES = (ORDERS + 1) * (PREDICTORS + 1)
 LEVELS = 33  # of the refining table
 HALF = 0.4  # added to both counts of a context
 RATE = 0.05
+EPOCHS = 2
+SUMS = 64  # rows that reach the driver of what the groups learnt
 COMMON = 50_000
+COMMON_WINDOWS = 1 << 21
 NO_TOKEN = b""  # the end; no word is empty
 
+_FACTOR = 0x9E3779B97F4A7C15
+_SPACES = np.isin(np.arange(END + 1), [9, 10, 11, 12, 13, 32, END])
+_FOLDED = np.where((np.arange(END + 1) >= 65) & (np.arange(END + 1) <= 90), np.arange(END + 1) + 32, np.arange(END + 1))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Numbers spread over 64 bits, one to one."""
+    x = x.astype(np.uint64)
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _powers(base: int, many: int) -> np.ndarray:
+    out = np.full(many, base, dtype=np.uint64)
+    out[0] = 1
+    with np.errstate(over="ignore"):
+        return np.cumprod(out, dtype=np.uint64)
+
 
 @dataclass(frozen=True)
 class Tree:
@@ -87,138 +119,182 @@ def code_tree(counts: np.ndarray) -> Tree:
     return Tree(np.cumsum(length) - length, length, np.array([x[0] for x in flat]), np.array([x[1] for x in flat]))
 
 
-def blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Window numbers of successive texts, in blocks, and the text of each window.
+class Reader:
+    """Cuts texts into windows."""
 
-    A window is a symbol (lowest bits) and the five before it; before a text there are
-    ends.  Long texts are cut into blocks without losing a window.
-    """
-    parts, owners, size = [], [], 0
-    for i, text in enumerate(texts):
-        raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
-        whole = np.concatenate([np.full(ORDERS, END, dtype=np.int64), raw, [END]])
-        for at in range(0, len(raw) + 1, BLOCK):
-            part = whole[at : at + BLOCK + ORDERS]
-            parts.append(_windows(part))
-            owners.append(np.full(len(part) - ORDERS, i, dtype=np.int32))
-            size += len(part)
-            if size >= BLOCK:
-                yield np.concatenate(parts), np.concatenate(owners)
-                parts, owners, size = [], [], 0
-    if parts:
-        yield np.concatenate(parts), np.concatenate(owners)
-
-
-def _windows(symbols: np.ndarray) -> np.ndarray:
-    out = symbols[ORDERS:].copy()
-    for j in range(1, ORDERS + 1):
-        out |= symbols[ORDERS - j : len(symbols) - j] << (SYMBOL_BITS * j)
-    return out
+    def __init__(self) -> None:
+        self.power = _powers(_FACTOR, BLOCK + LONGEST)
+        self.inverse = _powers(pow(_FACTOR, -1, 1 << 64), BLOCK + LONGEST)
+        self.letter = _mixed(np.arange(1, END + 2))[_FOLDED]
+
+    def blocks(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Windows of successive texts, in blocks: number, word, and whose text it is.
+
+        The number holds a symbol (lowest bits) and the five before it; before a text
+        there are ends.  The word is 0 where it lies within the five.  Long texts are
+        cut into blocks without losing a window.
+        """
+        parts, owners, size = [], [], 0
+        for i, text in enumerate(texts):
+            raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+            whole = np.concatenate([np.full(LONGEST, END, dtype=np.int64), raw, [END]])
+            for at in range(0, len(raw) + 1, BLOCK - LONGEST):
+                part = whole[at : at + BLOCK]
+                parts.append(part)
+                owners.append(i)
+                size += len(part)
+                if size >= BLOCK:
+                    yield self._cut(parts, owners)
+                    parts, owners, size = [], [], 0
+        if parts:
+            yield self._cut(parts, owners)
+
+    def _cut(self, parts: list[np.ndarray], owners: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        numbers, found, many = [], [], []
+        for at in range(0, len(parts), 256):  # short parts together
+            some = parts[at : at + 256]
+            joined = np.concatenate(some)
+            starts = np.cumsum([0, *(len(p) for p in some)])
+            inside = np.ones(len(joined), dtype=bool)
+            for start in starts[:-1]:
+                inside[start : start + LONGEST] = False
+            for a in range(0, max(len(joined) - LONGEST, 1), BLOCK):
+                piece = joined[a : a + BLOCK + LONGEST]
+                keep = inside[a + LONGEST : a + BLOCK + LONGEST]
+                n, w = self._windows(piece)
+                numbers.append(n[keep])
+                found.append(w[keep])
+            many += [len(p) - LONGEST for p in some]
+        return np.concatenate(numbers), np.concatenate(found), np.repeat(np.array(owners, dtype=np.int32), many)
+
+    def _windows(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows of all symbols but the first ``LONGEST``."""
+        many = len(symbols) - LONGEST
+        out = symbols[LONGEST:].copy()
+        for j in range(1, ORDERS + 1):
+            out |= symbols[LONGEST - j : len(symbols) - j] << (SYMBOL_BITS * j)
+        at = np.arange(LONGEST, len(symbols))
+        space = np.maximum.accumulate(np.where(_SPACES[symbols[:-1]], np.arange(len(symbols) - 1), 0))[LONGEST - 1 :]
+        start = np.maximum(space, at - LONGEST)
+        word = np.zeros(many, dtype=np.int64)
+        long = np.flatnonzero(at - start > ORDERS)
+        with np.errstate(over="ignore"):
+            so_far = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(self.letter[symbols[:-1]] * self.power[: len(symbols) - 1], dtype=np.uint64)])
+            a, b = start[long], at[long]
+            h = (so_far[b] - so_far[a]) * self.inverse[a] + (b - a).astype(np.uint64)
+        word[long] = (_mixed(h) >> np.uint64(1)).astype(np.int64) | 1
+        return out, word
+
+
+def window_key(windows: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One number for a window and its word; the window itself without one."""
+    return np.where(word == 0, windows, windows ^ _mixed(word.astype(np.uint64)).astype(np.int64))
 
 
 @dataclass(frozen=True)
 class Events:
-    """The decisions of some windows: window, node's depth, bit, last byte, slots."""
+    """The decisions of some windows: window, node, its depth, bit, last byte, place."""
 
     row: np.ndarray
+    node: np.ndarray
     depth: np.ndarray
     bit: np.ndarray
     last: np.ndarray
-    slots: np.ndarray
+    place: np.ndarray
 
 
 def events(windows: np.ndarray, tree: Tree) -> Events:
-    symbol = windows & (1 << SYMBOL_BITS) - 1
+    symbol = windows & SYMBOL
     many = tree.length[symbol]
     row = np.repeat(np.arange(len(windows)), many)
     depth = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
     at = tree.start[symbol][row] + depth
-    node = tree.node[at].astype(np.uint64)
-    slots = np.empty((ORDERS, len(row)), dtype=np.int64)
-    with np.errstate(over="ignore"):
-        for k in range(1, ORDERS + 1):
-            context = (windows >> SYMBOL_BITS & (1 << SYMBOL_BITS * k) - 1).astype(np.uint64)
-            mixed = (context + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
-            mixed ^= mixed >> np.uint64(29)
-            h = (mixed[row] + node * np.uint64(0xBF58476D1CE4E5B9)) * np.uint64(0x94D049BB133111EB)
-            slots[k - 1] = h >> np.uint64(64 - SLOT_BITS)
-    last = (windows >> SYMBOL_BITS & (1 << SYMBOL_BITS) - 1)[row]
-    return Events(row, np.minimum(depth, DEPTHS - 1), tree.bit[at], last, slots)
+    place = np.full(len(windows), ORDERS)
+    for k in range(ORDERS, 0, -1):
+        place[_SPACES[np.minimum(windows >> SYMBOL_BITS * k & SYMBOL, END)]] = k - 1
+    last = (windows >> SYMBOL_BITS & SYMBOL)[row]
+    return Events(row, tree.node[at], np.minimum(depth, DEPTHS - 1), tree.bit[at], last, place[row])
 
 
-class Kept:
-    """What a task has computed already: windows, in order, and their log2."""
+def _spots(windows: np.ndarray, e: Events, order: int) -> np.ndarray:
+    """Number of a context of few bytes and a node."""
+    context = windows >> SYMBOL_BITS & (1 << SYMBOL_BITS * order) - 1
+    return (context[e.row] << NODE_BITS) | e.node
 
-    def __init__(self) -> None:
-        self.windows, self.log2 = np.zeros(0, dtype=np.int64), np.zeros(0)
-
-    def values(self, windows: np.ndarray, model: Model) -> np.ndarray:
-        """log2 of windows, which are distinct and in order."""
-        at = np.searchsorted(self.windows, windows)
-        known = np.zeros(len(windows), dtype=bool)
-        inside = at < len(self.windows)
-        known[inside] = self.windows[at[inside]] == windows[inside]
-        out = np.empty(len(windows))
-        out[known] = self.log2[at[known]]
-        new = np.flatnonzero(~known)
-        for some in np.array_split(new, len(new) // 100_000 + 1):
-            out[some] = model.log2(windows[some])
-        if len(self.windows) + len(new) > KEPT:  # begin anew
-            self.__init__()
-            new = np.arange(len(windows))
-        spots = np.searchsorted(self.windows, windows[new])
-        self.windows, self.log2 = np.insert(self.windows, spots, windows[new]), np.insert(self.log2, spots, out[new])
-        return out
+
+def _weights_of(spots: np.ndarray, bit: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct spots and how often either way was taken there; and each spot's place."""
+    distinct, where = np.unique(spots, return_inverse=True)
+    both = np.bincount(where * 2 + bit, weights=n, minlength=2 * len(distinct)).reshape(-1, 2)
+    return distinct, both.astype(np.float32), where
 
 
 @dataclass
 class Model:
-    """Code tree, context counts and mixer; of a fixed size."""
+    """Code tree, counts after one and two bytes, and mixer."""
 
     tree: Tree
-    counts: np.ndarray  # orders x slots x 2
-    by_gate: np.ndarray = field(default_factory=lambda: np.full((GATES, ORDERS), 0.2))
-    by_last: np.ndarray = field(default_factory=lambda: np.zeros((1 << SYMBOL_BITS, ORDERS)))
-    refine: np.ndarray = field(default_factory=lambda: np.zeros((GATES, LEVELS, 2)))
-
-    def inputs(self, e: Events, apart: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Log odds of every order, and the gate.  ``apart``: without the event."""
-        odds = np.empty((ORDERS, len(e.row)), dtype=np.float32)
-        known = np.zeros(len(e.row), dtype=np.int64)
-        for k in range(ORDERS):
-            n = self.counts[k][e.slots[k]].astype(np.float32)
-            n0, n1 = n[:, 0], n[:, 1]
-            if apart:
-                n0, n1 = np.maximum(n0 - (e.bit == 0), 0), np.maximum(n1 - (e.bit == 1), 0)
-            known += n0 + n1 > 0
-            odds[k] = np.log((n1 + HALF) / (n0 + HALF))
-        return odds, known * DEPTHS + e.depth
-
-    def mix(self, odds: np.ndarray, gate: np.ndarray, last: np.ndarray) -> np.ndarray:
-        return np.clip(((self.by_gate[gate] + self.by_last[last]) * odds.T).sum(axis=1), -16, 16)
-
-    def log2(self, windows: np.ndarray) -> np.ndarray:
+    near: list[tuple[np.ndarray, np.ndarray]]
+    weights: list[np.ndarray] = field(default_factory=lambda: [
+        np.full((KNOWN_GATES, PREDICTORS), 0.2), np.zeros((PLACE_GATES, PREDICTORS)), np.zeros((1 << SYMBOL_BITS, PREDICTORS))
+    ])
+    refine: np.ndarray = field(default_factory=lambda: np.zeros((KNOWN_GATES, LEVELS, 2)))
+
+    def counts(self, windows: np.ndarray, word: np.ndarray, n: np.ndarray, e: Events) -> np.ndarray:
+        """How often either way was taken after every context; predictors x events x 2.
+
+        The windows hold all those of their contexts of more than two bytes.
+        """
+        out = np.zeros((PREDICTORS, len(e.row), 2), dtype=np.float32)
+        m = n[e.row]
+        for order in range(1, ORDERS + 1):
+            if order <= NEAR:
+                spots, both = self.near[order - 1]
+                if len(spots):
+                    asked = _spots(windows, e, order)
+                    at = np.minimum(np.searchsorted(spots, asked), len(spots) - 1)
+                    out[order - 1] = np.where((spots[at] == asked)[:, None], both[at], 0)
+            else:
+                context = _mixed(windows >> SYMBOL_BITS & (1 << SYMBOL_BITS * order) - 1)
+                out[order - 1] = self._around(context, e, m, slice(None))
+        inside = e.place < ORDERS
+        out[ORDERS] = out[e.place.clip(0, ORDERS - 1), np.arange(len(e.row))]
+        long = np.flatnonzero(~inside)
+        if len(long):
+            out[ORDERS, long] = self._around(_mixed(word), e, m, long)
+        return out
+
+    @staticmethod
+    def _around(context: np.ndarray, e: Events, m: np.ndarray, some: slice | np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            spots = _mixed(context[e.row[some]] + e.node[some].astype(np.uint64) * np.uint64(_FACTOR))
+        _, both, where = _weights_of(spots, e.bit[some], m[some])
+        return both[where]
+
+    @staticmethod
+    def inputs(counts: np.ndarray, e: Events, seen: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Log odds of every predictor, and the gates.  ``seen`` windows are predicted
+        without one occurrence of theirs."""
+        n0 = np.maximum(counts[:, :, 0] - (seen[e.row] & (e.bit == 0)), 0)
+        n1 = np.maximum(counts[:, :, 1] - (seen[e.row] & (e.bit == 1)), 0)
+        known = (n0 + n1 > 0).sum(axis=0)
+        return np.log((n1 + HALF) / (n0 + HALF)), [known * DEPTHS + e.depth, e.place * (PREDICTORS + 1) + known, e.last]
+
+    def mix(self, odds: np.ndarray, gates: list[np.ndarray]) -> np.ndarray:
+        weights = sum(w[g] for w, g in zip(self.weights, gates))
+        return np.clip((weights * odds.T).sum(axis=1), -16, 16)
+
+    def log2(self, odds: np.ndarray, gates: list[np.ndarray], e: Events, many: int) -> np.ndarray:
         """log2 of the probability of each window's symbol."""
-        e = events(windows, self.tree)
-        odds, gate = self.inputs(e, False)
-        x = self.mix(odds, gate, e.last)
+        x = self.mix(odds, gates)
         p = 1 / (1 + np.exp(-x))
         spot, share = _level(x)
-        seen = self.refine[gate, spot], self.refine[gate, spot + 1]
-        ends = [(s[:, 1] + 0.5) / (s.sum(axis=1) + 1.0) for s in seen]
-        # Where nothing was seen the mixed value stands.
-        ends = [np.where(s.sum(axis=1) > 0, r, p) for s, r in zip(seen, ends)]
+        seen = self.refine[gates[0], spot], self.refine[gates[0], spot + 1]
+        # Where little was seen the mixed value stands.
+        ends = [(s[:, 1] + 4 * p) / (s.sum(axis=1) + 4) for s in seen]
         p = (p + ends[0] * (1 - share) + ends[1] * share) / 2
         p = np.clip(p, 1e-7, 1 - 1e-7)
-        return np.bincount(e.row, weights=np.log2(np.where(e.bit == 1, p, 1 - p)), minlength=len(windows))
-
-    def scores(self, texts: list[str | None], kept: Kept) -> np.ndarray:
-        """log10 of the probability of every text."""
-        total = np.zeros(len(texts))
-        for windows, owner in blocks(texts):
-            distinct, where = np.unique(windows, return_inverse=True)
-            total += np.bincount(owner, weights=kept.values(distinct, self)[where], minlength=len(texts))
-        return total * np.log10(2)
+        return np.bincount(e.row, weights=np.log2(np.where(e.bit == 1, p, 1 - p)), minlength=many)
 
 
 def _level(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -229,159 +305,216 @@ def _level(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_counts(docs: DataFrame) -> DataFrame:
-    """(context, window, n): how often every window occurs in the texts.
-
-    ``context`` is the last three bytes before the symbol; the table is dealt by it, so
-    that the contexts of the higher orders lie in one partition each.
-    """
+    """(context, window, word, m, n): how often every window occurs in all texts and in
+    those with ``learn``.  ``context`` is the last three bytes before the symbol, in lower
+    case as in the word."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        reader = Reader()
+        held: list[list[np.ndarray]] = []
         for batch in batches:
-            for windows, _ in blocks(batch["text"].tolist()):
-                new, m = np.unique(windows, return_counts=True)
-                held, where = np.unique(np.concatenate([held, new]), return_inverse=True)
-                n = np.bincount(where, weights=np.concatenate([n, m]), minlength=len(held)).astype(np.int64)
-                if len(held) > 4 * BLOCK:
-                    yield _counted(held, n)
-                    held, n = held[:0], n[:0]
-        yield _counted(held, n)
+            learn = batch["learn"].to_numpy(dtype=bool)
+            for windows, word, owner in reader.blocks(batch["text"].tolist()):
+                held.append(_merged([[windows, word, np.ones(len(windows), dtype=np.int64), learn[owner].astype(np.int64)]]))
+                if sum(len(x[0]) for x in held) > max(2 * BLOCK, 2 * len(held[0][0])):
+                    held = [_merged(held)]
+                if len(held[0][0]) > 4 * BLOCK:
+                    yield _counted(held[0])
+                    held.pop(0)
+        if held:
+            yield _counted(_merged(held))
 
-    found = docs.select("text").mapInPandas(count, "context int, window bigint, n bigint")
-    return found.repartition("context").groupBy("context", "window").agg(F.sum("n").alias("n"))
+    found = docs.select("text", "learn").mapInPandas(count, "context int, window bigint, word bigint, m bigint, n bigint")
+    return found.groupBy("context", "window", "word").agg(F.sum("m").alias("m"), F.sum("n").alias("n"))
 
 
-def _counted(windows: np.ndarray, n: np.ndarray) -> pd.DataFrame:
-    context = (windows >> SYMBOL_BITS & (1 << 3 * SYMBOL_BITS) - 1).astype(np.int32)
-    return pd.DataFrame({"context": context, "window": windows, "n": n})
+def _merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Distinct windows of some columns (window, word, counts), their counts summed."""
+    windows, word, *counts = [np.concatenate(column) for column in zip(*parts)]
+    key = window_key(windows, word)
+    order = np.argsort(key)
+    key = key[order]
+    cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    first = order[cuts]
+    return [windows[first], word[first], *(np.add.reduceat(x[order], cuts) for x in counts)]
 
 
-def _summed(rows: DataFrame, shape: tuple[int, ...], part: int = PART) -> np.ndarray:
-    """Sum of sparse arrays sent as rows (block, spots, values); of a fixed size."""
+def _counted(held: list[np.ndarray]) -> pd.DataFrame:
+    windows, word, m, n = held
+    context = sum(_FOLDED[windows >> SYMBOL_BITS * k & SYMBOL] << SYMBOL_BITS * (k - 1) for k in (1, 2, 3))
+    return pd.DataFrame({"context": context.astype(np.int32), "window": windows, "word": word, "m": m, "n": n})
 
-    def add(some: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(part)
-        for spots, values in zip(some["spots"], some["values"]):
-            total += np.bincount(np.frombuffer(spots, dtype=np.uint16), weights=np.frombuffer(values, dtype=np.float64), minlength=part)
-        return pd.DataFrame({"block": some["block"][:1], "spots": [b""], "values": [total.tobytes()]})
 
-    out = np.zeros(int(np.prod(shape)) + part)
-    for block, _, values in rows.groupBy("block").applyInPandas(add, SPARSE).collect():
-        out[block * part : block * part + part] = np.frombuffer(values, dtype=np.float64)
-    return out[: int(np.prod(shape))].reshape(shape)
+def _near_counts(table: DataFrame) -> tuple[Tree, list[tuple[np.ndarray, np.ndarray]]]:
+    """Code tree and counts after one and two bytes; at most 257^3 rows reach the driver."""
+    short = F.col("window").bitwiseAND(F.lit((1 << SYMBOL_BITS * (NEAR + 1)) - 1)).alias("short")
+    rows = table.where("n > 0").groupBy(short).agg(F.sum("n").alias("n")).toArrow()
+    short, n = rows["short"].to_numpy(), rows["n"].to_numpy().astype(float)
+    tree = code_tree(np.bincount(short & SYMBOL, weights=n, minlength=END + 1)[: END + 1])
+    e = events(short, tree)
+    return tree, [_weights_of(_spots(short, e, order), e.bit, n[e.row])[:2] for order in range(1, NEAR + 1)]
 
 
-SPARSE = "block int, spots binary, values binary"
+def _each_group(table: DataFrame, groups: int, schema: str, work: Callable[[int, pd.DataFrame], pd.DataFrame]) -> DataFrame:
+    """``work`` on all windows of a group, in an order of theirs."""
 
+    def whole(key: tuple[int], some: pd.DataFrame) -> pd.DataFrame:
+        spread = _mixed(window_key(some["window"].to_numpy(), some["word"].to_numpy()))
+        return work(key[0], some.iloc[np.argsort(spread)])
 
-def _sparse(flat: np.ndarray, part: int = PART) -> pd.DataFrame:
-    some = np.flatnonzero(flat)
-    block = some // part
-    cut = np.flatnonzero(np.diff(block, prepend=-1))
-    ends = [*cut[1:], len(some)]
-    return pd.DataFrame({
-        "block": block[cut].astype(np.int32),
-        "spots": [(some[a:b] % part).astype(np.uint16).tobytes() for a, b in zip(cut, ends)],
-        "values": [flat[some[a:b]].tobytes() for a, b in zip(cut, ends)],
-    })
+    dealt = table.withColumn("bucket", F.pmod(F.xxhash64("context"), F.lit(groups)).cast("int"))
+    return dealt.groupBy("bucket").applyInPandas(lambda key, some: whole(key, some), schema)
 
 
-def _context_counts(table: DataFrame, tree: Tree) -> np.ndarray:
-    size = ORDERS * SLOTS * 2
+LEARNT = "bucket int, sums binary"
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _summed(rows: DataFrame, size: int) -> np.ndarray:
+    """Sum of what the groups send, always in the same order."""
+
+    def add(some: pd.DataFrame) -> pd.DataFrame:
+        some = some.sort_values("bucket")
         total = np.zeros(size)
-        for batch in batches:
-            e = events(batch["window"].to_numpy(), tree)
-            n = batch["n"].to_numpy()[e.row]
-            for k in range(ORDERS):
-                spot = (k * SLOTS + e.slots[k]) * 2 + e.bit
-                order = np.argsort(spot, kind="stable")
-                spot = spot[order]
-                cut = np.flatnonzero(np.diff(spot, prepend=-1))
-                if len(cut):
-                    total[spot[cut]] += np.add.reduceat(n[order], cut)
-        yield _sparse(total)
-
-    found = _summed(table.select("window", "n").mapInPandas(count, SPARSE), (ORDERS, SLOTS, 2))
-    return np.minimum(found, 2**31).astype(np.float32)
-
-
-def _weights(table: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Mixing weights: every partition takes its gradient steps, and each gate's weights
-    are averaged by how many decisions it saw there."""
-    first, second = model.by_gate.size, model.by_last.size
-    spark = table.sparkSession
-    sent = spark.sparkContext.broadcast(model)
-
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = sent.value
-        sets = [m.by_gate.copy(), m.by_last.copy()]
-        mine = Model(m.tree, m.counts, *sets)
-        moved = [np.full_like(w, 1e-6) for w in sets]
-        seen = [np.zeros(len(w)) for w in sets]
-        for batch in batches:
-            e = events(batch["window"].to_numpy(), m.tree)
-            n = batch["n"].to_numpy(dtype=float)[e.row]
-            odds, gate = mine.inputs(e, True)
-            error = (1 / (1 + np.exp(-mine.mix(odds, gate, e.last))) - e.bit) * n
-            for w, g, s, index in zip(sets, moved, seen, (gate, e.last)):
-                here = np.bincount(index, weights=n, minlength=len(w))
-                slope = np.stack([np.bincount(index, weights=error * odds[k], minlength=len(w)) for k in range(ORDERS)], axis=1)
-                slope /= np.maximum(here, 1)[:, None]
+        for sums in some["sums"]:
+            total += np.frombuffer(sums)
+        return pd.DataFrame({"bucket": some["bucket"][:1] % SUMS, "sums": [total.tobytes()]})
+
+    found = rows.groupBy(F.col("bucket") % SUMS).applyInPandas(add, LEARNT).collect()
+    return sum((np.frombuffer(r.sums) for r in sorted(found, key=lambda r: r.bucket)), np.zeros(size))
+
+
+def _columns(some: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return some["window"].to_numpy(), some["word"].to_numpy(), some["n"].to_numpy(dtype=float)
+
+
+def learn_weights(model: Model, windows: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Weights after gradient steps through the windows in their order, and how many
+    decisions each gate saw."""
+    mine = Model(model.tree, model.near, [w.copy() for w in model.weights])
+    e = events(windows, model.tree)
+    odds, gates = mine.inputs(mine.counts(windows, word, n, e), e, n > 0)
+    m = n[e.row]
+    moved = [np.full_like(w, 1e-6) for w in mine.weights]
+    cuts = np.searchsorted(e.row, [*range(0, len(windows), STEP), len(windows)])
+    for _ in range(EPOCHS):
+        for a, b in zip(cuts, cuts[1:]):
+            x, here = odds[:, a:b], [g[a:b] for g in gates]
+            error = (1 / (1 + np.exp(-mine.mix(x, here))) - e.bit[a:b]) * m[a:b]
+            for w, g, index in zip(mine.weights, moved, here):
+                seen = np.bincount(index, weights=m[a:b], minlength=len(w))
+                slope = np.stack([np.bincount(index, weights=error * x[k], minlength=len(w)) for k in range(PREDICTORS)], axis=1)
+                slope /= np.maximum(seen, 1)[:, None]
                 g += slope**2
                 w -= RATE * slope / np.sqrt(g)
-                s += here
-        flat = np.concatenate([*((w * s[:, None]).ravel() for w, s in zip(sets, seen)), *seen])
-        yield _sparse(flat)
-
-    rows = table.select("window", "n").mapInPandas(learn, SPARSE)
-    flat = _summed(rows, (first + second + len(model.by_gate) + len(model.by_last),))
-    out, at = [], first + second
-    for w, start in ((model.by_gate, 0), (model.by_last, first)):
-        seen = flat[at : at + len(w)]
-        at += len(w)
-        mean = flat[start : start + w.size].reshape(w.shape) / np.maximum(seen, 1)[:, None]
-        out.append(np.where(seen[:, None] > 0, mean, w))
+    return mine.weights, [np.bincount(g, weights=m, minlength=len(w)) for g, w in zip(gates, mine.weights)]
+
+
+def _fit_weights(table: DataFrame, groups: int, model: Model) -> list[np.ndarray]:
+    sent = table.sparkSession.sparkContext.broadcast(model)
+
+    def learn(bucket: int, some: pd.DataFrame) -> pd.DataFrame:
+        weights, seen = learn_weights(sent.value, *_columns(some))
+        flat = [np.column_stack([w * s[:, None], s]).ravel() for w, s in zip(weights, seen)]
+        return pd.DataFrame({"bucket": [bucket], "sums": [np.concatenate(flat).tobytes()]})
+
+    shapes = [(len(w), PREDICTORS + 1) for w in model.weights]
+    flat = _summed(_each_group(table, groups, LEARNT, learn), sum(a * b for a, b in shapes))
+    out, at = [], 0
+    for w, (a, b) in zip(model.weights, shapes):
+        part = flat[at : at + a * b].reshape(a, b)
+        at += a * b
+        out.append(np.where(part[:, -1:] > 0, part[:, :-1] / np.maximum(part[:, -1:], 1), w))
     sent.unpersist()
-    return out[0], out[1]
+    return out
 
 
-def _refined(table: DataFrame, model: Model) -> np.ndarray:
+def _fit_refining(table: DataFrame, groups: int, model: Model) -> np.ndarray:
     """What happened where the mixed odds were at each level, by gate."""
     sent = table.sparkSession.sparkContext.broadcast(model)
-
-    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m, total = sent.value, np.zeros(model_size)
-        for batch in batches:
-            e = events(batch["window"].to_numpy(), m.tree)
-            n = batch["n"].to_numpy(dtype=float)[e.row]
-            odds, gate = m.inputs(e, True)
-            spot, share = _level(m.mix(odds, gate, e.last))
-            for side, weight in ((0, 1 - share), (1, share)):
-                total += np.bincount((gate * LEVELS + spot + side) * 2 + e.bit, weights=n * weight, minlength=model_size)
-        yield _sparse(total)
-
-    model_size = model.refine.size
-    found = _summed(table.select("window", "n").mapInPandas(look, SPARSE), model.refine.shape)
+    size = model.refine.size
+
+    def look(bucket: int, some: pd.DataFrame) -> pd.DataFrame:
+        m, total = sent.value, np.zeros(size)
+        windows, word, n = _columns(some)
+        e = events(windows, m.tree)
+        odds, gates = m.inputs(m.counts(windows, word, n, e), e, n > 0)
+        spot, share = _level(m.mix(odds, gates))
+        for side, weight in ((0, 1 - share), (1, share)):
+            total += np.bincount((gates[0] * LEVELS + spot + side) * 2 + e.bit, weights=n[e.row] * weight, minlength=size)
+        return pd.DataFrame({"bucket": [bucket], "sums": [total.tobytes()]})
+
+    found = _summed(_each_group(table, groups, LEARNT, look), size).reshape(model.refine.shape)
     sent.unpersist()
     return found
 
 
-def fit(docs: DataFrame) -> Model:
-    """Model of the texts; null texts are empty ones.  Without rows every decision is
-    even."""
+def group_log2(model: Model, windows: np.ndarray, word: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """log2 of the probability of every window of a group."""
+    e = events(windows, model.tree)
+    odds, gates = model.inputs(model.counts(windows, word, n, e), e, np.zeros(len(windows), dtype=bool))
+    return model.log2(odds, gates, e, len(windows))
+
+
+def window_scores(docs: DataFrame) -> tuple[Model, DataFrame]:
+    """The model of the texts with ``learn``, and (key, m, log2) of every window of all
+    texts.  Null texts are empty ones.  Without rows to learn from every decision is even."""
     table = materialize(window_counts(docs), "windows")
-    symbol = F.col("window").bitwiseAND(F.lit((1 << SYMBOL_BITS) - 1)).alias("symbol")
-    counts = np.zeros(END + 1)
-    for row in table.groupBy(symbol).agg(F.sum("n").alias("n")).collect():
-        counts[row.symbol] = row.n
-    model = Model(code_tree(counts), np.zeros((ORDERS, SLOTS, 2), dtype=np.float32))
-    if counts.any():
-        model.counts = _context_counts(table, model.tree)
-        model.by_gate, model.by_last = _weights(table, model)
-        model.refine = _refined(table, model)
-    return model
+    many = table.agg(F.count("*"), F.sum("n")).first()
+    groups = max(8, many[0] // GROUP)
+    model = Model(*_near_counts(table))
+    if many[1]:
+        seen = table.where("n > 0")
+        model.weights = _fit_weights(seen, groups, model)
+        model.refine = _fit_refining(seen, groups, model)
+
+    def score_group(bucket: int, some: pd.DataFrame) -> pd.DataFrame:
+        windows, word, n = _columns(some)
+        log2 = group_log2(sent.value, windows, word, n).astype(np.float32)
+        return pd.DataFrame({"key": window_key(windows, word), "m": some["m"].to_numpy(), "log2": log2})
+
+    sent = table.sparkSession.sparkContext.broadcast(model)
+    scored = materialize(_each_group(table, groups, "key bigint, m bigint, log2 float", score_group), "window-scores")
+    sent.unpersist()
+    return model, scored
+
+
+def common_windows(scored: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, in order, and log2 of the most frequent windows, at most ``COMMON_WINDOWS``."""
+    level = F.floor(F.log2("m") * 8).cast("int").alias("level")
+    left, lowest = COMMON_WINDOWS, None
+    for row in sorted(scored.groupBy(level).count().collect(), key=lambda r: -r.level):
+        left -= row["count"]
+        if left < 0:
+            break
+        lowest = row.level
+    chosen = scored.where(level >= lowest if lowest is not None else F.lit(False)).select("key", "log2").toArrow()
+    key = chosen["key"].to_numpy()
+    order = np.argsort(key, kind="stable")
+    return key[order], chosen["log2"].to_numpy()[order]
+
+
+def _looked_up(texts: list[str | None], reader: Reader, key: np.ndarray, log2: np.ndarray) -> tuple[np.ndarray, list, list]:
+    """Of every text the sum of log2 of common windows, and key and number of the others."""
+    total = np.zeros(len(texts))
+    rest: list[list[np.ndarray]] = [[] for _ in texts]
+    many: list[list[np.ndarray]] = [[] for _ in texts]
+    for windows, word, owner in reader.blocks(texts):
+        distinct, where = np.unique(window_key(windows, word), return_inverse=True)
+        value, known = np.zeros(len(distinct)), np.zeros(len(distinct), dtype=bool)
+        if len(key):
+            at = np.minimum(np.searchsorted(key, distinct), len(key) - 1)
+            known = key[at] == distinct
+            value = np.where(known, log2[at], 0.0)
+        total += np.bincount(owner, weights=value[where], minlength=len(texts))
+        others = np.flatnonzero(~known[where])
+        pairs, n = np.unique(owner[others].astype(np.int64) * len(distinct) + where[others], return_counts=True)
+        whose = pairs // max(len(distinct), 1)
+        cuts = np.flatnonzero(np.diff(whose, prepend=-1))
+        for a, b in zip(cuts, [*cuts[1:], len(pairs)]):
+            rest[whose[a]].append(distinct[pairs[a:b] % len(distinct)])
+            many[whose[a]].append(n[a:b].astype(np.int64))
+    none = np.zeros(0, dtype=np.int64)
+    return total, [np.concatenate(x) if x else none for x in rest], [np.concatenate(x) if x else none for x in many]
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -418,23 +551,24 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score, score
     (log10 probability of the text) and bits_per_byte.
 
-    ``training`` is a condition on doc_id.  Null texts are empty: one token, the end.
-    Rows that repeat both id and text are learnt from each and reported each; other
-    columns are ignored.  Tokens are told apart by a 64-bit hash.
+    ``training`` is a condition on doc_id; null counts as no.  Null texts are empty: one
+    token, the end.  Rows that repeat both id and text are learnt from each and reported
+    each; other columns are ignored.  Tokens and windows are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    model = fit(docs.where(training))
-    counts = materialize(token_counts(docs.where(training)), "tokens")
+    docs = docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("learn"))
+    _, scored = window_scores(docs)
+    key, log2 = common_windows(scored)
+    counts = materialize(token_counts(docs.where("learn")), "tokens")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     common = {r.token: r.c for r in counts.orderBy(F.desc("c"), "token").limit(COMMON).collect()}
     low = float(np.log10(total.n + 0.5 * (total.v + 1)))
-    sent = spark.sparkContext.broadcast((model, common))
+    sent = spark.sparkContext.broadcast((key, log2, common))
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, common = sent.value
+        key, log2, common = sent.value
         hashes: dict[bytes, int] = {}
-        kept = Kept()
+        reader = Reader()
         logs = {t: float(np.log10(c + 0.5)) - low for t, c in common.items()}
         for batch in batches:
             rows = []
@@ -459,34 +593,42 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
                 copy = xxhash.xxh64_intdigest(raw) >> 1
                 rows.append((doc, copy, n, known, base, len(raw), rest, many))
             out = pd.DataFrame(rows, columns=["doc_id", "copy", "n_tokens", "n_known", "base", "n_bytes", "rest", "many"])
-            out["score"] = model.scores(batch["text"].tolist(), kept)
+            out["bits"], out["keys"], out["times"] = _looked_up(batch["text"].tolist(), reader, key, log2)
             out["doc_id"] = batch["doc_id"].astype("Int64").to_numpy() if len(batch) else out["doc_id"]
             yield out
 
     schema = (
         "doc_id bigint, copy bigint, n_tokens bigint, n_known bigint, base double, n_bytes bigint, "
-        "rest array<bigint>, many array<bigint>, score double"
+        "rest array<bigint>, many array<bigint>, bits double, keys array<bigint>, times array<bigint>"
     )
-    whole = materialize(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")).mapInPandas(look, schema), "scored")
+    read = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    whole = materialize(read.mapInPandas(look, schema), "scored")
+    zero, nought = F.lit(0).cast("bigint"), F.lit(0.0)
     rare = whole.select("doc_id", "copy", F.explode(F.arrays_zip("rest", "many")).alias("t")).select(
         "doc_id", "copy", F.col("t.rest").alias("token"), F.col("t.many").alias("tf")
     )
     c = F.coalesce("c", F.lit(0))
-    zero = F.lit(0).cast("bigint")
     looked_up = rare.join(counts, "token", "left").select(
         "doc_id", "copy", zero.alias("n"), zero.alias("n_tokens"),
         F.when(c > 0, F.col("tf")).otherwise(0).alias("n_known"),
-        (F.col("tf") * (F.log10(c + 0.5) - low)).alias("base"), zero.alias("n_bytes"), F.lit(0.0).alias("score"),
+        (F.col("tf") * (F.log10(c + 0.5) - low)).alias("base"), zero.alias("n_bytes"), nought.alias("bits"),
+    )
+    others = whole.select("doc_id", "copy", F.explode(F.arrays_zip("keys", "times")).alias("t")).select(
+        "doc_id", "copy", F.col("t.keys").alias("key"), F.col("t.times").alias("tf")
+    )
+    joined = others.join(scored.select("key", "log2"), "key").select(
+        "doc_id", "copy", zero.alias("n"), zero.alias("n_tokens"), zero.alias("n_known"), nought.alias("base"),
+        zero.alias("n_bytes"), (F.col("tf") * F.col("log2").cast("double")).alias("bits"),
     )
-    each = whole.select("doc_id", "copy", F.lit(1).cast("bigint").alias("n"), "n_tokens", "n_known", "base", "n_bytes", "score")
-    summed = each.unionByName(looked_up).groupBy("doc_id", "copy").agg(
-        *[F.sum(x).alias(x) for x in ("n", "n_tokens", "n_known", "base", "n_bytes", "score")]
+    each = whole.select("doc_id", "copy", F.lit(1).cast("bigint").alias("n"), "n_tokens", "n_known", "base", "n_bytes", "bits")
+    summed = each.unionByName(looked_up).unionByName(joined).groupBy("doc_id", "copy").agg(
+        *[F.sum(x).alias(x) for x in ("n", "n_tokens", "n_known", "base", "n_bytes", "bits")]
     )
     whole_number = lambda x: (F.col(x) / F.col("n")).cast("bigint").alias(x)
     # Rows that repeat id and text were summed as one; each is reported.
     summed = summed.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
     return summed.select(
         "doc_id", whole_number("n_tokens"), whole_number("n_known"), F.lit(int(total.n)).cast("bigint").alias("train_tokens"),
-        (F.col("base") / F.col("n")).alias("base_score"), (F.col("score") / F.col("n")).alias("score"),
-        (-F.col("score") * float(np.log2(10)) / F.greatest("n_bytes", F.col("n"))).alias("bits_per_byte"),
+        (F.col("base") / F.col("n")).alias("base_score"), (F.col("bits") / F.col("n") * float(np.log10(2))).alias("score"),
+        (-F.col("bits") / F.greatest("n_bytes", F.col("n"))).alias("bits_per_byte"),
     )

@@ -119,24 +119,106 @@ def test_trigram_vectors_are_bound_and_bundled():
     assert np.array_equal(*space.bundle([langid.trigrams("Abc, abc."), langid.trigrams("abc abc")]))
 
 
-def test_mixed_probabilities_add_up_and_learn(spark, documents):
-    docs = documents([(i, prose(i)) for i in range(300)])
-    model = context_mixing.fit(docs)
-    context = context_mixing._windows(np.frombuffer(b"the on", dtype=np.uint8).astype(np.int64))[0] >> context_mixing.SYMBOL_BITS
-    windows = (context << context_mixing.SYMBOL_BITS) + np.arange(context_mixing.END + 1)
-    assert math.isclose((2.0 ** model.log2(windows)).sum(), 1, rel_tol=1e-3)
-    kept = context_mixing.Kept()
-    new, noise = prose(5000), "".join(random.Random(1).choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(len(prose(5000))))
-    scores = model.scores([new, noise, "", None, new], kept)
-    assert scores[0] > 0.7 * scores[1] and scores[0] == scores[4] and scores[2] == scores[3] < 0
-    assert np.allclose(scores, model.scores([new, noise, "", None, new], context_mixing.Kept()))
+def all_windows(texts):
+    """Window, word and count of all windows of some texts."""
+    parts = [[w, h, np.ones(len(w), dtype=np.int64)] for w, h, _ in context_mixing.Reader().blocks(texts)]
+    return context_mixing._merged(parts)
+
+
+def test_mixed_probabilities_add_up(spark, documents):
+    texts = [prose(i) for i in range(100)]
+    model, _ = context_mixing.window_scores(documents(list(enumerate(texts))).withColumn("learn", F.lit(True)))
+    windows, word, n = all_windows(texts)
+    for at in (0, int(np.argmax(word != 0))):  # a context within the window, and a longer word
+        known = dict(zip(context_mixing.window_key(windows, word).tolist(), n.tolist()))
+        added = (windows[at] >> context_mixing.SYMBOL_BITS << context_mixing.SYMBOL_BITS) + np.arange(context_mixing.END + 1)
+        same = np.full(len(added), word[at])
+        key = context_mixing.window_key(added, same)
+        others = ~np.isin(context_mixing.window_key(windows, word), key)
+        counts = np.array([known.get(k, 0) for k in key.tolist()])
+        log2 = context_mixing.group_log2(
+            model, np.concatenate([added, windows[others]]), np.concatenate([same, word[others]]), np.concatenate([counts, n[others]]).astype(float)
+        )
+        assert math.isclose((2.0 ** log2[: len(added)]).sum(), 1, rel_tol=1e-3)
+
+
+def test_known_prose_scores_above_noise(spark, documents):
+    noise = "".join(random.Random(1).choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(len(prose(5000))))
+    rows = [(i, prose(i)) for i in range(300)] + [(1000, prose(5000)), (1001, noise), (1002, ""), (1003, None), (1004, prose(5000))]
+    found = {r.doc_id: r.score for r in context_mixing.score(documents(rows), F.col("doc_id") < 1000).collect()}
+    assert found[1000] > 0.7 * found[1001] and found[1000] == found[1004] and found[1002] == found[1003] < 0
+
+
+def plain_scores(rows, learn, model):
+    """Scores from counts in a dict, one decision after the other."""
+    tree, spaces = model.tree, b" \t\n\v\f\r"
+    steps = lambda s: [(tree.node[i], tree.bit[i]) for i in range(tree.start[s], tree.start[s] + tree.length[s])]
+
+    def contexts(symbols, i):
+        before = symbols[:i]
+        start = max(j for j in range(i) if before[j] == context_mixing.END or before[j] in spaces)
+        word = before[max(start, i - context_mixing.LONGEST) :]
+        orders = [tuple(before[-k:]) for k in range(1, context_mixing.ORDERS + 1)]
+        folded = tuple(x + 32 if 65 <= x <= 90 else x for x in word)
+        place = min(i - start - 1, context_mixing.ORDERS)
+        return [*orders, ("word", folded) if place == context_mixing.ORDERS else orders[place]], place, before[-1]
+
+    def symbols(text):
+        return [context_mixing.END] * context_mixing.LONGEST + list((text or "").encode()) + [context_mixing.END]
+
+    counts = Counter()
+    for i, text in rows:
+        if learn(i):
+            s = symbols(text)
+            for at in range(context_mixing.LONGEST, len(s)):
+                for c in set(contexts(s, at)[0]):
+                    counts.update((c, node, bit) for node, bit in steps(s[at]))
+    for i, text in rows:
+        total, s = 0.0, symbols(text)
+        for at in range(context_mixing.LONGEST, len(s)):
+            found, place, last = contexts(s, at)
+            for depth, (node, bit) in enumerate(steps(s[at])):
+                n = [(counts[c, node, 0], counts[c, node, 1]) for c in found]
+                known, depth = sum(a + b > 0 for a, b in n), min(depth, context_mixing.DEPTHS - 1)
+                gates = [known * context_mixing.DEPTHS + depth, place * (context_mixing.PREDICTORS + 1) + known, last]
+                weights = sum(w[g] for w, g in zip(model.weights, gates))
+                x = sum(w * math.log((b + context_mixing.HALF) / (a + context_mixing.HALF)) for w, (a, b) in zip(weights, n))
+                x = min(max(x, -16), 16)
+                p = 1 / (1 + math.exp(-x))
+                level = min(max((x + 8) * (context_mixing.LEVELS - 1) / 16, 0), context_mixing.LEVELS - 1.001)
+                spot, share = int(level), level - int(level)
+                ends = [(b + 4 * p) / (a + b + 4) for a, b in model.refine[gates[0], spot : spot + 2]]
+                p = min(max((p + ends[0] * (1 - share) + ends[1] * share) / 2, 1e-7), 1 - 1e-7)
+                total += math.log10(p if bit else 1 - p)
+        yield i, total
+
+
+def test_scores_equal_plain_counting(spark, documents, monkeypatch):
+    rows = [(i, prose(i, 12)) for i in range(40)]
+    rows += [(50, None), (51, ""), (52, "The THE the\t\tÉ é 語"), (53, "x" * 60 + " " + "X" * 30 + " xx"), (54, "unterwegs Unterwegs unterwegt")]
+    learn = lambda i: i % 3 > 0
+    docs = documents(rows)
+    model, _ = context_mixing.window_scores(docs.withColumn("learn", F.col("doc_id") % 3 > 0))
+    expected = dict(plain_scores(rows, learn, model))
+    for common in (0, 50, 1 << 21):  # looked up by the join, by both ways, in place
+        monkeypatch.setattr(context_mixing, "COMMON_WINDOWS", common)
+        for r in context_mixing.score(docs, F.col("doc_id") % 3 > 0).collect():
+            assert math.isclose(r.score, expected[r.doc_id], rel_tol=1e-4)
+
+
+def test_scores_do_not_depend_on_partitions(spark, documents, monkeypatch):
+    monkeypatch.setattr(context_mixing, "GROUP", 200)
+    docs = documents([(i, prose(i)) for i in range(60)])
+    one, many = ({r.doc_id: r.score for r in context_mixing.score(d, F.col("doc_id") % 2 > 0).collect()} for d in (docs.coalesce(1), docs.repartition(11)))
+    assert one.keys() == many.keys() and all(math.isclose(one[i], many[i], rel_tol=1e-9) for i in one)
 
 
 def test_windows_do_not_depend_on_blocks(monkeypatch):
-    texts = ["abc", None, "", prose(1, 300)]
-    whole = np.concatenate([w for w, _ in context_mixing.blocks(texts)])
+    texts = ["abc", None, "", prose(1, 300), "y" * 130]
+    whole = [np.concatenate(x) for x in zip(*context_mixing.Reader().blocks(texts))]
     monkeypatch.setattr(context_mixing, "BLOCK", 50)
-    assert np.array_equal(np.concatenate([w for w, _ in context_mixing.blocks(texts)]), whole)
+    cut = [np.concatenate(x) for x in zip(*context_mixing.Reader().blocks(texts))]
+    assert all(np.array_equal(a, b) for a, b in zip(whole, cut))
 
 
 def test_base_score_is_exact(spark, documents, monkeypatch):
