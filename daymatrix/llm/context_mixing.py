@@ -2,16 +2,14 @@
 
 A text is a sequence of bytes and one end.  Every byte is a path of yes/no decisions
 in a code tree made from the corpus' byte counts.  For each decision, predictors look up
-how often either way was taken after the same context: the last 1 to 5 bytes, and the
-current word so far, addressed by hash.  Their log odds are added with weights picked by
-gates (how many predictors know the context and how deep the decision is; the place in
-the word; the last byte), and a table that maps the mixed odds to what really happened
-refines the result.
+how often either way was taken after the same last 1 to 5 bytes, by a hash of context and
+decision.  Their log odds are added with weights picked by gates (how many predictors
+know the context and how deep the decision is; the place in the word; the last byte), and
+a table that maps the mixed odds to what really happened refines the result.
 
 What the predictors know comes from all training texts and grows with them.  A *window*
-is a byte, the five before it, and the hash of the word so far where that is longer; a
-prediction depends on its window only.  Spark counts all windows into a written table.
-They are dealt by the three bytes before the symbol, so that all windows of a context of
+is a byte and the five before it; a prediction depends on its window only.  Spark counts
+all windows into a written table.  They are dealt by the three bytes before the symbol, so that all windows of a context of
 three or more bytes lie in one group and its counts are exact; counts of one and two bytes
 have at most 2^26 entries and are sent to every task.
 
@@ -45,17 +43,15 @@ from daymatrix.session import materialize
 END = 256
 ORDERS = 5
 NEAR = 2  # orders whose counts every task has
-PREDICTORS = ORDERS + 1  # and the word
 SYMBOL_BITS = 9
 SYMBOL = (1 << SYMBOL_BITS) - 1
 NODE_BITS = 8
-LONGEST = 24  # bytes of a word so far that tell contexts apart
 BLOCK = 1 << 20  # symbols handled at once
 GROUP = 250_000  # windows dealt to one group, on average
 STEP = 4096  # windows of one gradient step
 DEPTHS = 8
-KNOWN_GATES = (PREDICTORS + 1) * DEPTHS
-PLACE_GATES = (ORDERS + 1) * (PREDICTORS + 1)
+KNOWN_GATES = (ORDERS + 1) * DEPTHS
+PLACE_GATES = (ORDERS + 1) * (ORDERS + 1)
 LEVELS = 33  # of the refining table
 HALF = 0.4  # added to both counts of a context
 RATE = 0.05
@@ -67,7 +63,6 @@ NO_TOKEN = b""  # the end; no word is empty
 
 _FACTOR = 0x9E3779B97F4A7C15
 _SPACES = np.isin(np.arange(END + 1), [9, 10, 11, 12, 13, 32, END])
-_FOLDED = np.where((np.arange(END + 1) >= 65) & (np.arange(END + 1) <= 90), np.arange(END + 1) + 32, np.arange(END + 1))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -79,13 +74,6 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: int, many: int) -> np.ndarray:
-    out = np.full(many, base, dtype=np.uint64)
-    out[0] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(out, dtype=np.uint64)
-
-
 @dataclass(frozen=True)
 class Tree:
     """Code tree: the decisions of every symbol, one after the other."""
@@ -119,76 +107,33 @@ def code_tree(counts: np.ndarray) -> Tree:
     return Tree(np.cumsum(length) - length, length, np.array([x[0] for x in flat]), np.array([x[1] for x in flat]))
 
 
-class Reader:
-    """Cuts texts into windows."""
+def blocks(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Windows of successive texts, in blocks, and the text of each window.
 
-    def __init__(self) -> None:
-        self.power = _powers(_FACTOR, BLOCK + LONGEST)
-        self.inverse = _powers(pow(_FACTOR, -1, 1 << 64), BLOCK + LONGEST)
-        self.letter = _mixed(np.arange(1, END + 2))[_FOLDED]
-
-    def blocks(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Windows of successive texts, in blocks: number, word, and whose text it is.
-
-        The number holds a symbol (lowest bits) and the five before it; before a text
-        there are ends.  The word is 0 where it lies within the five.  Long texts are
-        cut into blocks without losing a window.
-        """
-        parts, owners, size = [], [], 0
-        for i, text in enumerate(texts):
-            raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
-            whole = np.concatenate([np.full(LONGEST, END, dtype=np.int64), raw, [END]])
-            for at in range(0, len(raw) + 1, BLOCK - LONGEST):
-                part = whole[at : at + BLOCK]
-                parts.append(part)
-                owners.append(i)
-                size += len(part)
-                if size >= BLOCK:
-                    yield self._cut(parts, owners)
-                    parts, owners, size = [], [], 0
-        if parts:
-            yield self._cut(parts, owners)
-
-    def _cut(self, parts: list[np.ndarray], owners: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        numbers, found, many = [], [], []
-        for at in range(0, len(parts), 256):  # short parts together
-            some = parts[at : at + 256]
-            joined = np.concatenate(some)
-            starts = np.cumsum([0, *(len(p) for p in some)])
-            inside = np.ones(len(joined), dtype=bool)
-            for start in starts[:-1]:
-                inside[start : start + LONGEST] = False
-            for a in range(0, max(len(joined) - LONGEST, 1), BLOCK):
-                piece = joined[a : a + BLOCK + LONGEST]
-                keep = inside[a + LONGEST : a + BLOCK + LONGEST]
-                n, w = self._windows(piece)
-                numbers.append(n[keep])
-                found.append(w[keep])
-            many += [len(p) - LONGEST for p in some]
-        return np.concatenate(numbers), np.concatenate(found), np.repeat(np.array(owners, dtype=np.int32), many)
-
-    def _windows(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Windows of all symbols but the first ``LONGEST``."""
-        many = len(symbols) - LONGEST
-        out = symbols[LONGEST:].copy()
-        for j in range(1, ORDERS + 1):
-            out |= symbols[LONGEST - j : len(symbols) - j] << (SYMBOL_BITS * j)
-        at = np.arange(LONGEST, len(symbols))
-        space = np.maximum.accumulate(np.where(_SPACES[symbols[:-1]], np.arange(len(symbols) - 1), 0))[LONGEST - 1 :]
-        start = np.maximum(space, at - LONGEST)
-        word = np.zeros(many, dtype=np.int64)
-        long = np.flatnonzero(at - start > ORDERS)
-        with np.errstate(over="ignore"):
-            so_far = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(self.letter[symbols[:-1]] * self.power[: len(symbols) - 1], dtype=np.uint64)])
-            a, b = start[long], at[long]
-            h = (so_far[b] - so_far[a]) * self.inverse[a] + (b - a).astype(np.uint64)
-        word[long] = (_mixed(h) >> np.uint64(1)).astype(np.int64) | 1
-        return out, word
-
-
-def window_key(windows: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """One number for a window and its word; the window itself without one."""
-    return np.where(word == 0, windows, windows ^ _mixed(word.astype(np.uint64)).astype(np.int64))
+    A window's number holds a symbol (lowest bits) and the five before it; before a text
+    there are ends.  Long texts are cut into blocks without losing a window.
+    """
+    parts, owners, size = [], [], 0
+    for i, text in enumerate(texts):
+        raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+        whole = np.concatenate([np.full(ORDERS, END, dtype=np.int64), raw, [END]])
+        for at in range(0, len(raw) + 1, BLOCK):
+            part = whole[at : at + BLOCK + ORDERS]
+            parts.append(_windows(part))
+            owners.append(np.full(len(part) - ORDERS, i, dtype=np.int32))
+            size += len(part)
+            if size >= BLOCK:
+                yield np.concatenate(parts), np.concatenate(owners)
+                parts, owners, size = [], [], 0
+    if parts:
+        yield np.concatenate(parts), np.concatenate(owners)
+
+
+def _windows(symbols: np.ndarray) -> np.ndarray:
+    out = symbols[ORDERS:].copy()
+    for j in range(1, ORDERS + 1):
+        out |= symbols[ORDERS - j : len(symbols) - j] << (SYMBOL_BITS * j)
+    return out
 
 
 @dataclass(frozen=True)
@@ -236,16 +181,16 @@ class Model:
     tree: Tree
     near: list[tuple[np.ndarray, np.ndarray]]
     weights: list[np.ndarray] = field(default_factory=lambda: [
-        np.full((KNOWN_GATES, PREDICTORS), 0.2), np.zeros((PLACE_GATES, PREDICTORS)), np.zeros((1 << SYMBOL_BITS, PREDICTORS))
+        np.full((KNOWN_GATES, ORDERS), 0.2), np.zeros((PLACE_GATES, ORDERS)), np.zeros((1 << SYMBOL_BITS, ORDERS))
     ])
     refine: np.ndarray = field(default_factory=lambda: np.zeros((KNOWN_GATES, LEVELS, 2)))
 
-    def counts(self, windows: np.ndarray, word: np.ndarray, n: np.ndarray, e: Events) -> np.ndarray:
+    def counts(self, windows: np.ndarray, n: np.ndarray, e: Events) -> np.ndarray:
         """How often either way was taken after every context; predictors x events x 2.
 
         The windows hold all those of their contexts of more than two bytes.
         """
-        out = np.zeros((PREDICTORS, len(e.row), 2), dtype=np.float32)
+        out = np.zeros((ORDERS, len(e.row), 2), dtype=np.float32)
         m = n[e.row]
         for order in range(1, ORDERS + 1):
             if order <= NEAR:
@@ -256,19 +201,14 @@ class Model:
                     out[order - 1] = np.where((spots[at] == asked)[:, None], both[at], 0)
             else:
                 context = _mixed(windows >> SYMBOL_BITS & (1 << SYMBOL_BITS * order) - 1)
-                out[order - 1] = self._around(context, e, m, slice(None))
-        inside = e.place < ORDERS
-        out[ORDERS] = out[e.place.clip(0, ORDERS - 1), np.arange(len(e.row))]
-        long = np.flatnonzero(~inside)
-        if len(long):
-            out[ORDERS, long] = self._around(_mixed(word), e, m, long)
+                out[order - 1] = self._around(context, e, m)
         return out
 
     @staticmethod
-    def _around(context: np.ndarray, e: Events, m: np.ndarray, some: slice | np.ndarray) -> np.ndarray:
+    def _around(context: np.ndarray, e: Events, m: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            spots = _mixed(context[e.row[some]] + e.node[some].astype(np.uint64) * np.uint64(_FACTOR))
-        _, both, where = _weights_of(spots, e.bit[some], m[some])
+            spots = _mixed(context[e.row] + e.node.astype(np.uint64) * np.uint64(_FACTOR))
+        _, both, where = _weights_of(spots, e.bit, m)
         return both[where]
 
     @staticmethod
@@ -278,7 +218,7 @@ class Model:
         n0 = np.maximum(counts[:, :, 0] - (seen[e.row] & (e.bit == 0)), 0)
         n1 = np.maximum(counts[:, :, 1] - (seen[e.row] & (e.bit == 1)), 0)
         known = (n0 + n1 > 0).sum(axis=0)
-        return np.log((n1 + HALF) / (n0 + HALF)), [known * DEPTHS + e.depth, e.place * (PREDICTORS + 1) + known, e.last]
+        return np.log((n1 + HALF) / (n0 + HALF)), [known * DEPTHS + e.depth, e.place * (ORDERS + 1) + known, e.last]
 
     def mix(self, odds: np.ndarray, gates: list[np.ndarray]) -> np.ndarray:
         weights = sum(w[g] for w, g in zip(self.weights, gates))
@@ -305,44 +245,37 @@ def _level(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def window_counts(docs: DataFrame) -> DataFrame:
-    """(context, window, word, m, n): how often every window occurs in all texts and in
-    those with ``learn``.  ``context`` is the last three bytes before the symbol, in lower
-    case as in the word."""
+    """(window, m, n): how often every window occurs in all texts and in those with
+    ``learn``."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader()
         held: list[list[np.ndarray]] = []
         for batch in batches:
             learn = batch["learn"].to_numpy(dtype=bool)
-            for windows, word, owner in reader.blocks(batch["text"].tolist()):
-                held.append(_merged([[windows, word, np.ones(len(windows), dtype=np.int64), learn[owner].astype(np.int64)]]))
-                if sum(len(x[0]) for x in held) > max(2 * BLOCK, 2 * len(held[0][0])):
+            for windows, owner in blocks(batch["text"].tolist()):
+                held.append(_merged([[windows, np.ones(len(windows), dtype=np.int64), learn[owner].astype(np.int64)]]))
+                if sum(len(x[0]) for x in held[1:]) > max(BLOCK, len(held[0][0])):
                     held = [_merged(held)]
-                if len(held[0][0]) > 4 * BLOCK:
-                    yield _counted(held[0])
-                    held.pop(0)
+                if len(held[0][0]) > 2 * BLOCK:
+                    yield _counted(held.pop(0))
         if held:
             yield _counted(_merged(held))
 
-    found = docs.select("text", "learn").mapInPandas(count, "context int, window bigint, word bigint, m bigint, n bigint")
-    return found.groupBy("context", "window", "word").agg(F.sum("m").alias("m"), F.sum("n").alias("n"))
+    found = docs.select("text", "learn").mapInPandas(count, "window bigint, m bigint, n bigint")
+    return found.groupBy("window").agg(F.sum("m").alias("m"), F.sum("n").alias("n"))
 
 
 def _merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
-    """Distinct windows of some columns (window, word, counts), their counts summed."""
-    windows, word, *counts = [np.concatenate(column) for column in zip(*parts)]
-    key = window_key(windows, word)
-    order = np.argsort(key)
-    key = key[order]
-    cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    first = order[cuts]
-    return [windows[first], word[first], *(np.add.reduceat(x[order], cuts) for x in counts)]
+    """Distinct windows of some columns (window, counts), their counts summed."""
+    windows, *counts = [np.concatenate(column) for column in zip(*parts)]
+    order = np.argsort(windows)
+    windows = windows[order]
+    cuts = np.flatnonzero(np.concatenate([[True], windows[1:] != windows[:-1]]))
+    return [windows[cuts], *(np.add.reduceat(x[order], cuts) for x in counts)]
 
 
-def _counted(held: list[np.ndarray]) -> pd.DataFrame:
-    windows, word, m, n = held
-    context = sum(_FOLDED[windows >> SYMBOL_BITS * k & SYMBOL] << SYMBOL_BITS * (k - 1) for k in (1, 2, 3))
-    return pd.DataFrame({"context": context.astype(np.int32), "window": windows, "word": word, "m": m, "n": n})
+def _counted(columns: list[np.ndarray]) -> pd.DataFrame:
+    return pd.DataFrame(dict(zip(("window", "m", "n"), columns)))
 
 
 def _near_counts(table: DataFrame) -> tuple[Tree, list[tuple[np.ndarray, np.ndarray]]]:
@@ -359,10 +292,10 @@ def _each_group(table: DataFrame, groups: int, schema: str, work: Callable[[int,
     """``work`` on all windows of a group, in an order of theirs."""
 
     def whole(key: tuple[int], some: pd.DataFrame) -> pd.DataFrame:
-        spread = _mixed(window_key(some["window"].to_numpy(), some["word"].to_numpy()))
-        return work(key[0], some.iloc[np.argsort(spread)])
+        return work(key[0], some.iloc[np.argsort(_mixed(some["window"].to_numpy()))])
 
-    dealt = table.withColumn("bucket", F.pmod(F.xxhash64("context"), F.lit(groups)).cast("int"))
+    context = F.shiftright("window", SYMBOL_BITS).bitwiseAND(F.lit((1 << 3 * SYMBOL_BITS) - 1))
+    dealt = table.withColumn("bucket", F.pmod(F.xxhash64(context), F.lit(groups)).cast("int"))
     return dealt.groupBy("bucket").applyInPandas(lambda key, some: whole(key, some), schema)
 
 
@@ -383,16 +316,16 @@ def _summed(rows: DataFrame, size: int) -> np.ndarray:
     return sum((np.frombuffer(r.sums) for r in sorted(found, key=lambda r: r.bucket)), np.zeros(size))
 
 
-def _columns(some: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return some["window"].to_numpy(), some["word"].to_numpy(), some["n"].to_numpy(dtype=float)
+def _columns(some: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    return some["window"].to_numpy(), some["n"].to_numpy(dtype=float)
 
 
-def learn_weights(model: Model, windows: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+def learn_weights(model: Model, windows: np.ndarray, n: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Weights after gradient steps through the windows in their order, and how many
     decisions each gate saw."""
     mine = Model(model.tree, model.near, [w.copy() for w in model.weights])
     e = events(windows, model.tree)
-    odds, gates = mine.inputs(mine.counts(windows, word, n, e), e, n > 0)
+    odds, gates = mine.inputs(mine.counts(windows, n, e), e, n > 0)
     m = n[e.row]
     moved = [np.full_like(w, 1e-6) for w in mine.weights]
     cuts = np.searchsorted(e.row, [*range(0, len(windows), STEP), len(windows)])
@@ -402,7 +335,7 @@ def learn_weights(model: Model, windows: np.ndarray, word: np.ndarray, n: np.nda
             error = (1 / (1 + np.exp(-mine.mix(x, here))) - e.bit[a:b]) * m[a:b]
             for w, g, index in zip(mine.weights, moved, here):
                 seen = np.bincount(index, weights=m[a:b], minlength=len(w))
-                slope = np.stack([np.bincount(index, weights=error * x[k], minlength=len(w)) for k in range(PREDICTORS)], axis=1)
+                slope = np.stack([np.bincount(index, weights=error * x[k], minlength=len(w)) for k in range(ORDERS)], axis=1)
                 slope /= np.maximum(seen, 1)[:, None]
                 g += slope**2
                 w -= RATE * slope / np.sqrt(g)
@@ -417,7 +350,7 @@ def _fit_weights(table: DataFrame, groups: int, model: Model) -> list[np.ndarray
         flat = [np.column_stack([w * s[:, None], s]).ravel() for w, s in zip(weights, seen)]
         return pd.DataFrame({"bucket": [bucket], "sums": [np.concatenate(flat).tobytes()]})
 
-    shapes = [(len(w), PREDICTORS + 1) for w in model.weights]
+    shapes = [(len(w), ORDERS + 1) for w in model.weights]
     flat = _summed(_each_group(table, groups, LEARNT, learn), sum(a * b for a, b in shapes))
     out, at = [], 0
     for w, (a, b) in zip(model.weights, shapes):
@@ -435,9 +368,9 @@ def _fit_refining(table: DataFrame, groups: int, model: Model) -> np.ndarray:
 
     def look(bucket: int, some: pd.DataFrame) -> pd.DataFrame:
         m, total = sent.value, np.zeros(size)
-        windows, word, n = _columns(some)
+        windows, n = _columns(some)
         e = events(windows, m.tree)
-        odds, gates = m.inputs(m.counts(windows, word, n, e), e, n > 0)
+        odds, gates = m.inputs(m.counts(windows, n, e), e, n > 0)
         spot, share = _level(m.mix(odds, gates))
         for side, weight in ((0, 1 - share), (1, share)):
             total += np.bincount((gates[0] * LEVELS + spot + side) * 2 + e.bit, weights=n[e.row] * weight, minlength=size)
@@ -448,10 +381,10 @@ def _fit_refining(table: DataFrame, groups: int, model: Model) -> np.ndarray:
     return found
 
 
-def group_log2(model: Model, windows: np.ndarray, word: np.ndarray, n: np.ndarray) -> np.ndarray:
+def group_log2(model: Model, windows: np.ndarray, n: np.ndarray) -> np.ndarray:
     """log2 of the probability of every window of a group."""
     e = events(windows, model.tree)
-    odds, gates = model.inputs(model.counts(windows, word, n, e), e, np.zeros(len(windows), dtype=bool))
+    odds, gates = model.inputs(model.counts(windows, n, e), e, np.zeros(len(windows), dtype=bool))
     return model.log2(odds, gates, e, len(windows))
 
 
@@ -463,14 +396,14 @@ def window_scores(docs: DataFrame) -> tuple[Model, DataFrame]:
     groups = max(8, many[0] // GROUP)
     model = Model(*_near_counts(table))
     if many[1]:
-        seen = table.where("n > 0")
+        seen = table.where("n > 0").select("window", "n")
         model.weights = _fit_weights(seen, groups, model)
         model.refine = _fit_refining(seen, groups, model)
 
     def score_group(bucket: int, some: pd.DataFrame) -> pd.DataFrame:
-        windows, word, n = _columns(some)
-        log2 = group_log2(sent.value, windows, word, n).astype(np.float32)
-        return pd.DataFrame({"key": window_key(windows, word), "m": some["m"].to_numpy(), "log2": log2})
+        windows, n = _columns(some)
+        log2 = group_log2(sent.value, windows, n).astype(np.float32)
+        return pd.DataFrame({"key": windows, "m": some["m"].to_numpy(), "log2": log2})
 
     sent = table.sparkSession.sparkContext.broadcast(model)
     scored = materialize(_each_group(table, groups, "key bigint, m bigint, log2 float", score_group), "window-scores")
@@ -493,13 +426,13 @@ def common_windows(scored: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return key[order], chosen["log2"].to_numpy()[order]
 
 
-def _looked_up(texts: list[str | None], reader: Reader, key: np.ndarray, log2: np.ndarray) -> tuple[np.ndarray, list, list]:
+def _looked_up(texts: list[str | None], key: np.ndarray, log2: np.ndarray) -> tuple[np.ndarray, list, list]:
     """Of every text the sum of log2 of common windows, and key and number of the others."""
     total = np.zeros(len(texts))
     rest: list[list[np.ndarray]] = [[] for _ in texts]
     many: list[list[np.ndarray]] = [[] for _ in texts]
-    for windows, word, owner in reader.blocks(texts):
-        distinct, where = np.unique(window_key(windows, word), return_inverse=True)
+    for windows, owner in blocks(texts):
+        distinct, where = np.unique(windows, return_inverse=True)
         value, known = np.zeros(len(distinct)), np.zeros(len(distinct), dtype=bool)
         if len(key):
             at = np.minimum(np.searchsorted(key, distinct), len(key) - 1)
@@ -553,7 +486,7 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
 
     ``training`` is a condition on doc_id; null counts as no.  Null texts are empty: one
     token, the end.  Rows that repeat both id and text are learnt from each and reported
-    each; other columns are ignored.  Tokens and windows are told apart by 64-bit hashes.
+    each; other columns are ignored.  Tokens are told apart by a 64-bit hash.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("learn"))
@@ -568,7 +501,6 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, log2, common = sent.value
         hashes: dict[bytes, int] = {}
-        reader = Reader()
         logs = {t: float(np.log10(c + 0.5)) - low for t, c in common.items()}
         for batch in batches:
             rows = []
@@ -593,7 +525,7 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
                 copy = xxhash.xxh64_intdigest(raw) >> 1
                 rows.append((doc, copy, n, known, base, len(raw), rest, many))
             out = pd.DataFrame(rows, columns=["doc_id", "copy", "n_tokens", "n_known", "base", "n_bytes", "rest", "many"])
-            out["bits"], out["keys"], out["times"] = _looked_up(batch["text"].tolist(), reader, key, log2)
+            out["bits"], out["keys"], out["times"] = _looked_up(batch["text"].tolist(), key, log2)
             out["doc_id"] = batch["doc_id"].astype("Int64").to_numpy() if len(batch) else out["doc_id"]
             yield out
 

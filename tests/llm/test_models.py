@@ -119,27 +119,16 @@ def test_trigram_vectors_are_bound_and_bundled():
     assert np.array_equal(*space.bundle([langid.trigrams("Abc, abc."), langid.trigrams("abc abc")]))
 
 
-def all_windows(texts):
-    """Window, word and count of all windows of some texts."""
-    parts = [[w, h, np.ones(len(w), dtype=np.int64)] for w, h, _ in context_mixing.Reader().blocks(texts)]
-    return context_mixing._merged(parts)
-
-
 def test_mixed_probabilities_add_up(spark, documents):
     texts = [prose(i) for i in range(100)]
     model, _ = context_mixing.window_scores(documents(list(enumerate(texts))).withColumn("learn", F.lit(True)))
-    windows, word, n = all_windows(texts)
-    for at in (0, int(np.argmax(word != 0))):  # a context within the window, and a longer word
-        known = dict(zip(context_mixing.window_key(windows, word).tolist(), n.tolist()))
-        added = (windows[at] >> context_mixing.SYMBOL_BITS << context_mixing.SYMBOL_BITS) + np.arange(context_mixing.END + 1)
-        same = np.full(len(added), word[at])
-        key = context_mixing.window_key(added, same)
-        others = ~np.isin(context_mixing.window_key(windows, word), key)
-        counts = np.array([known.get(k, 0) for k in key.tolist()])
-        log2 = context_mixing.group_log2(
-            model, np.concatenate([added, windows[others]]), np.concatenate([same, word[others]]), np.concatenate([counts, n[others]]).astype(float)
-        )
-        assert math.isclose((2.0 ** log2[: len(added)]).sum(), 1, rel_tol=1e-3)
+    windows, n = context_mixing._merged([[w, np.ones(len(w), dtype=np.int64)] for w, _ in context_mixing.blocks(texts)])
+    known = dict(zip(windows.tolist(), n.tolist()))
+    added = (windows[0] >> context_mixing.SYMBOL_BITS << context_mixing.SYMBOL_BITS) + np.arange(context_mixing.END + 1)
+    others = ~np.isin(windows, added)
+    counts = np.array([known.get(k, 0) for k in added.tolist()])
+    log2 = context_mixing.group_log2(model, np.concatenate([added, windows[others]]), np.concatenate([counts, n[others]]).astype(float))
+    assert math.isclose((2.0 ** log2[: len(added)]).sum(), 1, rel_tol=1e-3)
 
 
 def test_known_prose_scores_above_noise(spark, documents):
@@ -155,32 +144,28 @@ def plain_scores(rows, learn, model):
     steps = lambda s: [(tree.node[i], tree.bit[i]) for i in range(tree.start[s], tree.start[s] + tree.length[s])]
 
     def contexts(symbols, i):
-        before = symbols[:i]
-        start = max(j for j in range(i) if before[j] == context_mixing.END or before[j] in spaces)
-        word = before[max(start, i - context_mixing.LONGEST) :]
-        orders = [tuple(before[-k:]) for k in range(1, context_mixing.ORDERS + 1)]
-        folded = tuple(x + 32 if 65 <= x <= 90 else x for x in word)
-        place = min(i - start - 1, context_mixing.ORDERS)
-        return [*orders, ("word", folded) if place == context_mixing.ORDERS else orders[place]], place, before[-1]
+        before = symbols[i - context_mixing.ORDERS : i]
+        place = next((k for k, x in enumerate(reversed(before)) if x == context_mixing.END or x in spaces), context_mixing.ORDERS)
+        return [tuple(before[-k:]) for k in range(1, context_mixing.ORDERS + 1)], place, before[-1]
 
     def symbols(text):
-        return [context_mixing.END] * context_mixing.LONGEST + list((text or "").encode()) + [context_mixing.END]
+        return [context_mixing.END] * context_mixing.ORDERS + list((text or "").encode()) + [context_mixing.END]
 
     counts = Counter()
     for i, text in rows:
         if learn(i):
             s = symbols(text)
-            for at in range(context_mixing.LONGEST, len(s)):
-                for c in set(contexts(s, at)[0]):
+            for at in range(context_mixing.ORDERS, len(s)):
+                for c in contexts(s, at)[0]:
                     counts.update((c, node, bit) for node, bit in steps(s[at]))
     for i, text in rows:
         total, s = 0.0, symbols(text)
-        for at in range(context_mixing.LONGEST, len(s)):
+        for at in range(context_mixing.ORDERS, len(s)):
             found, place, last = contexts(s, at)
             for depth, (node, bit) in enumerate(steps(s[at])):
                 n = [(counts[c, node, 0], counts[c, node, 1]) for c in found]
                 known, depth = sum(a + b > 0 for a, b in n), min(depth, context_mixing.DEPTHS - 1)
-                gates = [known * context_mixing.DEPTHS + depth, place * (context_mixing.PREDICTORS + 1) + known, last]
+                gates = [known * context_mixing.DEPTHS + depth, place * (context_mixing.ORDERS + 1) + known, last]
                 weights = sum(w[g] for w, g in zip(model.weights, gates))
                 x = sum(w * math.log((b + context_mixing.HALF) / (a + context_mixing.HALF)) for w, (a, b) in zip(weights, n))
                 x = min(max(x, -16), 16)
@@ -214,11 +199,10 @@ def test_scores_do_not_depend_on_partitions(spark, documents, monkeypatch):
 
 
 def test_windows_do_not_depend_on_blocks(monkeypatch):
-    texts = ["abc", None, "", prose(1, 300), "y" * 130]
-    whole = [np.concatenate(x) for x in zip(*context_mixing.Reader().blocks(texts))]
+    texts = ["abc", None, "", prose(1, 300)]
+    whole = np.concatenate([w for w, _ in context_mixing.blocks(texts)])
     monkeypatch.setattr(context_mixing, "BLOCK", 50)
-    cut = [np.concatenate(x) for x in zip(*context_mixing.Reader().blocks(texts))]
-    assert all(np.array_equal(a, b) for a, b in zip(whole, cut))
+    assert np.array_equal(np.concatenate([w for w, _ in context_mixing.blocks(texts)]), whole)
 
 
 def test_base_score_is_exact(spark, documents, monkeypatch):
