@@ -184,5 +184,11 @@ def fit(docs: DataFrame, language: str = "lang", size: int = SIZE, seed: int = S
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred and score of every document; repeated documents each."""
+    """doc_id, lang_pred and score of every document, whole texts of any length.
+
+    Texts that are null, empty or without a letter are ``und`` with score 0, as is every
+    text if no language was learnt.  Of equally close languages the first by name counts.
+    Repeated rows are reported each; an empty table gives no rows.  Other columns are
+    ignored.
+    """
     return docs.select("doc_id", model.column(F.col("text")).alias("p")).select("doc_id", "p.*")

@@ -167,7 +167,9 @@ def rules(text: Column, passes: Callable[[Column], Column] = line_is_text) -> Co
 
 def apply_rules(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, the numbers above, base_failed and kept.
-    Repeated documents are reported each; other columns are ignored."""
+    Null and empty texts have no words and fail.  A number that equals its limit passes.
+    Repeated documents are reported each; an empty table gives no rows; other columns are
+    ignored."""
     found = docs.select("doc_id", rules(F.col("text")).alias("r"))
     return found.select("doc_id", "r.n.*", "r.base_failed", "r.kept")
 

@@ -255,5 +255,10 @@ def _calibrated(model: Model, rows: DataFrame) -> Model:
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id and score of every document; null texts count as empty ones."""
+    """doc_id and score of every document, whole texts of any length.
+
+    Null texts count as empty ones, whose statistics are all zero.  Repeated rows are
+    reported each, equal texts with equal scores; an empty table gives no rows.  Other
+    columns are ignored.
+    """
     return docs.select("doc_id", model.score_column(F.col("text")).alias("score"))

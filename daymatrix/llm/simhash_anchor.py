@@ -35,7 +35,8 @@ _SLICE = 1 << 16  # shingles counted at once
 
 
 def fingerprint(text: str | None, width: int = SHINGLE) -> int:
-    """64-bit SimHash of a text's word shingles, unsigned; 0 without words."""
+    """64-bit SimHash of a text's word shingles, unsigned; 0 without words.
+    A bit that half of the shingles set is 0."""
     w = words(text)
     if not w:
         return 0
