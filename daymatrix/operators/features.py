@@ -132,11 +132,13 @@ def coded_features(
     levels=ALL_LEVELS,
     domain: str = DIAGNOSIS,
     with_total: bool = True,
+    small_codes: bool | None = None,
 ) -> DataFrame:
     """Long daily counts of ``(day, up, code, n)`` rows, raw or already counted.
 
     Totals count every code; the code selection limits the code features only.
-    Without a selection there are totals and no code features.
+    Without a selection there are totals and no code features.  ``small_codes`` says
+    whether the selection was found small enough to be broadcast; by default it is counted.
     """
     keys = ["day", *_place_keys(levels)]
     names = {}
@@ -151,7 +153,8 @@ def coded_features(
             F.concat(F.lit(CODE_VARIABLE + SEPARATOR), token("alias")).alias("_group"),
             (F.col("alias") != first).alias("_repeated"),
         )
-        counts = counts.join(F.broadcast(known) if is_small(codes) else known, "code", "left")
+        small = is_small(codes) if small_codes is None else small_codes
+        counts = counts.join(F.broadcast(known) if small else known, "code", "left")
         repeated = F.coalesce("_repeated", F.lit(False))
         names = {k: F.when(~repeated, name) for k, name in names.items()}
         names["group"] = F.col("_group")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from daymatrix.functions import cleaning as C
 from daymatrix.functions.codes import expand_code_spec
 from daymatrix.operators.dedup import keep_last, stored_order
-from daymatrix.session import materialize
+from daymatrix.session import held
 
 # Accepted column names of a geographic selection.
 _SOURCE_NAMES = ["rs", "up", "value", "source_value"]
@@ -58,11 +58,11 @@ def facility_selection(selection: DataFrame, order: str | None = None) -> DataFr
 def non_empty(selection: DataFrame | None) -> DataFrame | None:
     """A selection without usable rows counts as none: everything is kept.
 
-    The clean rows are written once, so their true size decides how they join.
+    The clean rows are computed once, so their true size decides how they join.
     """
     if selection is None:
         return None
-    stored = materialize(selection, "selection")
+    stored = held(selection, "selection")
     return None if stored.isEmpty() else stored
 
 

@@ -54,7 +54,7 @@ def full_visits(
 ) -> DailyMatrix:
     """Matrix of all visits up to ``as_of``, optionally of an inclusive range."""
     rows = _scan(visits, VISIT_DATE, VISIT_COLUMNS, as_of, start, end)
-    features = visits_to_features(rows, lookup, selections.usable())
+    features = visits_to_features(rows, lookup, selections.of_places().usable())
     return stored_days(features, "visits")
 
 

@@ -181,6 +181,10 @@ class Selections:
             non_empty(self.regions), non_empty(self.facilities), non_empty(self.codes)
         )
 
+    def of_places(self) -> "Selections":
+        """Without the codes, which visits have none of."""
+        return Selections(self.regions, self.facilities)
+
 
 @dataclass(frozen=True)
 class Run:
@@ -283,7 +287,8 @@ def coded_to_features(
 ) -> DataFrame:
     # A small code map joins the raw rows in the map tasks, which then combine per
     # code group; beyond that the rows are counted per code before they are joined.
-    if selections.codes is None or is_small(selections.codes):
+    small = selections.codes is None or is_small(selections.codes)
+    if small:
         rows = clean_coded_rows(coded).withColumn("n", F.lit(1).cast("bigint"))
     else:
         rows = day_code_counts(coded)
@@ -293,6 +298,7 @@ def coded_to_features(
         selections.codes,
         selections.regions,
         selections.facilities,
+        small_codes=small,
     )
 
 
@@ -301,7 +307,7 @@ def run_visits(
 ) -> Outcome:
     """Incremental run of the visit fact.  ``lookup`` is a clean (up, rs) table."""
     with scratch(visits.sparkSession):
-        chosen = selections.usable()
+        chosen = selections.of_places().usable()
         return run_increment(
             visits,
             VISIT_DATE,
