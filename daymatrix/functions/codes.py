@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,34 +32,70 @@ def _position(bound: Column, letter: Column) -> Column:
     )
 
 
+# The places of all codes that a range may hold, and the codes in that order.
+_FIRST, _LAST = 100 * ord("A"), 100 * ord("Z") + 99
+_CODES = ",".join(f"{chr(p // 100)}{p % 100:02d}" for p in range(_FIRST, _LAST + 1))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, the value being computed once; named several times it would be
+    copied into each place, which for a specification makes more code than Java takes."""
+    return F.transform(F.array(value), use)[0]
+
+
+def code_bounds(spec: Column | str) -> Column:
+    """What a specification stands for: ``(single, first, last)``.
+
+    Either ``single`` is its only code, or the places ``first`` to ``last`` in the
+    order of codes are those of its range.  All are null for an inverted range and for
+    a blank specification.
+    """
+
+    def places(token: Column) -> Column:
+        low = F.substring_index(token, "-", 1)
+        high = F.substr(token, F.instr(token, "-") + 1)
+        low_letter = F.regexp_extract(low, _BOUND, 1)
+        high_letter = F.regexp_extract(high, _BOUND, 1)
+        high_letter = F.when(high_letter == "", low_letter).otherwise(high_letter)
+        is_range = F.contains(token, F.lit("-"))
+        return F.struct(
+            code3(token).alias("single"),
+            F.when(is_range, _position(low, low_letter)).alias("first"),
+            F.when(is_range, _position(high, high_letter)).alias("last"),
+        )
+
+    def told_apart(p: Column) -> Column:
+        readable = p["single"].isNotNull() & p["first"].isNotNull() & p["last"].isNotNull()
+        in_order = readable & (p["first"] <= p["last"])
+        return F.struct(
+            F.when(~readable, p["single"]).alias("single"),
+            F.when(in_order, p["first"]).alias("first"),
+            F.when(in_order, p["last"]).alias("last"),
+        )
+
+    return _once(_once(_spec_token(_col(spec)), places), told_apart)
+
+
+def code_at(place: Column) -> Column:
+    return F.element_at(F.split(F.lit(_CODES), ","), place - (_FIRST - 1))
+
+
+def codes_between(first: Column | str, last: Column | str) -> Column:
+    """Array of the codes at the places ``first`` to ``last``; null without them."""
+    return F.transform(F.sequence(_col(first), _col(last)), code_at)
+
+
 def expand_code_spec(spec: Column | str) -> Column:
     """Array of three-character codes that a specification stands for.
 
     A range whose bounds cannot be read counts as one code; an inverted range
     and a blank specification give an empty array.
     """
-    token = _spec_token(_col(spec))
-    is_range = F.contains(token, F.lit("-"))
-    low = F.substring_index(token, "-", 1)
-    high = F.substr(token, F.instr(token, "-") + 1)
-    low_letter = F.regexp_extract(low, _BOUND, 1)
-    high_letter = F.regexp_extract(high, _BOUND, 1)
-    high_letter = F.when(high_letter == "", low_letter).otherwise(high_letter)
-    first = _position(low, low_letter)
-    last = _position(high, high_letter)
-
-    codes = F.transform(
-        F.sequence(first, last),
-        lambda p: F.concat(
-            F.char((p / 100).cast("int")),
-            F.lpad((p % 100).cast("string"), 2, "0"),
+    return _once(
+        code_bounds(spec),
+        lambda b: F.coalesce(
+            codes_between(b["first"], b["last"]),
+            F.when(b["single"].isNotNull(), F.array(b["single"])),
+            F.array().cast("array<string>"),
         ),
     )
-    none = F.array().cast("array<string>")
-    single = code3(token)
-    return (
-        F.when(single.isNull(), none)
-        .when(~is_range | first.isNull() | last.isNull(), F.array(single))
-        .when(last < first, none)
-        .otherwise(codes)
-    )

@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import QUERIES
 from daymatrix.functions import cleaning as C
 from daymatrix.functions.codes import expand_code_spec
 from daymatrix.functions.naming import (
@@ -165,3 +166,12 @@ def test_join_names_keep_one_prefix(spark):
         "DEMAND_other",
         "DEMAND___is_imputed",
     ]
+
+
+def test_codes_are_counted_without_a_row_each(spark, tmp_path):
+    rows = [(4, "B1", 1), (2, "B1", 3), (2, "B1", 3), (7, "B2", 25), (5, "B1", 1), (None, "B3", 2)]
+    spark.createDataFrame(rows, "p_partkey bigint, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    counted = QUERIES["code_range_expansion"](spark, str(tmp_path))
+    assert "Generate" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    expected = {(2, 2 * 1238, "C02", "O39"), (7, 1619, "H07", "X25"), (5, 1, "F05", "F05")}
+    assert {tuple(r) for r in counted.collect()} == expected
