@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daymatrix.functions import cleaning as C
-from daymatrix.functions.codes import expand_code_spec
+from daymatrix.functions.codes import code_at, code_bounds, codes_between
 from daymatrix.operators.dedup import keep_last, stored_order
 from daymatrix.session import held
 
@@ -93,15 +93,24 @@ def code_selection(selection: DataFrame) -> DataFrame:
     spec = F.col(f"`{selection.columns[0]}`")
     group = _named(selection, [_GROUP_NAME])
     rows = selection.select(
-        expand_code_spec(spec).alias("codes"),
+        code_bounds(spec).alias("codes"),
         (F.col(f"`{group}`") if group else F.lit(None).cast("string")).alias("group"),
-    ).where("size(codes) > 0")
-    if not group:
-        codes = rows.select(F.explode("codes").alias("code")).distinct()
-        return codes.withColumn("alias", F.col("code"))
+    )
+    single, first, last = F.col("codes.single"), F.col("codes.first"), F.col("codes.last")
+    rows = rows.where(single.isNotNull() | first.isNotNull())
     # one alias per specification, before it becomes many rows
-    named = rows.withColumn("alias", C.alias("group", F.col("codes")[0]))
-    return named.select(F.explode("codes").alias("code"), "alias").distinct()
+    lowest = F.coalesce(single, code_at(first))
+    alias = C.alias("group", lowest) if group else F.lit(None).cast("string")
+    named = rows.select(single.alias("code"), first.alias("first"), last.alias("last"), alias.alias("alias"))
+    # a range per alias and first code, less what ranges before it hold
+    ranges = named.where("code IS NULL").groupBy("alias", "first").agg(F.max("last").alias("last"))
+    before = Window.partitionBy("alias").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.greatest("first", F.max("last").over(before) + 1)
+    apart = ranges.withColumn("first", start).where("first <= last")
+    codes = apart.select(F.explode(codes_between("first", "last")).alias("code"), "alias")
+    singles = named.where("code IS NOT NULL").select("code", "alias")
+    found = codes.unionByName(singles).distinct()
+    return found if group else found.withColumn("alias", F.col("code"))
 
 
 def expand_code_aliases(

@@ -190,3 +190,17 @@ def test_missing_columns_are_named(spark):
     prepare.require_columns(df, ["A", "b"])
     with pytest.raises(ValueError, match="x.*Available"):
         prepare.require_columns(df, ["a", "x"])
+
+
+def test_code_selection_expands_each_code_of_an_alias_once(spark):
+    """Equal and overlapping ranges are joined before they become many rows."""
+    rows = [("A00-C99", "g"), ("A50-B49", "g"), ("A00-A9", "g"), ("B00-D00", "g"), ("B10", "g"), ("F0-E0", "g")]
+    rows += [("A00-A01", "h"), ("A01-A02", "h"), ("A05-x", "h"), (None, "h"), ("J10-J11", " "), ("U07.1", None)]
+    pairs = selection.code_selection(spark.createDataFrame(rows, "code string, feature_name string"))
+    g = {(f"{letter}{n:02d}", "G") for letter in "ABC" for n in range(100)} | {("D00", "G")}
+    h = {("A00", "H"), ("A01", "H"), ("A02", "H"), ("A05", "H")}
+    other = {("J10", "J10"), ("J11", "J10"), ("U07", "U07")}
+    found = [tuple(r) for r in pairs.collect()]
+    assert sorted(found) == sorted(g | h | other)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Window [")
