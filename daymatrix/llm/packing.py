@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from daymatrix.llm.text import kept
 from daymatrix.session import materialize
 
 MAX_TOKENS = 4096
@@ -102,13 +103,8 @@ class WordTokenizer:
         return b"".join(map(self.parts.__getitem__, split))
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
 def _tokenizer(path: str) -> WordTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
+    return kept(path, lambda: WordTokenizer(path))
 
 
 def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:

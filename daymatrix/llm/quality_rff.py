@@ -16,10 +16,12 @@ from itertools import pairwise
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf, pandas_udf
 
+from daymatrix.llm.text import keep_nothing
 from daymatrix.session import materialize
 
 FEATURES = 256
@@ -93,9 +95,12 @@ def statistics(text: str | None) -> list[float]:
 
 
 def statistics_column(text: Column) -> Column:
-    @pandas_udf("array<float>")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.asarray(statistics(t), dtype=np.float32) for t in texts], dtype=object)
+    """Statistics of texts that stay in Arrow but for the one at hand."""
+
+    @arrow_udf("array<float>")
+    def of(texts: pa.Array) -> pa.Array:
+        keep_nothing()
+        return pa.array([np.asarray(statistics(t.as_py()), dtype=np.float32) for t in texts], pa.list_(pa.float32()))
 
     return of(text)
 
@@ -126,11 +131,12 @@ class Model:
     def score_column(self, text: Column) -> Column:
         model = self
 
-        @pandas_udf("double")
-        def score(texts: pd.Series) -> pd.Series:
+        @arrow_udf("double")
+        def score(texts: pa.Array) -> pa.Array:
+            keep_nothing()
             if not len(texts):
-                return pd.Series([], dtype=float)
-            return pd.Series(model.scores(np.array([statistics(t) for t in texts])))
+                return pa.array([], pa.float64())
+            return pa.array(model.scores(np.array([statistics(t.as_py()) for t in texts])), pa.float64())
 
         return score(text)
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from daymatrix.llm import context_mixing, langid, quality_rff, toxicity
@@ -219,3 +220,20 @@ def test_base_score_is_exact(spark, documents, monkeypatch):
         assert math.isclose(r.base_score, sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in mine), rel_tol=1e-9)
         assert r.score < 0
     assert context_mixing.score(documents([]).limit(0), F.lit(True)).count() == 0
+
+
+def test_classifier_gives_back_what_packing_kept(spark):
+    """Texts stay in Arrow, and a worker's token cache does not outlast the packing."""
+    from daymatrix.llm import quality_rff, text
+
+    kept = []
+    text.kept("a", lambda: kept.append(1) or {})
+    text.kept("a", lambda: kept.append(2) or {})
+    assert kept == [1] and list(text._KEPT) == ["a"]
+    column = quality_rff.statistics_column
+    rows = spark.createDataFrame([(1, "Two words."), (2, None), (3, "é " * 9000)], "i int, text string")
+    found = {r.i: r.s for r in rows.select("i", column(F.col("text")).alias("s")).collect()}
+    for i, t in ((1, "Two words."), (2, None), (3, "é " * 9000)):
+        assert found[i] == pytest.approx(quality_rff.statistics(t))
+    quality_rff.keep_nothing()
+    assert not text._KEPT
