@@ -253,7 +253,7 @@ def window_counts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             learn = batch["learn"].to_numpy(dtype=bool)
             for windows, owner in blocks(batch["text"].tolist()):
-                held.append(_merged([[windows, np.ones(len(windows), dtype=np.int64), learn[owner].astype(np.int64)]]))
+                held.append(_distinct(windows, learn[owner]))
                 if sum(len(x[0]) for x in held[1:]) > max(BLOCK, len(held[0][0])):
                     held = [_merged(held)]
                 if len(held[0][0]) > 2 * BLOCK:
@@ -265,6 +265,15 @@ def window_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("window").agg(F.sum("m").alias("m"), F.sum("n").alias("n"))
 
 
+def _distinct(windows: np.ndarray, learn: np.ndarray) -> list[np.ndarray]:
+    """Distinct windows, how often each occurs, and how often with ``learn``.  Sorting numbers
+    that hold the mark takes a quarter of the time of sorting places."""
+    marked = np.sort(windows << 1 | learn)
+    windows = marked >> 1
+    cuts = np.flatnonzero(np.concatenate([[True], windows[1:] != windows[:-1]]))
+    return [windows[cuts], np.diff(cuts, append=len(windows)), np.add.reduceat(marked & 1, cuts)]
+
+
 def _merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
     """Distinct windows of some columns (window, counts), their counts summed."""
     windows, *counts = [np.concatenate(column) for column in zip(*parts)]

@@ -237,3 +237,12 @@ def test_classifier_gives_back_what_packing_kept(spark):
         assert found[i] == pytest.approx(quality_rff.statistics(t))
     quality_rff.keep_nothing()
     assert not text._KEPT
+
+
+def test_marked_windows_are_counted_like_places():
+    windows = np.array([5, 3, 5, 5, (1 << 54) - 1, 0, 3])
+    learn = np.array([True, False, False, True, True, False, False])
+    one = np.ones(len(windows), dtype=np.int64)
+    plain = context_mixing._merged([[windows, one, learn.astype(np.int64)]])
+    for a, b in zip(context_mixing._distinct(windows, learn), plain):
+        assert a.dtype == b.dtype and a.tolist() == b.tolist()
