@@ -17,6 +17,10 @@ from daymatrix.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Parts of words a packing worker remembers: some 50 MB, as the stages before have left
+#: the executor's heap grown.
+CACHE_WORDS = 150_000
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score at least the limit; the model learns from the stage's input.
@@ -46,7 +50,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """The pieces of the documents and their places in sequences; repeated rows are packed
     each, null texts as empty ones."""
     queries.ship(spark)
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), cache_words=CACHE_WORDS)
 
 
 STAGES: list[tuple[str, Stage]] = [

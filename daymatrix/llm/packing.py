@@ -28,7 +28,7 @@ from daymatrix.session import materialize
 MAX_TOKENS = 4096
 END_ID = 1
 GROUP = 50_000
-CACHE_WORDS = 1_000_000  # some 250 MB a worker
+CACHE_WORDS = 1_000_000  # some 250 MB a worker, which has that to itself in the operator's own query
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -46,10 +46,12 @@ class WordTokenizer:
     For tokenizers that treat white space as a mere separator, a text's ids are those
     of its space-separated parts one after the other; parts repeat, so most are looked
     up.  A new part of plain characters is the sequence of its lower-cased runs, which
-    repeat more often still; new runs are encoded many at a time, as one text.
+    repeat more often still; new runs are encoded many at a time, as one text.  Up to
+    ``cache_words`` parts and runs are remembered, and those of one more text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+        self.cache_words = cache_words
         self.tokenizer = Tokenizer.from_file(path)
         self.parts: dict[bytes, bytes] = {}
         self.runs: dict[str, bytes] = {}
@@ -78,9 +80,9 @@ class WordTokenizer:
                 self.runs.update((run, self._encode(run)) for run in some)
 
     def _learn(self, new: set[bytes]) -> None:
-        if len(self.parts) > CACHE_WORDS:
+        if len(self.parts) > self.cache_words:
             self.parts.clear()
-        if len(self.runs) > CACHE_WORDS:
+        if len(self.runs) > self.cache_words:
             self.runs.clear()
         cut = {part: self._cut(part.decode("utf-8", "replace")) for part in new}
         runs = {run for made in cut.values() if isinstance(made, list) for run in made}
@@ -103,18 +105,20 @@ class WordTokenizer:
         return b"".join(map(self.parts.__getitem__, split))
 
 
-def _tokenizer(path: str) -> WordTokenizer:
-    return kept(path, lambda: WordTokenizer(path))
+def _tokenizer(path: str, cache_words: int) -> WordTokenizer:
+    return kept(f"{path} {cache_words}", lambda: WordTokenizer(path, cache_words))
 
 
-def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID, cache_words: int = CACHE_WORDS
+) -> DataFrame:
     """The pieces of every document: its ids and ``end_id``, cut only if longer than
     ``max_tokens``.  ``tokenizer`` is the path of a tokenizer file on every machine.
     Null texts are empty texts: one piece that is the end alone."""
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _tokenizer(tokenizer)
+        words = _tokenizer(tokenizer, cache_words)
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -218,12 +222,17 @@ def pack(
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, max_tokens: int = MAX_TOKENS, end_id: int = END_ID, group: int = GROUP
+    docs: DataFrame,
+    tokenizer: str,
+    max_tokens: int = MAX_TOKENS,
+    end_id: int = END_ID,
+    group: int = GROUP,
+    cache_words: int = CACHE_WORDS,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null texts are empty, repeated documents are packed each, an empty table gives no
-    rows, other columns are ignored.
+    rows, other columns are ignored.  ``cache_words`` bounds a worker's memory only.
     """
-    found = materialize(pieces(docs, tokenizer, max_tokens, end_id), "pieces")
+    found = materialize(pieces(docs, tokenizer, max_tokens, end_id, cache_words), "pieces")
     return pack(found, max(1, -(-found.count() // group)), max_tokens)
