@@ -55,7 +55,7 @@ from daymatrix.plans.incremental import (
 )
 from daymatrix.plans.maintenance import delete_days, delete_parquet_rows, show_rows, without_days
 from daymatrix.plans.windows import processing_window
-from daymatrix.session import materialize, new_folder
+from daymatrix.session import materialize, new_folder, tasks_for
 from daymatrix.sources import readers
 from daymatrix.sources.store import CursorStore, MatrixStore, StagingArea, cursor_of, expired_files
 from daymatrix.streaming.publish import publish_available
@@ -333,7 +333,10 @@ def assemble_pieces(spark, sf):
 @query
 def mixed_to_final(spark, sf):
     """Wide totals, code rows and place rows in one frame."""
-    counts = materialize(with_region(coded(spark, sf), lookup(spark, sf), C.UNKNOWN))
+    written = materialize(with_region(coded(spark, sf), lookup(spark, sf), C.UNKNOWN))
+    tasks = tasks_for(written)
+    # dealt before they are counted: read, a few tasks would hold the groups of all rows
+    counts = written.repartition(tasks, "day", "code")
     code, when = F.col("code").alias("DIAG_DIAG_CODE"), F.col("day").alias("timestamp")
     totals = counts.groupBy(when).agg(F.sum("n").alias("DIAG_TOTAL"))
     by_code = counts.groupBy(when, code).agg(F.sum("n").alias("DIAG_COUNT"))
@@ -342,7 +345,7 @@ def mixed_to_final(spark, sf):
     mixed = totals
     for piece in (by_code, by_region, by_place):
         mixed = mixed.unionByName(piece, allowMissingColumns=True)
-    return matrix.mixed_to_long(mixed)
+    return matrix.mixed_to_long(mixed, tasks=tasks)
 
 
 @query

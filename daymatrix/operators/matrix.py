@@ -136,12 +136,14 @@ MIXED_PLACE_COUNT = "count"
 MIXED_PLACES = [("DIAG_RS", RS), ("DIAG_UP", UP), ("DIAG_up_c", UP), ("RS", RS), ("UP", UP)]
 
 
-def mixed_to_long(mixed: DataFrame, day: str = "timestamp") -> DataFrame:
+def mixed_to_long(mixed: DataFrame, day: str = "timestamp", tasks: int | None = None) -> DataFrame:
     """Long features of a frame that mixes three kinds of partial rows: wide
     columns, (code, count) rows and (place, code, count) rows.
 
     One pass: every row yields the cells it has, then cells of one name are
-    summed per day.
+    summed per day.  Rows that hardly share cells are better dealt to ``tasks`` before
+    they are summed: the engine sizes its own tasks by packed bytes, and each holds its
+    cells twice.
     """
     present = set(mixed.columns)
     current = canonical_columns(mixed, DIAGNOSIS)
@@ -167,8 +169,8 @@ def mixed_to_long(mixed: DataFrame, day: str = "timestamp") -> DataFrame:
             cells.append(_cell(name, F.coalesce(C.number(MIXED_PLACE_COUNT), F.lit(0.0))))
     if not cells:
         raise ValueError("no feature columns, code counts or place counts in the input")
-    rows = mixed.select(day_of(mixed, day).alias(DAY), F.inline(F.array(*cells)))
-    return sum_features(rows.dropna())
+    rows = mixed.select(day_of(mixed, day).alias(DAY), F.inline(F.array(*cells))).dropna()
+    return sum_features(rows.repartition(tasks, DAY, FEATURE) if tasks else rows)
 
 
 def _cell(name, value):

@@ -108,6 +108,16 @@ def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+# Rows that one task aggregates, some 100 MB of memory.
+ROWS_PER_TASK = 250_000
+
+
+def tasks_for(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Number of tasks that share the rows of a written table, so that what one of them
+    holds does not grow with the table.  Only its footers are read."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
+
+
 def held(df: DataFrame, name: str = "held", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """A small table, such as a list of days, computed once.
 
