@@ -694,14 +694,14 @@ def incremental_runs(spark, sf):
 def staged_rows(spark, sf):
     """Rows staged in two runs; of equal identities the last one stays."""
     rows = coded(spark, sf).withColumnsRenamed({"day": "timestamp", "code": "DIAG_CODE", "up": "UP"})
-    named = identity.with_row_identity(rows)
+    named = materialize(identity.with_row_identity(rows), "named")
     staging = StagingArea(spark, new_folder(spark, "rows"))
     staging.append(named, "1", AS_OF, "timestamp", chunk_rows=10_000)
     again = named.where("UP < '00100'").withColumn("n", F.col("n") * 10)
     staging.append(again, "2", AS_OF, "timestamp", chunk_rows=10_000)
     rows = staging.load()
     last = dedup.keep_last(readers.with_file_order(rows.withColumn("last_run", F.col("run"))), ["data_id"], ["run", *readers.FILE_ORDER])
-    kept = staging.load_rows().withColumnRenamed("n", "kept_n")
+    kept = staging.load_rows(columns=["n"]).withColumnRenamed("n", "kept_n")
     return last.join(kept.select("data_id", "kept_n"), "data_id")
 
 

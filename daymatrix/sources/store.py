@@ -39,6 +39,8 @@ from daymatrix.sources.readers import FILE_ORDER, read_parquet, with_file_order
 CODEC = "snappy"
 # Most long rows in one staged file.
 CHUNK_ROWS = 5_000_000
+# Column that tells rows apart; of several rows with one identity the last stored one counts.
+IDENTITY = "data_id"
 CURSOR_SCHEMA = "last_update timestamp, min_timestamp date, max_timestamp date, num_rows bigint"
 
 
@@ -401,7 +403,7 @@ class StagingArea:
         self.clear([run])
         (
             kept.repartitionByRange(timestamp)
-            .sortWithinPartitions(timestamp)
+            .sortWithinPartitions(timestamp, *({IDENTITY} & set(kept.columns) - {timestamp}))
             .write.mode("overwrite")
             .option("compression", CODEC)
             .option("maxRecordsPerFile", chunk_rows)
@@ -487,9 +489,12 @@ class StagingArea:
         read = self.spark.read.option("basePath", self.folder.path).option("mergeSchema", True)
         return read.schema(schema).parquet(*paths)
 
-    def load_rows(self, identity: str = "data_id") -> DataFrame | None:
-        """All staged rows; of rows with one identity the last stored one."""
+    def load_rows(self, identity: str = IDENTITY, columns: list[str] | None = None) -> DataFrame | None:
+        """All staged rows; of rows with one identity the last stored one.  Of given
+        columns only these are read, besides the identity and the run."""
         rows = self.load()
+        if rows is not None and columns is not None:
+            rows = rows.select(*[c for c in rows.columns if c in (identity, "run", *columns)])
         if rows is not None and identity in rows.columns:
             rows = keep_last(with_file_order(rows), [identity], ["run", *FILE_ORDER])
         return rows
